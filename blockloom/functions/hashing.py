@@ -93,11 +93,11 @@ def keccak256(messages: list[bytes]) -> list[str]:
 
 @F.arrow_udf(T.StringType())
 def _keccak_text(texts: pa.Array) -> pa.Array:
-    values = texts.to_pylist()
-    digests = keccak256([(v or "").encode() for v in values])
-    return pa.array([d if v is not None else None for v, d in zip(values, digests)], type=pa.string())
+    coded = texts.dictionary_encode()
+    digests = keccak256([text.encode() for text in coded.dictionary.to_pylist()])
+    return pa.array(digests, type=pa.string()).take(coded.indices)
 
 
 def keccak256_hex(text: Column) -> Column:
-    """``0x`` hex Keccak-256 of UTF-8 text; run it on distinct values."""
+    """``0x`` hex Keccak-256 of UTF-8 text, once per distinct text of a batch."""
     return _keccak_text(text)

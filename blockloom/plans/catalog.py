@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from ..functions import keccak256_hex
 from ..operators.joins import label_join
 from ..operators.lookups import first_implementation
+from ..session import stage
 
 
 def combined_abi(entries: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -20,18 +21,22 @@ def combined_abi(entries: DataFrame, pairs: DataFrame) -> DataFrame:
     return entries.unionByName(inherited)
 
 
+_UNKNOWN = "?"
+
+
 def _type_text(part: Column, fields: T.DataType) -> Column:
-    """Canonical type: a tuple becomes its member types, array suffix kept."""
+    """Canonical type: a tuple becomes its member types, array suffix kept.
+
+    Members nested deeper than the schema read as ``?``.
+    """
+    kind = F.coalesce(part["type"], F.lit(_UNKNOWN))
     members = fields["components"].dataType
-    plain = F.when(~part["type"].startswith("tuple"), part["type"])
     if not isinstance(members, T.ArrayType):
-        return plain
+        return F.when(kind.startswith("tuple"), _UNKNOWN).otherwise(kind)
     inner = F.transform(part["components"], lambda p: _type_text(p, members.elementType))
-    suffix = F.regexp_replace(part["type"], "^tuple", "")
+    suffix = F.substr(kind, F.lit(len("tuple") + 1))
     nested = F.concat(F.lit("("), F.array_join(inner, ","), F.lit(")"), suffix)
-    # array_join skips NULLs, so a member nested too deep must void the whole.
-    whole = F.forall(inner, lambda t: t.isNotNull())
-    return F.coalesce(plain, F.when(whole, nested))
+    return F.when(kind.startswith("tuple"), F.coalesce(nested, F.lit(_UNKNOWN))).otherwise(kind)
 
 
 def _width(part: Column, fields: T.DataType) -> Column:
@@ -52,8 +57,8 @@ def _width(part: Column, fields: T.DataType) -> Column:
 def event_catalog(entries: DataFrame) -> DataFrame:
     """address, event_name, topic0, event_signature, anonymous, params.
 
-    ``topic0`` hashes each distinct signature once, however many contracts
-    share it. Entries nested deeper than the schema have a NULL signature.
+    Row-local: an Arrow batch hashes each of its distinct signatures once.
+    Entries nested deeper than the schema have a NULL signature.
     """
     inputs = entries.schema["entry"].dataType["inputs"].dataType.elementType
     events = entries.where("entry.type = 'event' and entry.name is not null").select(
@@ -70,28 +75,22 @@ def event_catalog(entries: DataFrame) -> DataFrame:
             ),
         ).alias("params"),
     )
-    kinds = F.transform("params", lambda p: p["kind"])
+    kinds = F.array_join(F.transform("params", lambda p: p["kind"]), ",")
     signature = F.when(
-        F.forall(kinds, lambda k: k.isNotNull()),
-        F.concat("event_name", F.lit("("), F.array_join(kinds, ","), F.lit(")")),
+        ~kinds.contains(_UNKNOWN), F.concat("event_name", F.lit("("), kinds, F.lit(")"))
     )
-    signed = events.withColumn("event_signature", signature)
-    hashes = (
-        signed.select("event_signature")
-        .where("event_signature is not null")
-        .distinct()
+    return (
+        events.withColumn("event_signature", signature)
         .withColumn("topic0", keccak256_hex(F.col("event_signature")))
-    )
-    return label_join(signed, hashes, ["event_signature"], ["address", "event_name"]).select(
-        "address", "event_name", "topic0", "event_signature", "anonymous", "params"
+        .select("address", "event_name", "topic0", "event_signature", "anonymous", "params")
     )
 
 
-def _labels(catalog: DataFrame, keys: list[str]) -> DataFrame:
-    """One signature per key: the smallest in text order if several are known."""
+def event_labels(catalog: DataFrame) -> DataFrame:
+    """One label per contract and topic: the smallest signature if several are known."""
     named = catalog.where("topic0 is not null and not anonymous")
     label = F.struct("event_signature", "event_name", "params")
-    return named.groupBy(*keys).agg(F.min(label).alias("_label"))
+    return named.groupBy("address", "topic0").agg(F.min(label).alias("_own"))
 
 
 def label_events(decoded: DataFrame, catalog: DataFrame, params: bool = False) -> DataFrame:
@@ -102,18 +101,17 @@ def label_events(decoded: DataFrame, catalog: DataFrame, params: bool = False) -
     keys, which :func:`label_join` spreads by transaction.
     """
     spread = ["transaction_hash", "log_index"]
-    own = _labels(catalog, ["address", "topic0"]).withColumnRenamed("_label", "_own")
-    shared = _labels(catalog, ["topic0"]).withColumnRenamed("_label", "_shared")
+    own = stage(event_labels(catalog), "labels")
+    shared = own.groupBy("topic0").agg(F.min("_own").alias("_shared"))
     joined = label_join(decoded, own, ["address", "topic0"], spread)
     joined = label_join(joined, shared, ["topic0"], spread)
     label = F.coalesce("_own", "_shared")
-    named = joined.select(
+    return joined.select(
         *decoded.columns,
         label["event_name"].alias("event_name"),
         label["event_signature"].alias("event_signature"),
         *([label["params"].alias("_params")] if params else []),
     )
-    return named
 
 
 def _value_text(word: str | None, kind: str) -> str | None:
