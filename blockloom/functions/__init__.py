@@ -7,7 +7,10 @@ from .nested import (
     flag,
     json_array,
     json_map,
+    json_objects,
+    json_objects_by_key,
     lookup,
+    once,
     topic_at,
     whole_number,
     without_keys,
@@ -36,9 +39,12 @@ __all__ = [
     "is_zero_address",
     "json_array",
     "json_map",
+    "json_objects",
+    "json_objects_by_key",
     "keccak256_hex",
     "lookup",
     "lower_address",
+    "once",
     "parse_number",
     "parse_wide_number",
     "register",

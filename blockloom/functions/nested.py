@@ -16,6 +16,35 @@ def json_map(text: Column) -> Column:
     return F.from_json(text, "map<string,string>")
 
 
+def json_objects(text: Column, field: str) -> Column:
+    """The list of objects under a key of a JSON document, each as MAP<STRING,STRING>.
+
+    One typed pass over the text. Spark voids the whole document if a member
+    is of another kind, so those rare documents are taken apart step by step.
+    """
+    typed = F.from_json(text, f"struct<{field}:array<map<string,string>>>")[field]
+    stepwise = F.transform(json_array(lookup(json_map(text), F.lit(field))), json_map)
+    return F.coalesce(typed, stepwise)
+
+
+def json_objects_by_key(text: Column, field: str, member: str) -> Column:
+    """The object of objects under a key as MAP<STRING, member type>, likewise."""
+    typed = F.from_json(text, f"struct<{field}:map<string,{member}>>")[field]
+    stepwise = F.transform_values(
+        json_map(lookup(json_map(text), F.lit(field))), lambda _, value: F.from_json(value, member)
+    )
+    return F.coalesce(typed, stepwise)
+
+
+def once(value: Column) -> Column:
+    """``value`` as a generated column, for use in a select list.
+
+    A plain column gets copied into every later filter, so an expensive
+    parse would run again there; filters stay above a generator.
+    """
+    return F.explode(F.array(value))
+
+
 def topic_at(topics: Column, position: int) -> Column:
     """Array element, NULL past the end."""
     return F.get(topics, F.lit(position))

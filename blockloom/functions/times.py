@@ -25,10 +25,8 @@ def epoch_datetime(seconds: Column) -> Column:
 def as_datetime(value: Column) -> Column:
     """Unix seconds as number or text, or ISO text with or without a zone."""
     text = value.cast("string")
-    zoned = F.unix_micros(text.try_cast("timestamp"))
-    from_text = F.when(
-        text.rlike("[0-9](Z|[+-][0-9]{2}:?[0-9]{2})$"), _since_epoch("MICROSECOND", zoned)
-    ).otherwise(text.try_cast("timestamp_ntz"))
-    whole = text.rlike("^-?[0-9]+([.][0-9]+)?$")
-    seconds = text.try_cast("double").try_cast("bigint")
-    return F.when(whole, epoch_datetime(seconds)).otherwise(from_text)
+    seconds = F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    zoned = _since_epoch("MICROSECOND", F.unix_micros(text.try_cast("timestamp")))
+    has_zone = text.rlike("[0-9](Z|[+-][0-9]{2}:?[0-9]{2})$")
+    from_text = F.when(has_zone, zoned).otherwise(text.try_cast("timestamp_ntz"))
+    return F.when(seconds.isNotNull(), epoch_datetime(seconds)).otherwise(from_text)

@@ -23,20 +23,16 @@ def high_water_marks(contracts: DataFrame, table: DataFrame, address_column: str
     return joined.withColumn("max_block", F.coalesce("max_block", F.lit(0).cast("bigint")))
 
 
-def _chunks(low: Column, high: Column, size: Column) -> Column:
-    """Array of block windows covering ``[low, high]``, empty if ``low > high``."""
-    starts = F.when(low <= high, F.sequence(low, high, size)).otherwise(F.array().cast("array<bigint>"))
-    return F.transform(
-        starts,
-        lambda start: F.struct(start.alias("chunk_start"), F.least(start + size - 1, high).alias("chunk_end")),
-    )
-
-
 def split_ranges(ranges: DataFrame, size: Column | int = CHUNK_BLOCKS) -> DataFrame:
-    """One row per block window of each ``from_block``..``to_block`` range."""
+    """One row per block window of each ``from_block``..``to_block`` range.
+
+    An empty or unbounded range yields no row.
+    """
     width = F.lit(size).cast("bigint") if isinstance(size, int) else size
-    chunks = _chunks(F.col("from_block"), F.col("to_block"), width)
-    return ranges.withColumn("_chunk", F.explode(chunks)).select("*", "_chunk.*").drop("_chunk")
+    low, high = F.col("from_block"), F.col("to_block")
+    starts = F.when(low <= high, F.sequence(low, high, width))
+    windows = ranges.select("*", F.explode(starts).alias("chunk_start"))
+    return windows.withColumn("chunk_end", F.least(F.col("chunk_start") + width - 1, high))
 
 
 def fetch_plan(

@@ -86,10 +86,46 @@ def event_catalog(entries: DataFrame) -> DataFrame:
     )
 
 
+def _placed(params: Column) -> Column:
+    """Parameters with a unique name and their place in a log.
+
+    ``at`` counts topics for an indexed parameter, words of the data head for
+    another. Unnamed ones are called by position, repeated names get theirs
+    appended, so that all survive as JSON keys.
+    """
+    names = F.transform(
+        params,
+        lambda p, i: F.when(F.coalesce(p["name"], F.lit("")) != "", p["name"]).otherwise(
+            F.concat(F.lit("arg"), i.cast("string"))
+        ),
+    )
+
+    def place(param: Column, i: Column) -> Column:
+        earlier = F.slice(params, F.lit(1), i)
+        name = F.get(names, i)
+        topic = F.size(F.filter(earlier, lambda p: p["indexed"]))
+        head = F.aggregate(
+            F.filter(earlier, lambda p: ~p["indexed"]),
+            F.lit(0),
+            lambda total, p: total + F.coalesce(p["width"], F.lit(1)),
+        )
+        return F.struct(
+            F.when(F.array_position(names, name) == i + 1, name)
+            .otherwise(F.concat(name, F.lit("_"), i.cast("string")))
+            .alias("name"),
+            param["kind"].alias("kind"),
+            param["indexed"].alias("indexed"),
+            F.when(param["indexed"], topic).otherwise(head).alias("at"),
+            F.coalesce(param["width"], F.lit(1)).alias("words"),
+        )
+
+    return F.transform(params, place)
+
+
 def event_labels(catalog: DataFrame) -> DataFrame:
     """One label per contract and topic: the smallest signature if several are known."""
     named = catalog.where("topic0 is not null and not anonymous")
-    label = F.struct("event_signature", "event_name", "params")
+    label = F.struct("event_signature", "event_name", _placed(F.col("params")).alias("params"))
     return named.groupBy("address", "topic0").agg(F.min(label).alias("_own"))
 
 
@@ -177,54 +213,27 @@ def decode_params(labelled: DataFrame) -> DataFrame:
     flat = F.substr("data", F.lit(3))
     params = F.col("_params")
 
-    def place(param: Column, position: Column) -> Column:
-        """The parameter's first word: a topic, or a word of the data head."""
-        earlier = F.slice(params, F.lit(1), position)
-        topic = F.size(F.filter(earlier, lambda p: p["indexed"]))
-        head = F.aggregate(
-            F.filter(earlier, lambda p: ~p["indexed"]),
-            F.lit(0),
-            lambda total, p: total + F.coalesce(p["width"], F.lit(1)),
-        )
-        in_topic = F.lower(F.substr(F.get(topics, topic), F.lit(3)))
-        in_data = _words_at(flat, head, F.coalesce(param["width"], F.lit(1)))
-        word = F.when(param["indexed"], in_topic).otherwise(in_data)
-        return F.struct(
-            param["name"].alias("name"),
-            param["kind"].alias("kind"),
-            param["indexed"].alias("indexed"),
-            word.alias("word"),
-        )
+    def word(param: Column) -> Column:
+        in_topic = F.lower(F.substr(F.get(topics, param["at"]), F.lit(3)))
+        return F.when(param["indexed"], in_topic).otherwise(_words_at(flat, param["at"], param["words"]))
 
-    placed = labelled.withColumn("_placed", F.transform(params, place))
-    one_word = placed.withColumn(
-        "_values",
-        _word_values(
-            F.transform("_placed", lambda p: p["word"]), F.transform("_placed", lambda p: p["kind"])
-        ),
+    found = labelled.withColumn("_words", F.transform(params, word)).withColumn(
+        "_values", _word_values(F.col("_words"), F.transform(params, lambda p: p["kind"]))
     )
-    texts = F.transform(
-        F.arrays_zip("_placed", "_values"),
-        lambda z: F.when(
-            z["_placed"]["kind"].isin("string", "bytes") & ~z["_placed"]["indexed"],
-            _dynamic_hex(flat, z["_placed"]["word"]),
-        ).otherwise(z["_values"]),
-    )
-    # Unnamed or repeated names would clash as JSON keys: number them.
-    names = F.transform(
-        "_placed",
+    # Byte strings and texts lie behind the head, at the offset it states.
+    pointed = F.transform(
+        params,
         lambda p, i: F.when(
-            F.coalesce(p["name"], F.lit("")) == "", F.concat(F.lit("arg"), i.cast("string"))
-        ).otherwise(p["name"]),
+            p["kind"].isin("string", "bytes") & ~p["indexed"], _dynamic_hex(flat, F.get("_words", i))
+        ).otherwise(F.get("_values", i)),
     )
-    unique = F.transform(
-        names,
-        lambda n, i: F.when(
-            F.array_position(names, n) == i + 1, n
-        ).otherwise(F.concat(n, F.lit("_"), i.cast("string"))),
+    has_pointed = F.exists(params, lambda p: p["kind"].isin("string", "bytes") & ~p["indexed"])
+    texts = F.when(has_pointed, pointed).otherwise(F.col("_values"))
+    names = F.transform(params, lambda p: p["name"])
+    as_json = F.to_json(F.map_from_arrays(names, texts), {"ignoreNullFields": "false"})
+    return found.withColumn("decoded_data", F.when(params.isNotNull(), as_json)).drop(
+        "_params", "_words", "_values"
     )
-    decoded = F.when(params.isNotNull(), F.to_json(F.map_from_arrays(unique, texts), {"ignoreNullFields": "false"}))
-    return one_word.withColumn("decoded_data", decoded).drop("_params", "_placed", "_values")
 
 
 def described_logs(decoded: DataFrame, catalog: DataFrame) -> DataFrame:

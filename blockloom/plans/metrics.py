@@ -16,7 +16,10 @@ from ..functions import (
     first_value,
     json_array,
     json_map,
+    json_objects,
+    json_objects_by_key,
     lookup,
+    once,
     whole_number,
     without_keys,
 )
@@ -46,11 +49,9 @@ _CIRCULATING = {
 
 def stablecoins_metadata(payloads: DataFrame) -> DataFrame:
     """One row per asset with a peg type; amounts reduced to that peg's value."""
-    assets = json_array(lookup(json_map(F.col("payload")), F.lit("peggedAssets")))
     others = [c for c in payloads.columns if c != "payload"]
     items = (
-        payloads.select(*others, F.explode(assets).alias("_asset"))
-        .select(*others, json_map(F.col("_asset")).alias("_item"))
+        payloads.select(*others, F.explode(json_objects(F.col("payload"), "peggedAssets")).alias("_item"))
         .withColumn("peg_type", _field("pegType"))
         .where("peg_type is not null and peg_type <> ''")
     )
@@ -88,29 +89,28 @@ _BALANCES = ["chainBalances", "currentChainBalances"]
 
 
 def _with_metadata(payloads: DataFrame, wanted: bool, series: list[str]) -> tuple[DataFrame, list[str]]:
-    """Parse the response once; keep the keys beside the series if wanted."""
+    """The input columns, and the response's keys beside the series if wanted."""
     others = [c for c in payloads.columns if c != "payload"]
-    parsed = payloads.select(*others, json_map(F.col("payload")).alias("_item"))
-    if wanted:
-        return parsed.withColumn("metadata", without_keys(F.col("_item"), series)), [*others, "metadata"]
-    return parsed, others
+    if not wanted:
+        return payloads, others
+    return payloads.withColumn("metadata", without_keys(json_map(F.col("payload")), series)), [*others, "metadata"]
+
+
+_HISTORY = "struct<tokens:array<struct<date:string,circulating:map<string,string>>>>"
 
 
 def stablecoin_history(payloads: DataFrame, include_metadata: bool = False) -> DataFrame:
     """chain, circulating, timestamp for every point of every chain's history."""
     parsed, keep = _with_metadata(payloads, include_metadata, _BALANCES)
-    chains = parsed.select(*keep, F.explode(json_map(_field("chainBalances"))).alias("chain", "_chain"))
-    points = chains.select(
-        *keep, "chain", F.explode(json_array(lookup(json_map(F.col("_chain")), F.lit("tokens")))).alias("_p")
-    )
-    entries = points.select(*keep, "chain", json_map(F.col("_p")).alias("_point")).select(
-        *keep, "chain", "_point", json_map(_field("circulating", "_point")).alias("_amounts")
+    balances = json_objects_by_key(F.col("payload"), "chainBalances", _HISTORY)
+    points = parsed.select(*keep, F.explode(balances).alias("chain", "_chain")).select(
+        *keep, "chain", F.explode("_chain.tokens").alias("_point")
     )
-    return entries.where(F.size("_amounts") > 0).select(
+    return points.where(F.size("_point.circulating") > 0).select(
         *keep,
         "chain",
-        whole_number(first_value(F.col("_amounts"))).alias("circulating"),
-        as_datetime(_field("date", "_point")).alias("timestamp"),
+        whole_number(first_value(F.col("_point.circulating"))).alias("circulating"),
+        as_datetime(F.col("_point.date")).alias("timestamp"),
     )
 
 
@@ -119,17 +119,20 @@ def stablecoin_current(
 ) -> DataFrame:
     """chain, circulating at ``as_of`` (default now)."""
     parsed, keep = _with_metadata(payloads, include_metadata, _BALANCES)
+    balances = json_objects_by_key(F.col("payload"), "currentChainBalances", "map<string,string>")
     now = F.unix_timestamp() if as_of is None else as_of
-    stamped = parsed.withColumn("timestamp", as_datetime(now))
-    chains = stamped.select(
-        *keep, "timestamp", F.explode(json_map(_field("currentChainBalances"))).alias("chain", "_chain")
-    )
-    amounts = chains.select(*keep, "timestamp", "chain", json_map(F.col("_chain")).alias("_amounts"))
+    amounts = parsed.select(*keep, F.explode(balances).alias("chain", "_amounts"))
     return amounts.where(F.size("_amounts") > 0).select(
-        *keep, "chain", whole_number(first_value(F.col("_amounts"))).alias("circulating"), "timestamp"
+        *keep,
+        "chain",
+        whole_number(first_value(F.col("_amounts"))).alias("circulating"),
+        as_datetime(now).alias("timestamp"),
     )
 
 
+_COIN = "struct<symbol:string,decimals:string,confidence:string,prices:array<map<string,string>>>"
+
+
 def token_price(payloads: DataFrame) -> DataFrame:
     """Price points of ``network`` and ``contract_address`` (columns of the input).
 
@@ -137,14 +140,15 @@ def token_price(payloads: DataFrame) -> DataFrame:
     """
     others = [c for c in payloads.columns if c != "payload"]
     key = F.concat("network", F.lit(":"), "contract_address")
-    coin = lookup(json_map(lookup(json_map(F.col("payload")), F.lit("coins"))), key)
-    tokens = payloads.select(*others, json_map(coin).alias("_item"))
-    points = tokens.select(
-        *others, "_item", F.explode(json_array(_field("prices"))).alias("_p")
-    ).withColumn("_point", json_map(F.col("_p")))
+    coin = lookup(json_objects_by_key(F.col("payload"), "coins", _COIN), key)
+    points = payloads.select(*others, once(coin).alias("_coin")).select(
+        *others, "_coin", F.explode("_coin.prices").alias("_point")
+    )
 
     def own(name: str) -> Column:
-        return F.when(F.map_contains_key("_point", name), _field(name, "_point")).otherwise(_field(name))
+        return F.when(F.map_contains_key("_point", name), _field(name, "_point")).otherwise(
+            F.col(f"_coin.{name}")
+        )
 
     rest = [c for c in others if c not in ("network", "contract_address")]
     base = {"network": F.col("network"), "contract_address": F.col("contract_address")}
@@ -166,9 +170,7 @@ def token_price(payloads: DataFrame) -> DataFrame:
 def yield_pools(payloads: DataFrame) -> DataFrame:
     """One row per pool; token lists as JSON text, ``[]`` if missing."""
     others = [c for c in payloads.columns if c != "payload"]
-    pools = payloads.select(
-        *others, F.explode(json_array(lookup(json_map(F.col("payload")), F.lit("data")))).alias("_pool")
-    ).select(*others, json_map(F.col("_pool")).alias("_item"))
+    pools = payloads.select(*others, F.explode(json_objects(F.col("payload"), "data")).alias("_item"))
     texts = ["pool", "chain", "project", "symbol"]
     numbers = {"tvlUsd": "tvl_usd", "apy": "apy", "apyBase": "apy_base", "apyReward": "apy_reward"}
     shown = [*texts, *numbers, "rewardTokens", "underlyingTokens"]
@@ -185,9 +187,7 @@ def yield_pools(payloads: DataFrame) -> DataFrame:
 def yield_chart(payloads: DataFrame) -> DataFrame:
     """History of the pools named by ``pool_id`` and ``pool_name`` (columns of the input)."""
     others = [c for c in payloads.columns if c != "payload"]
-    points = payloads.select(
-        *others, F.explode(json_array(lookup(json_map(F.col("payload")), F.lit("data")))).alias("_p")
-    ).select(*others, json_map(F.col("_p")).alias("_item"))
+    points = payloads.select(*others, F.explode(json_objects(F.col("payload"), "data")).alias("_item"))
     numbers = {"tvlUsd": "tvl_usd", "apy": "apy", "apyBase": "apy_base", "apyReward": "apy_reward"}
     return points.select(
         *others,
@@ -203,9 +203,10 @@ _REVENUE = ["totalDataChart", "totalDataChartBreakdown"]
 def _revenue_points(payloads: DataFrame, series: str, include_metadata: bool) -> tuple[DataFrame, list[str]]:
     """Two-element points of a series as ``_at`` and ``_value``."""
     parsed, keep = _with_metadata(payloads, include_metadata, _REVENUE)
-    pairs = parsed.select(*keep, F.explode(json_array(_field(series))).alias("_p")).select(
-        *keep, json_array(F.col("_p")).alias("_pair")
-    )
+    text = F.col("payload")
+    typed = F.from_json(text, f"struct<{series}:array<array<string>>>")[series]
+    stepwise = F.transform(json_array(lookup(json_map(text), F.lit(series))), json_array)
+    pairs = parsed.select(*keep, F.explode(F.coalesce(typed, stepwise)).alias("_pair"))
     return (
         pairs.where(F.size("_pair") == 2).select(
             *keep, F.get("_pair", F.lit(0)).alias("_at"), F.get("_pair", F.lit(1)).alias("_value")

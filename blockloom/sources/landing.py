@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import CHAIN_IDS, PAGE_ROWS
-from ..functions import lower_address, parse_number, parse_wide_number, with_0x
+from ..functions import lower_address, once, parse_number, parse_wide_number, with_0x
 from ..schemas import (
     CREATION,
     ENVELOPE,
@@ -141,7 +141,7 @@ def receipts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def receipts_from_text(texts: DataFrame) -> DataFrame:
-    parsed = texts.select(F.from_json("value", RECEIPT).alias("_r")).select("_r.*")
+    parsed = texts.select(once(F.from_json("value", RECEIPT)).alias("_r")).select("_r.*")
     return parsed.where("transactionHash is not null").withColumn(
         "transactionHash", with_0x(F.col("transactionHash"))
     )
@@ -171,7 +171,7 @@ def creations_from_pages(pages: DataFrame) -> DataFrame:
 def metadata_from_pages(pages: DataFrame) -> DataFrame:
     """Name, proxy flag and implementation: the first element of each good page."""
     first = F.get(F.from_json("result", T.ArrayType(SOURCE_CODE)), F.lit(0))
-    found = good_pages(pages).select(lower_address(F.col("address")).alias("address"), first.alias("_m"))
+    found = good_pages(pages).select(lower_address(F.col("address")).alias("address"), once(first).alias("_m"))
     return found.where("_m is not null").select(
         "address",
         F.col("_m.ContractName").alias("contract_name"),

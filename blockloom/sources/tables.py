@@ -40,6 +40,16 @@ def read_range(
     return table
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input with fewer splits than cores.
+
+    Matters for a single small file followed by parsing; a large input has
+    more splits than cores and passes unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 

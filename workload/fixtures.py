@@ -9,10 +9,13 @@ bytes of hex without prefix, ``ADDRESS``, ``*_TOPIC``).
 from __future__ import annotations
 
 import re
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blockloom.sources.tables import spread
+
 TRANSFER = "0xddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3ef"
 APPROVAL = "0x8c5be1e5ebec7d5bd14f71427d1e84f3dd0314c0f7b2291e5b200ac8c7c3b925"
 
@@ -182,9 +185,14 @@ def _fill(template: str, hex_name: str, div: str, micros: str) -> str:
 _SPARK_MICROS = "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', cast({} as timestamp_ntz))"
 
 
-def spark_text(name: str, sf_dir: str) -> str:
+def spark_text(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The fixture's SQL over views of the tables in ``sf_dir``."""
     text = _fill(FIXTURES[name], "hex", "div", _SPARK_MICROS)
-    return re.sub(r"\bfrom (\w+)\b", rf"from parquet.`{sf_dir}/\1.parquet`", text)
+    for table in set(re.findall(r"\bfrom (\w+)\b", text)):
+        view = f"{table}_{zlib.crc32(sf_dir.encode())}"
+        _read(spark, sf_dir, table).createOrReplaceTempView(view)
+        text = re.sub(rf"\bfrom {table}\b", f"from {view}", text)
+    return text
 
 
 def duckdb_text(name: str) -> str:
@@ -193,11 +201,11 @@ def duckdb_text(name: str) -> str:
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The fixture over the whole tables of ``sf_dir``."""
-    return spark.sql(spark_text(name, sf_dir))
+    return spark.sql(spark_text(spark, sf_dir, name))
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 def _asked() -> dict:

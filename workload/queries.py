@@ -257,7 +257,7 @@ def sql_functions(spark, sf_dir):
         uint256_to_address(get(from_json(topics, 'array<string>'), 1)) as party,
         uint256_to_numeric(data) as amount, hex_to_numeric(data) as amount_text,
         hex_to_bigint(transaction_hash) as tx_number
-        from ({fixtures.spark_text("logs", sf_dir)})"""
+        from ({fixtures.spark_text(spark, sf_dir, "logs")})"""
     )
 
 
