@@ -8,7 +8,7 @@ from ..constants import ZERO_ADDRESS
 from .hashing import _keccak_text
 from .numbers import _DECIMAL_TEXT, _HEX_TEXT, _word_to_double, _word_to_text
 
-_TRIMMED = "trim(BOTH ' \\t\\n\\r\\f\\u000b' FROM x)"
+_TRIMMED = "trim(BOTH ' \\t\\n\\r\\u000c\\u000b' FROM x)"
 _DIGITS = "ltrim('0', translate(substr({t}, 3), '_', ''))"
 
 

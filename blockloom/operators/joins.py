@@ -22,6 +22,7 @@ def label_join(
     labels: DataFrame,
     keys: list[str],
     spread_by: list[str],
+    label_bytes: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -30,9 +31,12 @@ def label_join(
     Labels measured to fit are broadcast, so the facts do not move. Larger
     ones are joined by shuffle with the facts' keys split ``salts`` ways by a
     hash of ``spread_by``, and each label copied once per split; the hash of
-    row content stays the same when a lost task is rerun.
+    row content stays the same when a lost task is rerun. ``label_bytes`` is
+    an upper bound a caller has measured already.
     """
-    if measured_bytes(labels) <= broadcast_bytes:
+    if label_bytes is None:
+        label_bytes = measured_bytes(labels)
+    if label_bytes <= broadcast_bytes:
         return facts.join(F.broadcast(labels), keys, "left")
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))

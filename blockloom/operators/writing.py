@@ -87,12 +87,13 @@ def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
         raise
 
 
-def save_model(df: DataFrame, name: str, sort: list[str], bloom: tuple[str, ...] = ()) -> None:
-    """Replace a catalog table, sorted inside its files by the lookup columns."""
-    writer = df.hint("rebalance").sortWithinPartitions(*sort).write.mode("overwrite").format("parquet")
+def save_model(df: DataFrame, name: str, sort: list[str], bloom: tuple[str, ...] = ()) -> DataFrame:
+    """Replace a catalog table, laid out like the raw tables; returns it."""
+    writer = laid_out(df, sort).write.mode("overwrite").format("parquet").partitionBy(*PARTITIONS)
     for column in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     writer.saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def record_failures(failures: DataFrame, path: str) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import keccak256_hex
-from ..operators.joins import label_join
+from ..operators.joins import label_join, measured_bytes
 from ..operators.lookups import first_implementation
 from ..session import stage
 
@@ -139,8 +139,9 @@ def label_events(decoded: DataFrame, catalog: DataFrame, params: bool = False) -
     spread = ["transaction_hash", "log_index"]
     own = stage(event_labels(catalog), "labels")
     shared = own.groupBy("topic0").agg(F.min("_own").alias("_shared"))
-    joined = label_join(decoded, own, ["address", "topic0"], spread)
-    joined = label_join(joined, shared, ["topic0"], spread)
+    size = measured_bytes(own)  # bounds ``shared`` too, which keeps some of its rows
+    joined = label_join(decoded, own, ["address", "topic0"], spread, size)
+    joined = label_join(joined, shared, ["topic0"], spread, size)
     label = F.coalesce("_own", "_shared")
     return joined.select(
         *decoded.columns,

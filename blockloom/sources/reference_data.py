@@ -44,14 +44,14 @@ def manifest_from_text(texts: DataFrame) -> DataFrame:
     )
 
 
-def abi_files(spark: SparkSession, folder: str, depth: int = 6) -> DataFrame:
+def abi_files(spark: SparkSession, folder: str, depth: int = 4) -> DataFrame:
     """ABI entries of a folder holding one ``<address>.json`` per contract."""
     files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
     name = F.regexp_extract(F.input_file_name(), "([^/]+)[.]json$", 1)
     return abi_entries(files.select(name.alias("address"), "value"), depth)
 
 
-def abi_entries(texts: DataFrame, depth: int = 6) -> DataFrame:
+def abi_entries(texts: DataFrame, depth: int = 4) -> DataFrame:
     """One row per ABI entry of ``(address, value)`` with the list as JSON text."""
     parsed = F.from_json("value", T.ArrayType(abi_entry(depth)))
     return texts.select(lower_address(F.col("address")).alias("address"), F.explode(parsed).alias("entry"))
