@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import label_join
+
 _DAY = 86_400
 
 
@@ -17,7 +19,8 @@ def blocks_at(probes: DataFrame, blocks: DataFrame, closest: str = "before", buc
     Both sides first shrink to one row per chain and second. A window bucket
     of ``bucket_seconds`` then holds at most that many rows of each side, no
     matter how the data is skewed. Buckets without an earlier block take the
-    nearest one from a frame of one row per chain and bucket.
+    nearest one from a frame of one row per chain and bucket. The answers go
+    back to all probes by a join that spreads a second many of them share.
     """
     if closest not in ("before", "after"):
         raise ValueError("closest is 'before' or 'after'")
@@ -67,4 +70,5 @@ def blocks_at(probes: DataFrame, blocks: DataFrame, closest: str = "before", buc
     answers = found.join(carried, ["chainid", "_bucket"], "left").select(
         "chainid", "t", F.coalesce("_near", "_carried").alias("block_number")
     )
-    return probes.join(answers, ["chainid", "t"], "left")
+    spread_by = [c for c in probes.columns if c != "chainid"]
+    return label_join(probes, answers, ["chainid", "t"], spread_by)

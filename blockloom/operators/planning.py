@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import CHUNK_BLOCKS, RETRY_DIVISOR, RETRY_MIN_BLOCKS
+from .joins import label_join
 
 
 def resume_blocks(table: DataFrame, address_column: str = "address") -> DataFrame:
@@ -58,7 +59,8 @@ def fetch_plan(
     else:
         asked = asked.withColumn("creation_block", F.lit(None).cast("bigint"))
     per_kind = asked.withColumn("kind", F.explode(F.array(*[F.lit(k) for k in kinds])))
-    bounded = per_kind.join(stored, ["chainid", "address", "kind"], "left").join(latest, "chainid", "left")
+    known = per_kind.join(stored, ["chainid", "address", "kind"], "left")
+    bounded = label_join(known, latest, ["chainid"], ["address", "kind"])
     start = F.coalesce("max_block", "from_block", "creation_block", F.lit(0).cast("bigint"))
     ranges = bounded.select(
         "chainid",

@@ -14,11 +14,17 @@ from ..session import stage
 
 
 def combined_abi(entries: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Each contract's own entries plus those of its implementation, under the contract."""
+    """Each contract's own entries plus those of its implementation, under the contract.
+
+    One implementation can stand behind a large share of all contracts, so
+    only the ABIs in use take part and the join treats it as a hot key.
+    """
     links = first_implementation(pairs)
+    used = links.select("implementation_address").distinct()
     behind = entries.withColumnRenamed("address", "implementation_address")
-    inherited = links.join(behind, "implementation_address").select("address", "entry")
-    return entries.unionByName(inherited)
+    behind = behind.join(used, "implementation_address", "left_semi")
+    inherited = label_join(links, behind, ["implementation_address"], ["address"])
+    return entries.unionByName(inherited.where("entry is not null").select("address", "entry"))
 
 
 _UNKNOWN = "?"

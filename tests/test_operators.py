@@ -32,19 +32,49 @@ def test_chains_are_broadcast_and_wide_enough(spark):
     assert reference_data.chains(spark).count() == len(CHAIN_IDS) == 71
 
 
-def test_label_join_broadcast_and_salted_agree_under_skew(spark):
-    facts = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
+def test_label_join_forms_agree_under_skew(spark):
+    facts = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "hot")
+        .when(F.col("id") % 3 == 1, None)
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 5000))
+        .alias("k"),
         F.col("id").alias("v"),
     )
-    labels = spark.createDataFrame([("hot", "H"), ("k1", "one")], "k string, label string")
+    labels = spark.createDataFrame(
+        [("hot", "H", 1), ("k2", "two", None), ("k5", None, 3), ("unused", "u", 4)], "k string, label string, n int"
+    )
     small = joins.label_join(facts, labels, ["k"], ["v"])
-    large = joins.label_join(facts, labels, ["k"], ["v"], broadcast_bytes=0, salts=8)
+    large = joins.label_join(facts, labels, ["k"], ["v"], broadcast_bytes=0)
     assert "BroadcastHashJoin" in plan_text(small)
-    assert rows(small.select("k", "v", "label")) == rows(large.select("k", "v", "label"))
-    assert large.count() == 3000
-    known_size = joins.label_join(facts, labels, ["k"], ["v"], label_bytes=10**12)
-    assert "_salt" in known_size._jdf.queryExecution().analyzed().toString()
+    assert rows(small.select("k", "v", "label", "n")) == rows(large.select("k", "v", "label", "n"))
+    assert large.count() == 6000 and large.columns == ["k", "v", "label", "n"]
+    unlabelled_hot = joins.hot_key_join(facts, labels.where("k <> 'hot'"), ["k"], ["v"])
+    assert unlabelled_hot.where("k = 'hot' and label is null").count() == 2000
+
+
+def test_hot_key_join_spreads_the_hot_key(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        facts = spark.range(8000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
+        labels = spark.createDataFrame([("hot", "H"), ("x", "X")], "k string, label string")
+        joined = joins.hot_key_join(facts, labels, ["k"], ["v"])
+        assert "SortMergeJoin" in plan_text(joined)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2000
+        assert joined.where("label = 'H'").count() == 8000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_hot_key_join_multiplies_by_repeated_labels(spark):
+    facts = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
+    labels = spark.createDataFrame([("a", "x"), ("a", "y")], "k string, label string")
+    got = joins.hot_key_join(facts, labels, ["k"], ["v"])
+    expected = [("a", 1, "x"), ("a", 1, "y"), ("a", 2, "x"), ("a", 2, "y"), ("b", 3, None)]
+    assert rows(got) == sorted(expected, key=repr)
 
 
 def test_new_rows_treats_null_as_equal(spark):
