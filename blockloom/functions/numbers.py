@@ -18,45 +18,47 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _BLANKS = " \t\n\r\f\v"
-_HEX_TEXT = "^_?[0-9a-fA-F]+(_[0-9a-fA-F]+)*$"
-_DECIMAL_TEXT = "^[+-]?[0-9]+(_[0-9]+)*$"
+_HEX64_TEXT = "^0x0*[0-9a-fA-F]{1,16}$"
+_HEX128_TEXT = "^0x0*[0-9a-fA-F]{1,32}$"
+_DECIMAL_TEXT = "^[+-]?[0-9]+$"
+_SEPARATED_TEXT = "^([+-]?[0-9]|0x_?[0-9a-fA-F])[0-9a-fA-F]*(_[0-9a-fA-F]+)*$"
 _WORD_DIGITS = 64
 
 
-def _hex_digits(prefixed: Column) -> Column:
-    """Digits after ``0x``, without separators and leading zeros; bad text is NULL."""
-    body = F.substr(prefixed, F.lit(3))
-    return F.when(body.rlike(_HEX_TEXT), F.ltrim(F.translate(body, "_", ""), F.lit("0")))
+def _plain_number(t: Column) -> Column:
+    from_hex = F.when(t.rlike(_HEX64_TEXT), F.conv(F.substr(t, F.lit(3)), 16, 10))
+    from_decimal = F.when(t.rlike(_DECIMAL_TEXT), t)
+    return F.when(t.startswith("0x"), from_hex).otherwise(from_decimal).try_cast("bigint")
 
 
-def _unsigned64(digits: Column) -> Column:
-    """Up to 16 hex digits as decimal text (no digits left means zero)."""
-    return F.coalesce(F.conv(digits, 16, 10), F.lit("0"))
+def _plain_wide_number(t: Column) -> Column:
+    halves = F.lpad(F.ltrim(F.substr(t, F.lit(3)), F.lit("0")), 32, "0")
+    high = F.conv(F.left(halves, F.lit(16)), 16, 10).cast("decimal(20,0)")
+    low = F.conv(F.right(halves, F.lit(16)), 16, 10).cast("decimal(20,0)")
+    two_64 = F.lit("18446744073709551616").cast("decimal(20,0)")
+    from_hex = F.when(
+        t.rlike(_HEX128_TEXT),
+        F.try_add(F.try_multiply(high, two_64), low).try_cast("decimal(38,0)"),
+    )
+    from_decimal = F.when(t.rlike(_DECIMAL_TEXT), t).try_cast("decimal(38,0)")
+    return F.when(t.startswith("0x"), from_hex).otherwise(from_decimal)
+
+
+def _parsed(text: Column, plain) -> Column:
+    """``plain`` over trimmed text; digit separators only if that gave nothing."""
+    t = F.trim(text, F.lit(_BLANKS))
+    separated = F.when(t.contains("_") & t.rlike(_SEPARATED_TEXT), F.translate(t, "_", ""))
+    return F.coalesce(plain(t), plain(separated))
 
 
 def parse_number(text: Column) -> Column:
     """API number text to BIGINT: blank, ``0x`` and malformed text are NULL."""
-    t = F.trim(text, F.lit(_BLANKS))
-    digits = _hex_digits(t)
-    from_hex = F.when(F.length(digits) <= 16, _unsigned64(digits))
-    from_decimal = F.when(t.rlike(_DECIMAL_TEXT), F.translate(t, "_", ""))
-    return F.when(t.startswith("0x"), from_hex).otherwise(from_decimal).try_cast("bigint")
+    return _parsed(text, _plain_number)
 
 
 def parse_wide_number(text: Column) -> Column:
     """As :func:`parse_number`, to DECIMAL(38,0) for amounts in wei."""
-    t = F.trim(text, F.lit(_BLANKS))
-    digits = _hex_digits(t)
-    halves = F.lpad(digits, 32, "0")
-    high = _unsigned64(F.left(halves, F.lit(16))).cast("decimal(20,0)")
-    low = _unsigned64(F.right(halves, F.lit(16))).cast("decimal(20,0)")
-    two_64 = F.lit("18446744073709551616").cast("decimal(20,0)")
-    from_hex = F.when(
-        F.length(digits) <= 32,
-        F.try_add(F.try_multiply(high, two_64), low).try_cast("decimal(38,0)"),
-    )
-    from_decimal = F.when(t.rlike(_DECIMAL_TEXT), F.translate(t, "_", "")).try_cast("decimal(38,0)")
-    return F.when(t.startswith("0x"), from_hex).otherwise(from_decimal)
+    return _parsed(text, _plain_wide_number)
 
 
 def hex_to_bigint(text: Column) -> Column:

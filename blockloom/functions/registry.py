@@ -6,20 +6,21 @@ from pyspark.sql import SparkSession
 
 from ..constants import ZERO_ADDRESS
 from .hashing import _keccak_text
-from .numbers import _DECIMAL_TEXT, _HEX_TEXT, _word_to_double, _word_to_text
+from .numbers import _DECIMAL_TEXT, _HEX64_TEXT, _SEPARATED_TEXT, _word_to_double, _word_to_text
 
 _TRIMMED = "trim(BOTH ' \\t\\n\\r\\u000c\\u000b' FROM x)"
-_DIGITS = "ltrim('0', translate(substr({t}, 3), '_', ''))"
 
 
 def _number_sql(t: str) -> str:
-    digits = _DIGITS.format(t=t)
-    return (
-        f"try_cast(case when startswith({t}, '0x') then "
-        f"case when substr({t}, 3) rlike '{_HEX_TEXT}' and length({digits}) <= 16 "
-        f"then coalesce(conv({digits}, 16, 10), '0') end "
-        f"when {t} rlike '{_DECIMAL_TEXT}' then translate({t}, '_', '') end as bigint)"
-    )
+    def plain(t: str) -> str:
+        return (
+            f"try_cast(case when startswith({t}, '0x') then "
+            f"case when {t} rlike '{_HEX64_TEXT}' then conv(substr({t}, 3), 16, 10) end "
+            f"when {t} rlike '{_DECIMAL_TEXT}' then {t} end as bigint)"
+        )
+
+    separated = f"case when {t} like '%\\_%' and {t} rlike '{_SEPARATED_TEXT}' then translate({t}, '_', '') end"
+    return f"coalesce({plain(t)}, {plain(separated)})"
 
 
 _BARE = "case when startswith(x, '0x') then substr(x, 3) else x end"

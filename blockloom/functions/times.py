@@ -29,4 +29,6 @@ def as_datetime(value: Column) -> Column:
     zoned = _since_epoch("MICROSECOND", F.unix_micros(text.try_cast("timestamp")))
     has_zone = text.rlike("[0-9](Z|[+-][0-9]{2}:?[0-9]{2})$")
     from_text = F.when(has_zone, zoned).otherwise(text.try_cast("timestamp_ntz"))
-    return F.when(seconds.isNotNull(), epoch_datetime(seconds)).otherwise(from_text)
+    # A failed cast is costly, so the kind of text is told apart first.
+    is_number = text.rlike("^[+-]?[0-9.]+([eE][+-]?[0-9]+)?$")
+    return F.when(is_number, epoch_datetime(seconds)).otherwise(from_text)

@@ -246,3 +246,9 @@ def decode_params(labelled: DataFrame) -> DataFrame:
 def described_logs(decoded: DataFrame, catalog: DataFrame) -> DataFrame:
     """Decoded logs with event name, signature and parameters."""
     return decode_params(label_events(decoded, catalog, params=True))
+
+
+def save_events(catalog: DataFrame, path: str) -> None:
+    """The event catalog as Parquet, sorted so that one contract's events lie together."""
+    laid = catalog.hint("rebalance", "address").sortWithinPartitions("address", "event_name")
+    laid.write.mode("overwrite").parquet(path)

@@ -108,6 +108,10 @@ def test_event_catalog_from_files(spark, tmp_path):
     got = sorted((r.address, r.event_name, r.event_signature, r.topic0, r.anonymous) for r in events.collect())
     filled = ("Filled", signature, keccak256([signature.encode()])[0], False)
     empty = ("Empty", "Empty()", keccak256([b"Empty()"])[0], True)
+    folder = fresh_path(spark, "events")
+    catalog.save_events(events, folder)
+    stored = spark.read.parquet(folder).where("address = '0xbb'")
+    assert "EqualTo(address,0xbb)" in plan_text(stored) and stored.count() == 3
     assert got == sorted([("0xaa", *filled), ("0xaa", *empty), ("0xbb", *empty), ("0xbb", *filled), ("0xbb", *empty)])
 
 

@@ -68,13 +68,15 @@ select event_id,
     when 4 then ' 0x' || lower(HEX(event_id)) || ' ' when 5 then '12ab' when 6 then cast(null as string)
     when 7 then '   ' else '0x' || HEX(event_id) end as raw
 from events""",
-    # Two fetches that overlap; some fields NULL.
+    # Two fetches of all events; in the second every third row has changed.
+    # Some fields are NULL.
     "first_fetch": """
 select event_id, user_id, case when event_id % 11 = 0 then null else event_type end as event_type
-from events where event_id % 3 <> 0""",
+from events""",
     "second_fetch": """
-select event_id, user_id, case when event_id % 11 = 0 then null else event_type end as event_type
-from events where event_id % 3 <> 1""",
+select event_id, case when event_id % 3 = 1 then user_id + 1 else user_id end as user_id,
+  case when event_id % 11 = 0 then null else event_type end as event_type
+from events""",
     "failed_ranges": """
 select ADDRESS(o_custkey % 7 + 4096) as contract_address,
   cast(1 as bigint) as chainid,
@@ -147,7 +149,7 @@ from events""",
 select distinct cast(1 as bigint) as chainid, ADDRESS(c_custkey + 4000) as address,
   case when c_custkey % 3 = 0 then cast(18000000 + c_custkey as bigint) end as from_block
 from customer""",
-    # A contract's ABI: two or three events and a function; odd ones are proxies.
+    # A contract's ABI: one or two events and a function.
     "abis": """
 select ADDRESS(s_suppkey) as address,
   '[{"type":"event","name":"Transfer","anonymous":false,"inputs":['
@@ -158,19 +160,21 @@ select ADDRESS(s_suppkey) as address,
     || '{"name":"reserve1","type":"uint112","indexed":false}]},' else '' end
   || '{"type":"function","name":"decimals","inputs":[]}]' as value
 from supplier""",
+    # Odd contracts are proxies of their successor.
     "proxies": """
-select ADDRESS(s_suppkey) as address, ADDRESS(s_suppkey + 1) as implementation_address
-from supplier where s_suppkey % 2 = 1""",
-    # ABIs of the contracts that emit the logs fixture; the last two have none.
+select ADDRESS(s_suppkey) as address,
+  case when s_suppkey % 2 = 1 then ADDRESS(s_suppkey + 1) else 'None' end as implementation_address
+from supplier""",
+    # ABIs of the contracts that emit the logs fixture; two have an empty one.
     "log_abis": """
 select distinct ADDRESS(user_id % 7 + 4096) as address,
-  '[{"type":"event","name":"Transfer","anonymous":false,"inputs":['
+  case when user_id % 7 > 4 then '[]' else '[{"type":"event","name":"Transfer","anonymous":false,"inputs":['
   || '{"name":"from","type":"address","indexed":true},{"name":"to","type":"address","indexed":true},'
   || '{"name":"value","type":"uint256","indexed":false}]},'
   || '{"type":"event","name":"Approval","anonymous":false,"inputs":['
   || '{"name":"owner","type":"address","indexed":true},{"name":"spender","type":"address","indexed":true},'
-  || '{"name":"value","type":"uint256","indexed":false}]}]' as value
-from events where user_id % 7 < 5""",
+  || '{"name":"value","type":"uint256","indexed":false}]}]' end as value
+from events""",
 }
 
 
