@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stage
 from ..sources.tables import BUCKET_BLOCKS, block_bucket
-from .dedup import new_rows
+from .dedup import new_rows, possible_copies
 
 PARTITIONS = ["chainid", "block_bucket"]
+SMALL_FETCH_ROWS = 2_000_000
 
 
 def laid_out(df: DataFrame, sort: list[str], width: int = BUCKET_BLOCKS) -> DataFrame:
@@ -25,12 +26,18 @@ def laid_out(df: DataFrame, sort: list[str], width: int = BUCKET_BLOCKS) -> Data
     return bucketed.hint("rebalance", *PARTITIONS).sortWithinPartitions(*PARTITIONS, *sort)
 
 
-def write_table(df: DataFrame, path: str, sort: list[str], mode: str = "errorifexists", bloom: tuple[str, ...] = ()) -> None:
-    """Partitioned Parquet; ``bloom`` columns get filters for point lookups."""
-    writer = laid_out(df, sort).write.mode(mode).partitionBy(*PARTITIONS)
+def write_table(df: DataFrame, path: str, sort: list[str], mode: str = "errorifexists", bloom: tuple[str, ...] = ()) -> int:
+    """Partitioned Parquet; ``bloom`` columns get filters for point lookups.
+
+    Returns the rows written, counted on the way in the writing tasks.
+    """
+    written = Observation()
+    counted = laid_out(df, sort).observe(written, F.count(F.lit(1)).alias("n"))
+    writer = counted.write.mode(mode).partitionBy(*PARTITIONS)
     for column in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     writer.parquet(path)
+    return written.get["n"]
 
 
 def touched(table: DataFrame, fetched: DataFrame) -> DataFrame:
@@ -63,18 +70,16 @@ def append_new(fetched: DataFrame, path: str, sort: list[str], bloom: tuple[str,
     failed half-way is simply run again.
     """
     spark = fetched.sparkSession
-    bucketed = fetched.withColumn("block_bucket", block_bucket(F.col("block_number")))
-    staged = stage(bucketed, "fetched")
+    staged = stage(fetched.withColumn("block_bucket", block_bucket(F.col("block_number"))), "fetched")
     stored = stored_table(spark, path, staged.schema)
     if stored is None:
-        fresh = stage(staged.dropDuplicates(), "fresh")
+        fresh = staged.dropDuplicates()
     else:
-        overlap = touched(stored, staged).select(*staged.columns)
-        fresh = stage(new_rows(staged, overlap), "fresh")
-    added = fresh.count()
-    if added:
-        write_table(fresh.drop("block_bucket"), path, sort, mode="append", bloom=bloom)
-    return added
+        overlap = touched(stored, staged)
+        if staged.count() <= SMALL_FETCH_ROWS:
+            overlap = possible_copies(overlap, staged)
+        fresh = new_rows(staged, overlap)
+    return write_table(fresh, path, sort, mode="append", bloom=bloom)
 
 
 def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:

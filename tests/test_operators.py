@@ -86,10 +86,27 @@ def test_new_rows_treats_null_as_equal(spark):
     assert rows(dedup.rows_added(fetched.where("false"), stored.where("false"))) == [(0, 0, 0)]
 
 
-def test_new_rows_shuffles_by_key_not_by_nested_loop(spark):
+def test_new_rows_is_one_hash_aggregate(spark):
     stored = spark.range(10).select("id", F.lit("x").alias("b"))
     plan = plan_text(dedup.new_rows(stored, stored))
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "Join" not in plan and "SortAggregate" not in plan and plan.count("Exchange") == 1
+
+
+def test_possible_copies_keep_every_match(spark):
+    stored = spark.createDataFrame([(1, None), (2, "b"), (3, "c"), (None, None)], "a int, b string")
+    fetched = spark.createDataFrame([(1, None), (2, "x"), (None, None)], "a int, b string")
+    kept = dedup.possible_copies(stored, fetched)
+    assert rows(kept) == sorted([(1, None), (None, None)], key=repr)
+    assert rows(dedup.new_rows(fetched, kept)) == rows(dedup.new_rows(fetched, stored)) == [(2, "x")]
+
+
+def test_append_without_prefilter_agrees(spark, monkeypatch):
+    path = fresh_path(spark, "table")
+    monkeypatch.setattr(writing, "SMALL_FETCH_ROWS", 0)
+    assert writing.append_new(sample_logs(spark, 0, 300), path, ["address"]) == 300
+    assert writing.append_new(sample_logs(spark, 200, 400), path, ["address"]) == 100
+    assert writing.append_new(sample_logs(spark, 0, 0), path, ["address"]) == 0
+    assert spark.read.parquet(path).count() == 400
 
 
 def test_union_keeps_columns_of_one_side(spark):
