@@ -225,7 +225,7 @@ def decode_params(labelled: DataFrame) -> DataFrame:
         return F.when(param["indexed"], in_topic).otherwise(_words_at(flat, param["at"], param["words"]))
 
     found = labelled.withColumn("_words", F.transform(params, word)).withColumn(
-        "_values", _word_values(F.col("_words"), F.transform(params, lambda p: p["kind"]))
+        "_values", _word_values(F.col("_words"), params["kind"])
     )
     # Byte strings and texts lie behind the head, at the offset it states.
     pointed = F.transform(
@@ -234,10 +234,9 @@ def decode_params(labelled: DataFrame) -> DataFrame:
             p["kind"].isin("string", "bytes") & ~p["indexed"], _dynamic_hex(flat, F.get("_words", i))
         ).otherwise(F.get("_values", i)),
     )
-    has_pointed = F.exists(params, lambda p: p["kind"].isin("string", "bytes") & ~p["indexed"])
-    texts = F.when(has_pointed, pointed).otherwise(F.col("_values"))
-    names = F.transform(params, lambda p: p["name"])
-    as_json = F.to_json(F.map_from_arrays(names, texts), {"ignoreNullFields": "false"})
+    may_point = F.arrays_overlap(params["kind"], F.array(F.lit("string"), F.lit("bytes")))
+    texts = F.when(may_point, pointed).otherwise(F.col("_values"))
+    as_json = F.to_json(F.map_from_arrays(params["name"], texts), {"ignoreNullFields": "false"})
     return found.withColumn("decoded_data", F.when(params.isNotNull(), as_json)).drop(
         "_params", "_words", "_values"
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..constants import CHAIN_IDS, PAGE_ROWS
+from ..constants import CHAIN_IDS, NUMERIC_FIELDS, PAGE_ROWS
 from ..functions import lower_address, once, parse_number, parse_wide_number, with_0x
 from ..schemas import (
     CREATION,
@@ -70,10 +70,12 @@ def _elements(pages: DataFrame, element: T.StructType, keep: list[str]) -> DataF
     return good_pages(pages).select(*keep, F.explode(rows).alias("_row")).select(*keep, "_row.*")
 
 
-def _typed(raw: DataFrame, names: list[str]) -> DataFrame:
-    wide = {n: parse_wide_number(F.col(n)) for n in names if n in WIDE_FIELDS}
-    narrow = {n: parse_number(F.col(n)) for n in names if n not in WIDE_FIELDS}
-    return raw.withColumns({**wide, **narrow})
+def _typed(raw: DataFrame) -> DataFrame:
+    """Numeric fields of the API as numbers, others untouched."""
+    present = [n for n in NUMERIC_FIELDS if n in raw.columns]
+    return raw.withColumns(
+        {n: (parse_wide_number if n in WIDE_FIELDS else parse_number)(F.col(n)) for n in present}
+    )
 
 
 def logs_from_pages(pages: DataFrame) -> DataFrame:
@@ -82,9 +84,7 @@ def logs_from_pages(pages: DataFrame) -> DataFrame:
         {"contract_address": lower_address(F.col("address")), "chainid": _chain_id(F.col("chain"))}
     ).drop("address")
     raw = _elements(asked, RAW_LOG, ["chainid", "chain", "contract_address"])
-    return _typed(
-        raw, ["blockNumber", "timeStamp", "gasPrice", "gasUsed", "logIndex", "transactionIndex"]
-    )
+    return _typed(raw)
 
 
 def transactions_from_pages(pages: DataFrame) -> DataFrame:
@@ -93,21 +93,7 @@ def transactions_from_pages(pages: DataFrame) -> DataFrame:
         {"address": lower_address(F.col("address")), "chainid": _chain_id(F.col("chain"))}
     )
     raw = _elements(asked, RAW_TRANSACTION, ["chainid", "chain", "address"])
-    return _typed(
-        raw,
-        [
-            "blockNumber",
-            "timeStamp",
-            "nonce",
-            "transactionIndex",
-            "value",
-            "gas",
-            "gasPrice",
-            "gasUsed",
-            "cumulativeGasUsed",
-            "confirmations",
-        ],
-    )
+    return _typed(raw)
 
 
 def to_table_names(landed: DataFrame) -> DataFrame:
@@ -150,9 +136,7 @@ def receipts_from_text(texts: DataFrame) -> DataFrame:
 def logs_from_receipts(found: DataFrame) -> DataFrame:
     """The logs nested in receipts, typed, in table names."""
     rows = found.select(F.explode("logs").alias("_log")).select("_log.*")
-    numbers = ("blockNumber", "transactionIndex", "logIndex")
-    typed = rows.withColumns({n: parse_number(F.col(n)) for n in numbers})
-    return to_table_names(typed)
+    return to_table_names(_typed(rows))
 
 
 def creations_from_pages(pages: DataFrame) -> DataFrame:
