@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -157,34 +159,49 @@ def label_events(decoded: DataFrame, catalog: DataFrame, params: bool = False) -
     )
 
 
-def _value_text(word: str | None, kind: str) -> str | None:
-    """One 32-byte word as text by its ABI type."""
-    if word is None:
-        return None
-    if "[" in kind or "(" in kind:
-        return "0x" + word
+def _prefixed(words: pa.Array) -> pa.Array:
+    return pc.binary_join_element_wise("0x", words, "")
+
+
+def _whole(words: pa.Array, signed: bool) -> pa.Array:
+    texts = []
+    for word in words.to_pylist():
+        number = None if word is None else int(word, 16)
+        if signed and number is not None and number >> 255:
+            number -= 1 << 256
+        texts.append(None if number is None else str(number))
+    return pa.array(texts, type=pa.string())
+
+
+def _values_of_kind(words: pa.Array, kind: str) -> pa.Array:
+    """Words of one ABI type as text; composite and hashed values stay hex."""
+    if "[" in kind or "(" in kind or kind in ("string", "bytes"):
+        return _prefixed(words)
     if kind == "address":
-        return "0x" + word[24:]
+        return _prefixed(pc.utf8_slice_codeunits(words, 24))
     if kind == "bool":
-        return "true" if int(word, 16) else "false"
-    if kind.startswith("uint"):
-        return str(int(word, 16))
-    if kind.startswith("int"):
-        number = int(word, 16)
-        return str(number - (1 << 256) if number >> 255 else number)
-    if kind.startswith("bytes") and kind != "bytes":
-        return "0x" + word[: 2 * int(kind[5:])]
-    return "0x" + word
+        return pc.if_else(pc.match_substring_regex(words, "[1-9a-f]"), "true", "false")
+    if kind.startswith(("uint", "int")):
+        return _whole(words, signed=kind.startswith("int"))
+    if kind.startswith("bytes"):
+        return _prefixed(pc.utf8_slice_codeunits(words, 0, 2 * int(kind.removeprefix("bytes"))))
+    return _prefixed(words)
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def _word_values(words: pa.Array, kinds: pa.Array) -> pa.Array:
-    rows = [
-        [_value_text(w, k) for w, k in zip(ws, ks)] if ws is not None else None
-        for ws, ks in zip(words.to_pylist(), kinds.to_pylist())
+    flat, coded = words.flatten(), kinds.flatten().dictionary_encode()
+    code = coded.indices.to_numpy()
+    order = np.argsort(code, kind="stable")
+    parts = [
+        _values_of_kind(flat.take(pa.array(order[code[order] == n])), kind)
+        for n, kind in enumerate(coded.dictionary.to_pylist())
     ]
-    return pa.array(rows, type=pa.list_(pa.string()))
-
+    grouped = pa.concat_arrays(parts) if parts else pa.array([], type=pa.string())
+    values = grouped.take(pa.array(np.argsort(order, kind="stable")))
+    sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), type=pa.int32())
+    return pa.ListArray.from_arrays(offsets, values, mask=words.is_null())
 
 
 def _words_at(data: Column, index: Column, count: Column) -> Column:
