@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, mixing, pieces, quality, token_frames, toxicity
+from . import exact_dedup, language, mixing, pieces, quality, token_frames, top_k, toxicity, warc
 
 QUERIES = {
     "op2_token_frames": token_frames.op2_token_frames,
+    "op3_top_k": top_k.op3_top_k,
+    "op4_warc": warc.op4_warc,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_language_id": language.op7_language_id,
@@ -14,6 +16,8 @@ QUERIES = {
     "op10_quality": quality.op10_quality,
 }
 ORACLES = {
+    "op3_top_k": top_k.OP3_SQL,
+    "op4_warc": warc.OP4_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op9_mixing": mixing.OP9_SQL,
 }

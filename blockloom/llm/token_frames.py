@@ -199,7 +199,7 @@ def write(docs: DataFrame, folder: str, files: int | None = None, path: str | No
         for batch in batches:
             for row in batch.to_pylist():
                 if writer is None:
-                    stream = fs.open_output_stream(own)
+                    stream = fs.open_output_stream(own, compression=None)
                     writer = Writer(stream)
                 writer.add(row["doc_id"], row["frame"], row["size"], row["sum"])
                 ids += row["size"] // 4
