@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, mixing, pieces, quality, token_frames, top_k, toxicity, warc
+from . import exact_dedup, jaccard, language, mixing, pieces, quality, token_frames, top_k, toxicity, warc
 
 QUERIES = {
+    "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
     "op2_token_frames": token_frames.op2_token_frames,
     "op3_top_k": top_k.op3_top_k,
     "op4_warc": warc.op4_warc,
