@@ -4,7 +4,6 @@ from .addresses import is_zero_address, lower_address, uint256_to_address, with_
 from .hashing import keccak256_hex
 from .nested import (
     first_value,
-    flag,
     json_array,
     json_map,
     json_objects,
@@ -32,7 +31,6 @@ __all__ = [
     "epoch_datetime",
     "extract_hex_data",
     "first_value",
-    "flag",
     "hex_to_bigint",
     "hex_to_decimal",
     "hex_to_numeric",

@@ -60,13 +60,13 @@ def first_value(mapping: Column) -> Column:
 
 
 def whole_number(value: Column) -> Column:
-    """Truncate towards zero to BIGINT; out of range or non-numeric is NULL."""
-    return value.try_cast("double").try_cast("bigint")
+    """Truncate towards zero to BIGINT; out of range or non-numeric is NULL.
 
-
-def flag(value: Column) -> Column:
-    """``"1"`` is true, everything else false."""
-    return F.coalesce(value == F.lit("1"), F.lit(False))
+    Whole and decimal texts are exact; only exponents go through DOUBLE.
+    """
+    text = F.trim(value.cast("string"))
+    exact = F.when(text.rlike(r"^[+-]?[0-9]+([.][0-9]*)?$"), F.split_part(text, F.lit("."), F.lit(1)))
+    return F.when(exact.isNotNull(), exact.try_cast("bigint")).otherwise(value.try_cast("double").try_cast("bigint"))
 
 
 def without_keys(mapping: Column, names: list[str]) -> Column:

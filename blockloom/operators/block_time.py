@@ -70,5 +70,4 @@ def blocks_at(probes: DataFrame, blocks: DataFrame, closest: str = "before", buc
     answers = found.join(carried, ["chainid", "_bucket"], "left").select(
         "chainid", "t", F.coalesce("_near", "_carried").alias("block_number")
     )
-    spread_by = [c for c in probes.columns if c != "chainid"]
-    return label_join(probes, answers, ["chainid", "t"], spread_by)
+    return label_join(probes, answers, ["chainid", "t"])

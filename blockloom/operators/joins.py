@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 1000
-SALTS = 256
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -24,49 +20,21 @@ def label_join(
     facts: DataFrame,
     labels: DataFrame,
     keys: list[str],
-    spread_by: list[str],
     label_bytes: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Left join of ``facts`` to ``labels`` on ``keys``, whatever the skew.
 
-    Labels measured to fit are broadcast, so the facts do not move; larger
-    ones go through :func:`hot_key_join`. ``label_bytes`` is an upper bound a
-    caller has measured already; without it the labels are written to the
-    shared folder first, so that measuring does not compute them twice.
+    Labels measured to fit are broadcast, so the facts do not move. Larger
+    ones are joined by a shuffle, whose partitions Spark splits where a key
+    is hot: the preserved side of a left join may be cut anywhere, so no task
+    gets a whole hot key. ``label_bytes`` is an upper bound a caller has
+    measured already; without it the labels are written to the shared folder
+    first, so that measuring does not compute them twice.
     """
     if label_bytes is None:
         labels = stage(labels, "labels")
         label_bytes = measured_bytes(labels)
     if label_bytes <= broadcast_bytes:
         return facts.join(F.broadcast(labels), keys, "left")
-    return hot_key_join(facts, labels, keys, spread_by)
-
-
-def hot_key_join(facts: DataFrame, labels: DataFrame, keys: list[str], spread_by: list[str]) -> DataFrame:
-    """Left join by shuffle that keeps hot keys out of single tasks.
-
-    Keys with more than a thousandth of all facts are hot; there can be no
-    more than a thousand, so their labels are broadcast. The same facts then
-    go through the shuffle join under a salt no label has: they spread evenly
-    and match nothing there, as do facts with a NULL key. Neither side is
-    copied. The salt hashes row content, so a rerun task repeats it.
-    """
-    counts = stage(facts.groupBy(*keys).count(), "key-counts")
-    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n")).first()["n"]
-    hot = counts.where(F.col("count") * HOT_SHARE > total).select(*keys, F.lit(True).alias("_hot"))
-    values = [c for c in labels.columns if c not in keys]
-    hot_labels = F.broadcast(
-        hot.join(labels, keys, "left").select(*keys, "_hot", *[F.col(v).alias(f"_hot_{v}") for v in values])
-    )
-    flagged = facts.join(hot_labels, keys, "left")
-    no_match = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.col("_hot").isNotNull())
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int") + 1
-    salted = flagged.withColumn("_salt", F.when(no_match, salt).otherwise(F.lit(0)))
-    joined = salted.join(labels.withColumn("_salt", F.lit(0)), [*keys, "_salt"], "left")
-    rest = [c for c in facts.columns if c not in keys]
-    return joined.select(
-        *keys,
-        *rest,
-        *[F.when(F.col("_hot"), F.col(f"_hot_{v}")).otherwise(F.col(v)).alias(v) for v in values],
-    )
+    return facts.join(labels.hint("merge"), keys, "left")

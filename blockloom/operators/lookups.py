@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import lower_address
 from ..sources.reference_data import chains
 
 
-def with_chain_id(df: DataFrame, name_column: str = "chain") -> DataFrame:
-    """Add ``chainid``; rows of unknown chains drop out (see :func:`unknown_chains`)."""
+def with_chain_id(df: DataFrame, name_column: str = "chain", how: str = "inner") -> DataFrame:
+    """Add ``chainid``; rows of unknown chains drop out (see
+    :func:`unknown_chains`), or get NULL with ``how="left"``."""
     known = chains(df.sparkSession).withColumnRenamed("chain", name_column)
-    return df.join(F.broadcast(known), name_column, "inner")
+    return df.join(F.broadcast(known), name_column, how)
 
 
 def unknown_chains(df: DataFrame, name_column: str = "chain") -> DataFrame:
@@ -28,13 +30,17 @@ def with_chain_name(df: DataFrame, name_column: str = "chain") -> DataFrame:
 
 def first_implementation(pairs: DataFrame) -> DataFrame:
     """One implementation per proxy: the smallest if several are on file."""
-    stated = pairs.where("implementation_address is not null and implementation_address <> 'None'")
+    stated = pairs.where("implementation_address is not null and implementation_address <> 'None'").select(
+        lower_address(F.col("address")).alias("address"),
+        lower_address(F.col("implementation_address")).alias("implementation_address"),
+    )
     return stated.groupBy("address").agg(F.min("implementation_address").alias("implementation_address"))
 
 
 def with_implementation(contracts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Add ``implementation_address``, NULL for contracts that are no proxy."""
-    return contracts.join(first_implementation(pairs), "address", "left")
+    asked = contracts.withColumn("address", lower_address(F.col("address")))
+    return asked.join(first_implementation(pairs), "address", "left")
 
 
 def with_creation_block(contracts: DataFrame, creations: DataFrame) -> DataFrame:

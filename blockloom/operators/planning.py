@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import CHUNK_BLOCKS, RETRY_DIVISOR, RETRY_MIN_BLOCKS
-from .joins import label_join
 
 
 def resume_blocks(table: DataFrame, address_column: str = "address") -> DataFrame:
@@ -60,7 +59,7 @@ def fetch_plan(
         asked = asked.withColumn("creation_block", F.lit(None).cast("bigint"))
     per_kind = asked.withColumn("kind", F.explode(F.array(*[F.lit(k) for k in kinds])))
     known = per_kind.join(stored, ["chainid", "address", "kind"], "left")
-    bounded = label_join(known, latest, ["chainid"], ["address", "kind"])
+    bounded = known.join(latest, "chainid", "left")
     start = F.coalesce("max_block", "from_block", "creation_block", F.lit(0).cast("bigint"))
     ranges = bounded.select(
         "chainid",
@@ -85,6 +84,23 @@ def page_slice(df: DataFrame, order: list[str | Column], page: int, rows: int) -
     return df.orderBy(*order).offset((page - 1) * rows).limit(rows)
 
 
+def page_after(df: DataFrame, order: list[str], last: tuple | None, rows: int) -> DataFrame:
+    """The ``rows`` rows after the row with key ``last`` (None: the first page).
+
+    Where :func:`page_slice` sorts and skips all earlier pages, this filters
+    them out, so a deep page costs what the first one does.
+    """
+    if last is not None:
+        after = F.lit(False)
+        for n, column in enumerate(order):
+            tied = F.lit(True)
+            for before, value in zip(order[:n], last):
+                tied = tied & (F.col(before) == F.lit(value))
+            after = after | (tied & (F.col(column) > F.lit(last[n])))
+        df = df.where(after)
+    return df.orderBy(*order).limit(rows)
+
+
 def in_chain_order(transactions: DataFrame, newest_first: bool = False) -> DataFrame:
     order = [F.col(c) for c in ("block_number", "transaction_index") if c in transactions.columns]
     return transactions.orderBy(*[c.desc() if newest_first else c.asc() for c in order])

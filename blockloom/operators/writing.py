@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import stage
+from ..session import stage, unstage
 from ..sources.tables import BUCKET_BLOCKS, block_bucket
-from .dedup import new_rows, possible_copies
+from .dedup import new_by_key, new_rows, possible_copies
 
 PARTITIONS = ["chainid", "block_bucket"]
 SMALL_FETCH_ROWS = 2_000_000
@@ -41,51 +41,59 @@ def write_table(df: DataFrame, path: str, sort: list[str], mode: str = "errorife
 
 
 def touched(table: DataFrame, fetched: DataFrame) -> DataFrame:
-    """The table's partitions that ``fetched`` can overlap.
+    """The table's partitions that ``fetched`` has rows for.
 
-    One min/max pair per chain comes to the driver; as literals they prune
-    partitions at planning time.
+    One row per partition comes to the driver, as many as a listing of the
+    folders has; as literals they prune at planning time.
     """
-    bounds = (
-        fetched.groupBy("chainid")
-        .agg(F.min("block_bucket").alias("low"), F.max("block_bucket").alias("high"))
-        .collect()
-    )
+    buckets: dict[int | None, list[int | None]] = {}
+    for chain, bucket in fetched.select("chainid", "block_bucket").distinct().collect():
+        buckets.setdefault(chain, []).append(bucket)
     wanted = F.lit(False)
-    for b in bounds:
-        chain = F.col("chainid").eqNullSafe(F.lit(b["chainid"]))
-        if b["low"] is None:
-            wanted = wanted | (chain & F.col("block_bucket").isNull())
-        else:
-            inside = F.col("block_bucket").between(b["low"], b["high"]) | F.col("block_bucket").isNull()
-            wanted = wanted | (chain & inside)
+    for chain, some in buckets.items():
+        inside = F.col("block_bucket").isin([b for b in some if b is not None])
+        if None in some:
+            inside = inside | F.col("block_bucket").isNull()
+        wanted = wanted | (F.col("chainid").eqNullSafe(F.lit(chain)) & inside)
     return table.where(wanted)
 
 
-def append_new(fetched: DataFrame, path: str, sort: list[str], bloom: tuple[str, ...] = ()) -> int:
+def append_new(
+    fetched: DataFrame,
+    path: str,
+    sort: list[str],
+    bloom: tuple[str, ...] = (),
+    identity: tuple[list[str], list[str]] | None = None,
+) -> int:
     """Append the fetched rows the table does not hold yet; returns how many.
 
     Only partitions the fetch touches are compared and nothing stored is
     rewritten. Running the same append again adds no rows, so a job that
-    failed half-way is simply run again.
+    failed half-way is simply run again. Rows are the same if all columns
+    are, or with ``identity`` (keys, newest) if the keys are; of those fetched
+    together the greatest by ``newest`` is taken.
     """
     spark = fetched.sparkSession
     staged = stage(fetched.withColumn("block_bucket", block_bucket(F.col("block_number"))), "fetched")
     stored = stored_table(spark, path, staged.schema)
-    if stored is None:
+    overlap = staged.limit(0) if stored is None else touched(stored, staged)
+    if identity is not None:
+        fresh = new_by_key(staged, overlap, *identity)
+    elif stored is None:
         fresh = staged.dropDuplicates()
     else:
-        overlap = touched(stored, staged)
         if staged.count() <= SMALL_FETCH_ROWS:
             overlap = possible_copies(overlap, staged)
         fresh = new_rows(staged, overlap)
-    return write_table(fresh, path, sort, mode="append", bloom=bloom)
+    added = write_table(fresh, path, sort, mode="append", bloom=bloom)
+    unstage(staged)
+    return added
 
 
-def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+def stored_table(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame | None:
     """The table at ``path``, or None before the first write."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None

@@ -9,18 +9,24 @@ from pyspark.sql import functions as F
 
 from ..constants import CHUNK_BLOCKS, PAGE_ROWS
 from ..operators.lookups import with_chain_id
-from ..operators.writing import append_new, record_failures
+from ..operators.writing import append_new, open_failures, record_failures, resolve_failures, stored_table
+from ..schemas import RAW_LOG, RAW_TRANSACTION
+from ..session import stage
 from ..sources.landing import (
+    incomplete_ranges,
     logs_from_pages,
-    page_completeness,
     read_pages,
-    rejected_pages,
-    to_table_names,
     transactions_from_pages,
+    warehouse_logs,
+    warehouse_transactions,
 )
 
-SORT = {"logs": ["contract_address", "block_number", "log_index"], "transactions": ["address", "block_number"]}
+SORT = {"logs": ["address", "block_number", "log_index"], "transactions": ["address", "block_number"]}
 BLOOM = {"logs": ("transaction_hash",), "transactions": ("hash",)}
+#: What makes a row the same one fetched again, and which fetch is the newest; logs are the same in all columns.
+IDENTITY = {"logs": None, "transactions": (["chainid", "address", "hash"], ["confirmations"])}
+ELEMENT = {"logs": RAW_LOG, "transactions": RAW_TRANSACTION}
+RANGE = ["address", "chain", "from_block", "to_block"]
 
 
 @dataclass(frozen=True)
@@ -30,29 +36,65 @@ class Load:
 
 
 def failed_ranges(pages: DataFrame, kind: str, page_rows: int = PAGE_ROWS, chunk_blocks: int = CHUNK_BLOCKS) -> DataFrame:
-    """Ranges to fetch again: a page was rejected, missing, or the last one full."""
-    asked = ["address", "chain", "from_block", "to_block"]
-    rejected = rejected_pages(pages).select(*asked)
-    incomplete = page_completeness(pages, page_rows).where("not complete").select(*asked)
-    ranges = with_chain_id(rejected.unionByName(incomplete).dropDuplicates())
-    return ranges.select(
+    """Ranges to fetch again: a page was rejected, missing, malformed, or the last one full.
+
+    The chunk size is the width that was asked for, so a retry of a retry
+    shrinks further. Ranges of unknown chains stay, with a NULL chainid.
+    """
+    return _ledger_rows(incomplete_ranges(pages, page_rows, ELEMENT[kind]), kind, chunk_blocks)
+
+
+def _ledger_rows(ranges: DataFrame, kind: str, chunk_blocks: int = CHUNK_BLOCKS) -> DataFrame:
+    width = F.least(F.col("to_block") - F.col("from_block") + 1, F.lit(chunk_blocks))
+    return with_chain_id(ranges, how="left").select(
         F.lit(kind).alias("table"),
         F.lower("address").alias("contract_address"),
         "chainid",
         "from_block",
         "to_block",
-        F.lit(chunk_blocks).cast("bigint").alias("block_chunk_size"),
+        F.coalesce(width, F.lit(chunk_blocks)).cast("bigint").alias("block_chunk_size"),
     )
 
 
 def load_landing(spark: SparkSession, landing: str, table: str, ledger: str, kind: str = "logs") -> Load:
-    """Append what the landing folder holds to the table; ledger what is missing."""
-    pages = read_pages(spark, landing)
-    rows = logs_from_pages(pages) if kind == "logs" else transactions_from_pages(pages)
-    named = to_table_names(rows)
-    added = append_new(named, table, SORT[kind], BLOOM[kind])
-    failures = failed_ranges(pages, kind)
+    """Append what newly landed to the table; ledger what is missing.
+
+    Files are read once: their names are kept beside the ledger when all they
+    hold is stored, so a load that failed half-way is simply run again. The
+    ranges that new files touch are judged by all their pages, old ones too;
+    those that are whole now are resolved.
+    """
+    all_pages = read_pages(spark, landing).withColumn("_file", F.col("_metadata.file_path"))
+    done = stored_table(spark, f"{ledger}_files", spark.createDataFrame([], "_file string, kind string").schema)
+    pages = all_pages if done is None else all_pages.join(done.where(F.col("kind") == kind), "_file", "left_anti")
+    files = stage(pages.select("_file").distinct(), "files")
+    rows = (
+        warehouse_logs(logs_from_pages(pages)) if kind == "logs" else warehouse_transactions(transactions_from_pages(pages))
+    )
+    added = append_new(rows, table, SORT[kind], BLOOM[kind], IDENTITY[kind])
+
+    touched = stage(pages.select(*RANGE).distinct(), "ranges")
+    a, t = all_pages.alias("a"), touched.alias("t")
+    same = F.lit(True)
+    for c in RANGE:
+        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"t.{c}"))
+    again = incomplete_ranges(a.join(t, same, "left_semi"), element=ELEMENT[kind])
+    failures = stage(_ledger_rows(again, kind), "failures")
     failed = failures.count()
+    settled = _settled(_ledger_rows(touched, kind), failures, ledger)
     if failed:
         record_failures(failures, ledger)
+    if settled is not None:
+        resolve_failures(settled, ledger)
+    files.select("_file", F.lit(kind).alias("kind")).write.mode("append").parquet(f"{ledger}_files")
     return Load(added, failed)
+
+
+def _settled(touched: DataFrame, failures: DataFrame, ledger: str) -> DataFrame | None:
+    """Touched ranges that the ledger has open and that are whole now."""
+    entries = stored_table(touched.sparkSession, ledger, None)
+    if entries is None:
+        return None
+    keys = ["table", "contract_address", "chainid", "from_block", "to_block"]
+    whole = touched.select(*keys).exceptAll(failures.select(*keys)).distinct()
+    return stage(open_failures(entries).join(whole, keys, "left_semi"), "settled")

@@ -25,7 +25,7 @@ def combined_abi(entries: DataFrame, pairs: DataFrame) -> DataFrame:
     used = links.select("implementation_address").distinct()
     behind = entries.withColumnRenamed("address", "implementation_address")
     behind = behind.join(used, "implementation_address", "left_semi")
-    inherited = label_join(links, behind, ["implementation_address"], ["address"])
+    inherited = label_join(links, behind, ["implementation_address"])
     return entries.unionByName(inherited.where("entry is not null").select("address", "entry"))
 
 
@@ -130,32 +130,56 @@ def _placed(params: Column) -> Column:
     return F.transform(params, place)
 
 
+#: A log has three topics beside its own at most.
+_MOST_INDEXED = 3
+
+
 def event_labels(catalog: DataFrame) -> DataFrame:
-    """One label per contract and topic: the smallest signature if several are known."""
+    """One label per contract and topic: the smallest signature if several are known.
+
+    ``layouts`` has the parameters by the number of indexed ones: events of
+    one signature can differ in what is indexed, and with it in their layout.
+    """
     named = catalog.where("topic0 is not null and not anonymous")
-    label = F.struct("event_signature", "event_name", _placed(F.col("params")).alias("params"))
-    return named.groupBy("address", "topic0").agg(F.min(label).alias("_own"))
+    indexed = F.size(F.filter("params", lambda p: p["indexed"]))
+    layouts = [
+        F.min(F.when(indexed == n, F.struct("event_signature", _placed(F.col("params")).alias("params"))))
+        for n in range(_MOST_INDEXED + 1)
+    ]
+    label = F.min(F.struct("event_signature", "event_name"))
+    grouped = named.groupBy("address", "topic0").agg(
+        label.alias("_label"), *[x.alias(f"_layout{n}") for n, x in enumerate(layouts)]
+    )
+    by_count = F.array(*[F.col(f"_layout{n}.params") for n in range(_MOST_INDEXED + 1)])
+    return grouped.select("address", "topic0", F.struct("_label.*", by_count.alias("layouts")).alias("_own"))
 
 
 def label_events(decoded: DataFrame, catalog: DataFrame, params: bool = False) -> DataFrame:
     """Add ``event_name`` and ``event_signature`` to decoded logs.
 
     The contract's own ABI decides; for contracts without one, any event
-    known under the same topic. Busy contracts and the transfer topic are hot
-    keys, which :func:`label_join` spreads by transaction.
+    known under the same topic. Parameters come from the layout with as many
+    indexed ones as the log has topics for, and are NULL if none is known.
+    Busy contracts and the transfer topic are hot keys, which
+    :func:`label_join` can do with.
     """
-    spread = ["transaction_hash", "log_index"]
     own = stage(event_labels(catalog), "labels")
-    shared = own.groupBy("topic0").agg(F.min("_own").alias("_shared"))
+    shared = own.groupBy("topic0").agg(
+        F.min(F.struct("_own.event_signature", "_own.event_name")).alias("_label"),
+        *[F.min(F.get("_own.layouts", F.lit(n))).alias(f"_layout{n}") for n in range(_MOST_INDEXED + 1)],
+    )
+    by_count = F.array(*[F.col(f"_layout{n}") for n in range(_MOST_INDEXED + 1)])
+    shared = shared.select("topic0", F.struct("_label.*", by_count.alias("layouts")).alias("_shared"))
     size = measured_bytes(own)  # bounds ``shared`` too, which keeps some of its rows
-    joined = label_join(decoded, own, ["address", "topic0"], spread, size)
-    joined = label_join(joined, shared, ["topic0"], spread, size)
-    label = F.coalesce("_own", "_shared")
+    joined = label_join(decoded, own, ["address", "topic0"], size)
+    joined = label_join(joined, shared, ["topic0"], size)
+    given = sum((F.col(f"topic{n}").isNotNull().cast("int") for n in range(1, _MOST_INDEXED + 1)), F.lit(0))
+    layout = F.coalesce(F.get("_own.layouts", given), F.get("_shared.layouts", given))
     return joined.select(
         *decoded.columns,
-        label["event_name"].alias("event_name"),
-        label["event_signature"].alias("event_signature"),
-        *([label["params"].alias("_params")] if params else []),
+        F.coalesce("_own.event_name", "_shared.event_name").alias("event_name"),
+        F.coalesce("_own.event_signature", "_shared.event_signature").alias("event_signature"),
+        *([layout.alias("_params")] if params else []),
     )
 
 
@@ -210,18 +234,20 @@ def _words_at(data: Column, index: Column, count: Column) -> Column:
     return F.when((F.length(words) == count * 64) & words.rlike("^[0-9a-f]*$"), words)
 
 
+def _position(word: Column) -> Column:
+    """A word as a number of hex digits; NULL past what any text can hold."""
+    small = F.when(F.ltrim(word, F.lit("0")).rlike("^[0-9a-fA-F]{0,8}$"), F.conv(F.right(word, F.lit(8)), 16, 10))
+    return (small.try_cast("bigint") * 2).try_cast("int")
+
+
 def _dynamic_hex(data: Column, head: Column) -> Column:
     """Content of a bytes or string parameter: offset, then length, then bytes.
 
     Offsets and lengths beyond the data give NULL.
     """
-    small = F.when(F.ltrim(head, F.lit("0")).rlike("^[0-9a-f]{0,7}$"), F.conv(F.right(head, F.lit(8)), 16, 10))
-    start = small.try_cast("int") * 2
+    start = _position(head)
     size_word = F.substr(data, start + 1, F.lit(64))
-    size = F.when(
-        F.ltrim(size_word, F.lit("0")).rlike("^[0-9a-fA-F]{0,7}$") & (F.length(size_word) == 64),
-        F.conv(F.right(size_word, F.lit(8)), 16, 10),
-    ).try_cast("int") * 2
+    size = F.when(F.length(size_word) == 64, _position(size_word))
     content = F.substr(data, start + 65, size)
     return F.when(F.length(content) == size, F.concat(F.lit("0x"), F.lower(content)))
 

@@ -36,38 +36,74 @@ def stream_pages(
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(path)
 
 
+#: Member that keeps an element's text where its JSON does not fit the schema.
+_BROKEN = "_broken"
+
+
+def _chain_id(chain: Column) -> Column:
+    """Chain id by name; the 71 names are fixed, so a literal map needs no join."""
+    pairs = [F.lit(v) for name, number in CHAIN_IDS.items() for v in (name, number)]
+    return F.try_element_at(F.create_map(*pairs), chain).cast("bigint")
+
+
+def _element_texts() -> Column:
+    """The result's elements as JSON text, NULL if it is no whole JSON list."""
+    return F.when(F.ltrim("result").startswith("["), F.from_json("result", "array<string>"))
+
+
 def _failed() -> Column:
-    return F.coalesce(F.col("status") == "0", F.lit(False))
+    """An error is reported; an empty list under status 0 is the end of paging, not one."""
+    is_empty = F.coalesce(F.col("result").rlike(r"^\s*\[\s*\]\s*$"), F.lit(False))
+    return F.coalesce(F.col("status") == "0", F.lit(False)) & ~is_empty
+
+
+def _error_kind(pages: DataFrame) -> Column:
+    """Why a page cannot be used, NULL for good ones."""
+    message = F.lower(F.coalesce("message", F.lit("API error")))
+    kind = (
+        F.when(_failed() & message.contains("rate limit"), "rate_limit")
+        .when(_failed(), "api_error")
+        .when(_element_texts().isNull(), "malformed_result")
+    )
+    if "chain" in pages.columns:
+        kind = kind.when(_chain_id(F.col("chain")).isNull(), "unknown_chain")
+    return kind
 
 
 def good_pages(pages: DataFrame) -> DataFrame:
-    """Pages whose envelope reports success and whose result is a list."""
-    is_list = F.coalesce(F.ltrim("result").startswith("["), F.lit(False))
-    return pages.where(~_failed() & is_list)
+    """Pages of known chains whose envelope reports success and whose result is a whole list."""
+    return pages.where(_error_kind(pages).isNull())
 
 
 def rejected_pages(pages: DataFrame) -> DataFrame:
     """The other pages, with ``error_kind`` telling rate limits apart."""
-    is_list = F.coalesce(F.ltrim("result").startswith("["), F.lit(False))
     message = F.coalesce("message", F.lit("API error"))
-    kind = (
-        F.when(_failed() & F.lower(message).contains("rate limit"), "rate_limit")
-        .when(_failed(), "api_error")
-        .otherwise("malformed_result")
+    return pages.withColumn("error_kind", _error_kind(pages)).where("error_kind is not null").withColumn(
+        "message", F.when(_failed(), message).otherwise(F.col("message"))
     )
-    return pages.where(_failed() | ~is_list).withColumn("error_kind", kind)
 
 
-def _chain_id(chain: Column) -> Column:
-    """Chain id by name; the 71 names are fixed, so a literal map needs no join."""
-    pairs = [F.lit(v) for name, number in CHAIN_IDS.items() for v in (name, number)]
-    return F.try_element_at(F.create_map(*pairs), chain).cast("bigint")
+def _parsed(text: Column, element: T.StructType) -> Column:
+    checked = T.StructType([*element.fields, T.StructField(_BROKEN, T.StringType())])
+    return F.from_json(text, checked, {"columnNameOfCorruptRecord": _BROKEN})
+
+
+def _is_broken(row: Column) -> Column:
+    return row.isNull() | row[_BROKEN].isNotNull()
 
 
 def _elements(pages: DataFrame, element: T.StructType, keep: list[str]) -> DataFrame:
-    """One row per result element; a page holds a bounded number of them."""
-    rows = F.from_json("result", T.ArrayType(element))
-    return good_pages(pages).select(*keep, F.explode(rows).alias("_row")).select(*keep, "_row.*")
+    """One row per sound result element; a page holds a bounded number of them."""
+    texts = good_pages(pages).select(*keep, F.explode(_element_texts()).alias("_text"))
+    rows = texts.select(*keep, once(_parsed(F.col("_text"), element)).alias("_row"))
+    return rows.where(~_is_broken(F.col("_row"))).select(*keep, *[F.col(f"_row.{f.name}") for f in element.fields])
+
+
+def malformed_elements(pages: DataFrame, element: T.StructType) -> DataFrame:
+    """Elements of good pages that do not fit the schema, with the request and their text."""
+    asked = [c for c in ("address", "chain", "from_block", "to_block", "page") if c in pages.columns]
+    texts = good_pages(pages).select(*asked, F.posexplode(_element_texts()).alias("element", "text"))
+    return texts.where(_is_broken(_parsed(F.col("text"), element)))
 
 
 def _typed(raw: DataFrame) -> DataFrame:
@@ -160,7 +196,7 @@ def metadata_from_pages(pages: DataFrame) -> DataFrame:
         "address",
         F.col("_m.ContractName").alias("contract_name"),
         F.coalesce(F.col("_m.Proxy") == "1", F.lit(False)).alias("proxy"),
-        F.col("_m.Implementation").alias("implementation"),
+        lower_address(F.col("_m.Implementation")).alias("implementation"),
     )
 
 
@@ -171,23 +207,41 @@ def metadata_rejects(pages: DataFrame) -> DataFrame:
     return empty.select(lower_address(F.col("address")).alias("address"))
 
 
-def page_completeness(pages: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Per requested range: pages seen, rows, and whether the last page was full.
+def page_completeness(pages: DataFrame, page_rows: int = PAGE_ROWS, element: T.StructType | None = None) -> DataFrame:
+    """Per requested range: pages seen, rows, and whether all of it is there.
 
     Paging has no total, so a full last page means more rows may exist. A gap
-    in the page numbers shows as ``pages < last_page``.
+    in the page numbers shows as ``pages < last_page``. A page that was
+    refused counts as good once any fetch of it is; with ``element``, one with
+    a malformed element is not good. A range without any good page is not
+    complete and has no last page.
     """
+    return _by_range(pages, page_rows, element).where("pages > 0")
+
+
+def incomplete_ranges(pages: DataFrame, page_rows: int = PAGE_ROWS, element: T.StructType | None = None) -> DataFrame:
+    """address, chain, from_block, to_block of ranges that have to be fetched again."""
+    found = _by_range(pages, page_rows, element).where(~F.coalesce("complete", F.lit(False)))
+    return found.select("address", "chain", "from_block", "to_block")
+
+
+def _by_range(pages: DataFrame, page_rows: int, element: T.StructType | None) -> DataFrame:
+    asked = ["address", "chain", "from_block", "to_block"]
+    good = _error_kind(pages).isNull()
+    if element is not None:
+        rows = F.transform(_element_texts(), lambda text: _parsed(text, element))
+        good = good & ~F.coalesce(F.exists(rows, _is_broken), F.lit(False))
     rows = F.coalesce(F.json_array_length("result"), F.lit(0)).cast("bigint")
-    counted = good_pages(pages).select(
-        "address", "chain", "from_block", "to_block", "page", rows.alias("n")
-    )
+    state = pages.select(*asked, "page", F.when(good, rows).alias("n"))
     # A page fetched twice counts once.
-    once = counted.groupBy("address", "chain", "from_block", "to_block", "page").agg(F.max("n").alias("n"))
-    grouped = once.groupBy("address", "chain", "from_block", "to_block").agg(
-        F.max("page").alias("last_page"),
-        F.count("page").alias("pages"),
+    each = state.groupBy(*asked, "page").agg(F.max("n").alias("n"))
+    is_good = F.col("n").isNotNull()
+    grouped = each.groupBy(*asked).agg(
+        F.max(F.when(is_good, F.col("page"))).alias("last_page"),
+        F.count(F.when(is_good, F.col("page"))).alias("pages"),
         F.sum("n").alias("row_count"),
-        F.max_by("n", "page").alias("last_page_rows"),
+        F.max_by("n", F.when(is_good, F.col("page"))).alias("last_page_rows"),
+        F.count_if(~is_good).alias("_refused"),
     )
-    complete = (F.col("last_page_rows") < page_rows) & (F.col("pages") == F.col("last_page"))
-    return grouped.withColumn("complete", complete)
+    complete = (F.col("last_page_rows") < page_rows) & (F.col("pages") == F.col("last_page")) & (F.col("_refused") == 0)
+    return grouped.withColumn("complete", complete).drop("_refused")

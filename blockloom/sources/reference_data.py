@@ -61,7 +61,8 @@ def proxy_pairs(spark: SparkSession, path: str) -> DataFrame:
     """address, implementation_address from CSV with a header."""
     schema = "address string, implementation_address string"
     pairs = spark.read.schema(schema).csv(path, header=True)
-    return merge_proxy_pairs(pairs)
+    lowered = {c: lower_address(F.col(c)) for c in ("address", "implementation_address")}
+    return merge_proxy_pairs(pairs.withColumns(lowered))
 
 
 def merge_proxy_pairs(*parts: DataFrame) -> DataFrame:

@@ -36,7 +36,10 @@ def read_range(
         if partitioned:
             table = table.where(F.col("block_bucket") <= to_block // width)
     if address is not None:
-        table = table.where(F.col(address_column) == address.lower())
+        # Loaded addresses are lower case; other tables may hold the one that was given.
+        asked = sorted({address, address.lower()})
+        column = F.col(address_column)
+        table = table.where(column == asked[0] if len(asked) == 1 else column.isin(asked))
     return table
 
 

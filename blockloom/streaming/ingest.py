@@ -1,55 +1,40 @@
 """Landing files to a deduplicated table as a stream.
 
-The checkpoint is the resume point. Duplicates are remembered for the
-watermark delay on block time, so state stays bounded; older blocks belong
-in the batch append, which compares with the whole table.
+Each micro-batch goes through the same append as a batch load: it is compared
+with the partitions of the table it touches. No state is kept and no row is
+too late, in whatever order blocks land; a batch that runs again after a
+failure adds nothing twice.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.models import decoded_logs
-from ..schemas import LOG_KEY
-from ..session import work_folder
+from ..operators.writing import append_new
 
 
-def deduplicated(rows: DataFrame, keys: tuple[str, ...] = LOG_KEY, event_time: str = "datetime", delay: str = "2 hours") -> DataFrame:
-    """First copy of each key within the delay, batch or stream alike.
+def append_available(
+    rows: DataFrame,
+    table: str,
+    checkpoint: str,
+    sort: list[str],
+    bloom: tuple[str, ...] = (),
+    identity: tuple[list[str], list[str]] | None = None,
+    each: Callable[[DataFrame], DataFrame] | None = None,
+) -> StreamingQuery:
+    """Process everything that has landed, append what is new, stop.
 
-    Copies of one row must carry the same event time, as blocks do.
+    ``rows`` need chainid and block_number. ``each`` is applied to a
+    micro-batch before the append. ``checkpoint`` is the resume point: a rerun
+    with it takes only new files.
     """
-    if not rows.isStreaming:
-        return rows.dropDuplicates(list(keys))
-    return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
-
-
-def with_event_time(logs: DataFrame, seconds: str = "time_stamp", name: str = "event_time") -> DataFrame:
-    """Block time as TIMESTAMP, the type watermarks take."""
-    return logs.withColumn(name, F.timestamp_seconds(seconds))
-
 
-def streaming_decoded_logs(logs: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Decoded logs of a raw log stream, each log once."""
-    once = deduplicated(with_event_time(logs), event_time="event_time", delay=delay)
-    return decoded_logs(once)
+    def append(batch: DataFrame, _: int) -> None:
+        append_new(each(batch) if each else batch, table, sort, bloom, identity)
 
-
-def run_available(rows: DataFrame, table: str, name: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Process everything that has landed, append it to Parquet, stop.
-
-    A rerun with the same checkpoint takes only new files.
-    """
-    location = checkpoint or f"{work_folder(rows.sparkSession)}/stream-{name}"
-    query = (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", location)
-        .trigger(availableNow=True)
-        .queryName(name)
-        .start(table)
-    )
+    query = rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query

@@ -113,7 +113,6 @@ def test_address_helpers(spark):
     assert values(spark, ["ab", "0xab", None], fn.with_0x(F.col("x"))) == ["0xab", "0xab", None]
     assert values(spark, ["0xab", "ab", "0x"], fn.extract_hex_data(F.col("x"))) == ["ab", "ab", ""]
     assert values(spark, ["0xff", "ff", "0x", "zz"], fn.hex_to_bigint(F.col("x"))) == [255, 255, None, None]
-    assert values(spark, ["1", "0", None], fn.flag(F.col("x"))) == [True, False, False]
 
 
 def test_whole_number_truncates(spark):

@@ -1,11 +1,12 @@
 """Operators on small hand-made inputs, against brute force where SQL is long."""
 
+import os
 import random
 
 import pytest
 from blockloom.constants import CHAIN_IDS
 from blockloom.operators import block_time, dedup, joins, lookups, planning, quality, writing
-from blockloom.session import fresh_path, stage, work_folder
+from blockloom.session import fresh_path, stage, unstage, work_folder
 from blockloom.sources import reference_data, tables
 from conftest import plan_text
 from pyspark.sql import functions as F
@@ -43,36 +44,19 @@ def test_label_join_forms_agree_under_skew(spark):
     labels = spark.createDataFrame(
         [("hot", "H", 1), ("k2", "two", None), ("k5", None, 3), ("unused", "u", 4)], "k string, label string, n int"
     )
-    small = joins.label_join(facts, labels, ["k"], ["v"])
-    large = joins.label_join(facts, labels, ["k"], ["v"], broadcast_bytes=0)
+    small = joins.label_join(facts, labels, ["k"])
+    large = joins.label_join(facts, labels, ["k"], broadcast_bytes=0)
     assert "BroadcastHashJoin" in plan_text(small)
     assert rows(small.select("k", "v", "label", "n")) == rows(large.select("k", "v", "label", "n"))
     assert large.count() == 6000 and large.columns == ["k", "v", "label", "n"]
-    unlabelled_hot = joins.hot_key_join(facts, labels.where("k <> 'hot'"), ["k"], ["v"])
+    unlabelled_hot = joins.label_join(facts, labels.where("k <> 'hot'"), ["k"], broadcast_bytes=0)
     assert unlabelled_hot.where("k = 'hot' and label is null").count() == 2000
 
 
-def test_hot_key_join_spreads_the_hot_key(spark):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        facts = spark.range(8000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
-        labels = spark.createDataFrame([("hot", "H"), ("x", "X")], "k string, label string")
-        joined = joins.hot_key_join(facts, labels, ["k"], ["v"])
-        assert "SortMergeJoin" in plan_text(joined)
-        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
-        assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2000
-        assert joined.where("label = 'H'").count() == 8000
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-
-
-def test_hot_key_join_multiplies_by_repeated_labels(spark):
+def test_label_join_multiplies_by_repeated_labels(spark):
     facts = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
     labels = spark.createDataFrame([("a", "x"), ("a", "y")], "k string, label string")
-    got = joins.hot_key_join(facts, labels, ["k"], ["v"])
+    got = joins.label_join(facts, labels, ["k"], broadcast_bytes=0)
     expected = [("a", 1, "x"), ("a", 1, "y"), ("a", 2, "x"), ("a", 2, "y"), ("b", 3, None)]
     assert rows(got) == sorted(expected, key=repr)
 
@@ -238,7 +222,7 @@ def test_range_read_prunes_partitions_and_pushes_filters(spark):
     found = tables.read_range(spark.read.parquet(path), 200_000, 299_999, "0X3")
     plan = plan_text(found)
     assert "PartitionFilters: [isnotnull(block_bucket" in plan.replace("\n", "")
-    assert "GreaterThanOrEqual(block_number,200000)" in plan and "EqualTo(address,0x3)" in plan
+    assert "GreaterThanOrEqual(block_number,200000)" in plan and "In(address, [0X3,0x3])" in plan
     assert found.count() == 20
 
 
@@ -251,6 +235,25 @@ def test_touched_reads_only_overlapping_partitions(spark):
     assert part.agg(F.max("block_number")).first()[0] < 100_000
 
 
+def test_touched_reads_no_partition_between(spark):
+    path = fresh_path(spark, "table")
+    writing.append_new(sample_logs(spark, 0, 600), path, ["address"])
+    ends = sample_logs(spark, 0, 600).where("block_number < 1000 or block_number > 550000")
+    fetched = stage(ends.withColumn("block_bucket", tables.block_bucket(F.col("block_number"))), "f")
+    part = writing.touched(spark.read.parquet(path), fetched)
+    wanted = fetched.select("block_bucket").distinct().count()
+    assert part.select("block_bucket").distinct().count() == wanted < spark.read.parquet(path).select("block_bucket").distinct().count()
+    assert len({f.rsplit("/", 1)[0] for f in part.inputFiles()}) >= wanted
+
+
+def test_unstage_deletes_the_copy(spark):
+    copy = stage(sample_logs(spark, 0, 10), "copy")
+    folder = copy.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert os.path.exists(folder)
+    unstage(copy)
+    assert not os.path.exists(folder)
+
+
 def test_stored_table_before_first_write(spark):
     assert writing.stored_table(spark, fresh_path(spark, "none"), sample_logs(spark, 0, 1).schema) is None
 

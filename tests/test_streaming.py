@@ -1,10 +1,9 @@
-"""The stream gives what the batch gives, and resumes from its checkpoint."""
+"""The stream gives what the batch gives, in any order, and resumes from its checkpoint."""
 
 from blockloom.plans import models
 from blockloom.session import fresh_path
 from blockloom.sources import landing
 from blockloom.streaming import ingest
-from pyspark.sql import functions as F
 from workload import fixtures
 
 
@@ -14,7 +13,7 @@ def test_stream_equals_batch_and_resumes(spark, sf_dir):
 
     def run():
         rows = landing.to_table_names(landing.logs_from_pages(landing.stream_pages(spark, folder)))
-        ingest.run_available(ingest.streaming_decoded_logs(rows, "60 days"), out, "decoded", checkpoint)
+        ingest.append_available(rows, out, checkpoint, ["address"], each=models.decoded_logs)
         return spark.read.parquet(out)
 
     pages.write.json(folder)
@@ -28,6 +27,12 @@ def test_stream_equals_batch_and_resumes(spark, sf_dir):
     assert run().count() == batch.count()
 
 
-def test_deduplicated_batch_keeps_null_keys(spark):
-    df = spark.createDataFrame([(1, "t", None), (1, "t", None), (1, "t", 0)], "chainid bigint, transaction_hash string, log_index bigint")
-    assert ingest.deduplicated(df.withColumn("datetime", F.current_timestamp())).count() == 2
+def test_old_blocks_in_later_triggers_are_not_lost(spark):
+    folder, out, checkpoint = (fresh_path(spark, n) for n in ("landing", "out", "checkpoint"))
+    for block in (100_000_000, 1, 2, 1):
+        row = '[{"blockNumber":"%d","transactionHash":"0x%d","logIndex":"0x0","topics":["0xt"],"timeStamp":"%d"}]' % (block, block, block)
+        page = spark.createDataFrame([("1", "OK", row, "0xa", "ethereum", 0, 9, 1)], "status string, message string, result string, address string, chain string, from_block long, to_block long, page long")
+        page.coalesce(1).write.mode("append").json(folder)
+    rows = landing.warehouse_logs(landing.logs_from_pages(landing.stream_pages(spark, folder, files_per_trigger=1)))
+    ingest.append_available(rows, out, checkpoint, ["address"])
+    assert sorted(r.block_number for r in spark.read.parquet(out).collect()) == [1, 2, 100_000_000]

@@ -263,6 +263,35 @@ def log_pages(spark: SparkSession, sf_dir: str, rejects: bool = True) -> DataFra
     )
 
 
+def odd_log_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of 1,000 events, each a range of its own; by the remainder of
+    seven cut off (2), with a broken element (3), empty (4), of an unknown
+    chain (5), or good."""
+    number, kind = F.col("page"), F.col("page") % 7
+    return log_pages(spark, sf_dir, rejects=False).withColumns(
+        {
+            "status": F.when(kind == 4, "0").otherwise("1"),
+            "message": F.when(kind == 4, "No records found").otherwise("OK"),
+            "chain": F.when(kind == 5, "nowhere").otherwise(F.col("chain")),
+            "from_block": number * 1000,
+            "to_block": number * 1000 + 999,
+            "page": F.lit(1).cast("bigint"),
+            "result": F.when(kind == 2, F.left("result", F.length("result") - 3))
+            .when(kind == 3, F.concat(F.lit("[5,"), F.substr("result", F.lit(2))))
+            .when(kind == 4, "[]")
+            .otherwise(F.col("result")),
+        }
+    )
+
+
+def empty_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page after the last one, as the API reports the end."""
+    pages = log_pages(spark, sf_dir, rejects=False)
+    return pages.groupBy().agg((F.max("page") + 1).alias("page")).withColumns(
+        {**_asked(), "status": F.lit("0"), "message": F.lit("No records found"), "result": F.lit("[]")}
+    )
+
+
 def transaction_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed transaction pages of orders: decimal text in camelCase."""
     tx = fixture(spark, sf_dir, "transactions")

@@ -11,6 +11,7 @@ from blockloom import functions as fn
 from blockloom.constants import APPROVAL_TOPIC, CHAIN_IDS, TRANSFER_TOPIC
 from blockloom.operators import block_time, dedup, lookups, planning, quality, writing
 from blockloom.plans import backfill, catalog, metrics, models
+from blockloom.schemas import LOG_COLUMNS, RAW_LOG
 from blockloom.session import fresh_path, stage
 from blockloom.sources import landing, reference_data, tables
 from blockloom.streaming import ingest
@@ -331,7 +332,8 @@ good as (select * from pages where page % 10 not in (4, 8))
 select '0x0000000000000000000000000000000000001000' as address, 'ethereum' as chain,
   18000000::bigint as from_block, 19000000::bigint as to_block, max(page) as last_page, count(*) as pages,
   sum(n)::bigint as row_count, arg_max(n, page) as last_page_rows,
-  arg_max(n, page) < 1000 and count(*) = max(page) as complete from good"""
+  arg_max(n, page) < 1000 and count(*) = max(page) and not exists (select 1 from pages where page % 10 in (4, 8)) as complete
+from good"""
 )
 def page_completeness(spark, sf_dir):
     return landing.page_completeness(fixtures.log_pages(spark, sf_dir))
@@ -842,9 +844,9 @@ def _json_address(topic: str) -> str:
     f""", decoded as ({_DECODED}), named as (select *, {_EVENT_NAME} as event_name,
   case when data = '0x' then 'null' else '"' || ({_EXACT}) || '"' end as amount from decoded)
 select chainid, address, transaction_hash, log_index, event_name,
-  case event_name when 'Transfer' then '{{"from":' || {_json_address("topic1")} || ',"to":' || {_json_address("topic2")}
+  case when topic2 is null or topic3 is not null then null else case event_name when 'Transfer' then '{{"from":' || {_json_address("topic1")} || ',"to":' || {_json_address("topic2")}
   else '{{"owner":' || {_json_address("topic1")} || ',"spender":' || {_json_address("topic2")} end
-  || ',"value":' || amount || '}}' as decoded_data from named""",
+  || ',"value":' || amount || '}}' end as decoded_data from named""",
     "logs",
 )
 def decoded_params(spark, sf_dir):
@@ -854,28 +856,219 @@ def decoded_params(spark, sf_dir):
     )
 
 
+_TWO_TRANSFERS = [
+    ("0xa", '[{"type":"event","name":"Transfer","inputs":[{"name":"from","type":"address","indexed":true},'
+     '{"name":"to","type":"address","indexed":true},{"name":"value","type":"uint256","indexed":false}]}]'),
+    ("0xb", '[{"type":"event","name":"Transfer","inputs":[{"name":"from","type":"address","indexed":true},'
+     '{"name":"to","type":"address","indexed":true},{"name":"tokenId","type":"uint256","indexed":true}]}]'),
+]
+
+
+@query(
+    f""", decoded as ({_DECODED}), transfers as (
+  select *, coalesce(({_EXACT})::varchar, 'null') as amount from decoded where topic0 = '{TRANSFER_TOPIC}')
+select transaction_hash, log_index, 'Transfer' as event_name,
+  '{{"from":' || {_json_address("topic1")} || ',"to":' || {_json_address("topic2")} || case when topic3 is null
+    then ',"value":"' || amount || '"}}' else ',"tokenId":"' || ('0x' || substr(topic3, 51))::bigint::varchar || '"}}' end as decoded_data
+from transfers""",
+    "logs",
+)
+def transfer_layouts(spark, sf_dir):
+    """Token and NFT transfers share a topic; contracts without ABI get the layout that fits."""
+    decoded = models.decoded_logs(fixture(spark, sf_dir, "logs")).where(F.col("topic0") == TRANSFER_TOPIC)
+    entries = reference_data.abi_entries(spark.createDataFrame(_TWO_TRANSFERS, "address string, value string"))
+    found = catalog.described_logs(decoded, catalog.event_catalog(entries))
+    return found.select("transaction_hash", "log_index", "event_name", "decoded_data")
+
+
+# Faults of landed pages.
+
+_ODD = """pages as (select event_id // 1000 + 1 as p, count(*) as n, (event_id // 1000 + 1) % 7 as kind
+  from events group by event_id // 1000)"""
+_ODD_ASKED = """'0x0000000000000000000000000000000000001000' as address, 'ethereum' as chain,
+  p * 1000 as from_block, p * 1000 + 999 as to_block"""
+
+
+@query(
+    f"""with {_ODD} select {_ODD_ASKED}, 1::bigint as last_page, 1::bigint as pages,
+  (case when kind = 4 then 0 else n end)::bigint as row_count, (case when kind = 4 then 0 else n end)::bigint as last_page_rows,
+  true as complete from pages where kind not in (2, 3, 5)"""
+)
+def odd_page_completeness(spark, sf_dir):
+    return landing.page_completeness(fixtures.odd_log_pages(spark, sf_dir), 1001, RAW_LOG)
+
+
+@query(
+    f"""with {_ODD} select p * 1000 as from_block, case kind when 2 then 'malformed_result' else 'unknown_chain' end as error_kind
+from pages where kind in (2, 5)"""
+)
+def malformed_pages(spark, sf_dir):
+    return landing.rejected_pages(fixtures.odd_log_pages(spark, sf_dir)).select("from_block", "error_kind")
+
+
+@query(f"with {_ODD} select p * 1000 as from_block, 0 as element, '5' as text from pages where kind = 3")
+def malformed_elements(spark, sf_dir):
+    found = landing.malformed_elements(fixtures.odd_log_pages(spark, sf_dir), RAW_LOG)
+    return found.select("from_block", "element", "text")
+
+
+def _odd_failures(kinds: str) -> str:
+    return f"""with {_ODD} select 'logs' as "table", '0x0000000000000000000000000000000000001000' as contract_address,
+  case when kind = 5 then null else 1::bigint end as chainid, p * 1000 as from_block, p * 1000 + 999 as to_block,
+  1000::bigint as block_chunk_size from pages where kind in {kinds}"""
+
+
+@query(_odd_failures("(2, 3, 5)"))
+def malformed_ranges(spark, sf_dir):
+    return backfill.failed_ranges(fixtures.odd_log_pages(spark, sf_dir), "logs", 1001)
+
+
+@query(_odd_failures("(3, 5)"))
+def refetched_page(spark, sf_dir):
+    """A page that was cut off and came well in another fetch is not missing, whichever came first."""
+    odd = fixtures.odd_log_pages(spark, sf_dir)
+    whole = fixtures.log_pages(spark, sf_dir, rejects=False).where("page % 7 = 2").withColumns(
+        {"from_block": F.col("page") * 1000, "to_block": F.col("page") * 1000 + 999, "page": F.lit(1).cast("bigint")}
+    )
+    return backfill.failed_ranges(whole.unionByName(odd), "logs", 1001)
+
+
+@query(
+    f"""select 1::bigint as chainid, address, topics, data, block_number, block_hash, time_stamp, gas_price,
+  gas_used, log_index, transaction_hash, transaction_index from logs where {_GOOD_PAGE}""",
+    "logs",
+)
+def load_logs(spark, sf_dir):
+    folder, out, ledger = (fresh_path(spark, n) for n in ("landing", "table", "ledger"))
+    fixtures.log_pages(spark, sf_dir).write.json(folder)
+    backfill.load_landing(spark, folder, out, ledger)
+    backfill.load_landing(spark, folder, out, ledger)
+    return spark.read.parquet(out).select(*LOG_COLUMNS)
+
+
+@query("select count(*) as row_count, 0::bigint as open_ranges, (select count(*) from (select 1 from events where event_id // 1000 % 10 in (3, 7) limit 1)) as entries_before from logs", "logs")
+def ledger_settles(spark, sf_dir):
+    """Refused pages are ledgered; fetched again, and with the empty page that ends them, the range is settled for good."""
+    folder, out, ledger = (fresh_path(spark, n) for n in ("landing", "table", "ledger"))
+    end = fixtures.empty_page(spark, sf_dir)
+    fixtures.log_pages(spark, sf_dir).unionByName(end).write.json(folder)
+    first = backfill.load_landing(spark, folder, out, ledger).failed_ranges
+    fixtures.log_pages(spark, sf_dir, rejects=False).write.mode("append").json(folder)
+    for _ in range(2):
+        backfill.load_landing(spark, folder, out, ledger)
+    entries = writing.stored_table(spark, ledger, None)
+    still = writing.open_failures(entries) if entries is not None else spark.range(0)
+    return (
+        spark.read.parquet(out).groupBy().agg(F.count("*").alias("row_count"))
+        .crossJoin(still.groupBy().agg(F.count("*").alias("open_ranges")))
+        .withColumn("entries_before", F.lit(first).cast("bigint"))
+    )
+
+
+@query("select 1::bigint as chainid, hash, value, 5::bigint as confirmations from transactions", "transactions")
+def load_transactions_twice(spark, sf_dir):
+    """The same transactions, later with more confirmations and upper-case addresses, stay one row each."""
+    folder, out, ledger = (fresh_path(spark, n) for n in ("landing", "table", "ledger"))
+    pages = fixtures.transaction_pages(spark, sf_dir)
+    confirmed = lambda n: pages.withColumn("result", F.replace("result", F.lit('"confirmations":""'), F.lit(f'"confirmations":"{n}"')))
+    confirmed(5).write.json(folder)
+    backfill.load_landing(spark, folder, out, ledger, "transactions")
+    confirmed(9).withColumn("address", F.upper("address")).write.mode("append").json(folder)
+    backfill.load_landing(spark, folder, out, ledger, "transactions")
+    return spark.read.parquet(out).select("chainid", "hash", "value", "confirmations")
+
+
+@query(
+    """, once as (select contract_address, chainid, s as a, least(s + greatest(block_chunk_size // 10, 1000) - 1, to_block) as b
+  from failed_ranges, unnest(generate_series(from_block, to_block, greatest(block_chunk_size // 10, 1000))) as g(s)),
+sized as (select *, greatest(least(b - a + 1, 20000) // 10, 1000) as w from once)
+select contract_address, chainid, w as retry_size, s as chunk_start, least(s + w - 1, b) as chunk_end
+from sized, unnest(generate_series(a, b, w)) as g(s)""",
+    "failed_ranges",
+)
+def retry_twice(spark, sf_dir):
+    """Windows of a retry that fail again are ledgered with their own width."""
+    first = planning.retry_plan(fixture(spark, sf_dir, "failed_ranges"))
+    width = F.least(F.col("chunk_end") - F.col("chunk_start") + 1, F.lit(20_000)).cast("bigint")
+    again = first.select(
+        "contract_address", "chainid", F.col("chunk_start").alias("from_block"), F.col("chunk_end").alias("to_block"), width.alias("block_chunk_size")
+    )
+    return planning.retry_plan(again).select("contract_address", "chainid", "retry_size", "chunk_start", "chunk_end")
+
+
+@query(
+    """select 9007199254740993 + event_id as exact, -(9007199254740993 + event_id) as cut, case when event_id < 1000 then 1500 + event_id * 1000 end as power
+from events"""
+)
+def whole_numbers(spark, sf_dir):
+    """Whole numbers past 2^53 stay exact; fractions are cut; exponents are read."""
+    big = F.col("event_id") + F.lit(9007199254740993)
+    power = F.when(F.col("event_id") < 1000, F.concat((F.col("event_id") + 1.5).cast("string"), F.lit("e3")))
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        fn.whole_number(big.cast("string")).alias("exact"),
+        fn.whole_number(F.concat(F.lit("-"), big.cast("string"), F.lit(".9"))).alias("cut"),
+        fn.whole_number(power).alias("power"),
+    )
+
+
+@query(
+    "select hash, block_number, transaction_index from transactions where (block_number, transaction_index) > (18000100, 3) "
+    "order by block_number, transaction_index limit 100",
+    "transactions",
+)
+def page_after(spark, sf_dir):
+    page = planning.page_after(fixture(spark, sf_dir, "transactions"), ["block_number", "transaction_index"], (18_000_100, 3), 100)
+    return page.select("hash", "block_number", "transaction_index")
+
+
+@query(
+    f""", t as (select case when event_id % 3 = 0 then null else chainid end as chainid, case when event_id % 5 = 0 then null else address end as address,
+  event_id as block_number from (select *, (block_number - 18000000) * 4 + log_index as event_id from logs)) """
+    + _nulls("gaps", chainid="chainid", address="address", block_number="block_number"),
+    "logs",
+)
+def not_null_gaps(spark, sf_dir):
+    """Checks that find NULLs in some columns and none in another."""
+    event = (F.col("block_number") - 18_000_000) * 4 + F.col("log_index")
+    gaps = fixture(spark, sf_dir, "logs").select(
+        F.when(event % 3 != 0, F.col("chainid")).alias("chainid"), F.when(event % 5 != 0, F.col("address")).alias("address"), event.alias("block_number")
+    )
+    return quality.not_null(gaps, "gaps", ("chainid", "address", "block_number"))
+
+
+# Catalog tables.
+
+@query("select true as exists_after, false as exists_before, count(*) as row_count, 0::bigint as rows_before from logs", "logs")
+def catalog_table(spark, sf_dir):
+    """A saved model is there, is counted, and holds what was saved."""
+    name = "model_" + fresh_path(spark, "x").rsplit("-", 1)[1]
+    before, none = tables.table_exists(spark, name), tables.row_count(spark, name)
+    writing.save_model(fixture(spark, sf_dir, "logs"), name, ["address"])
+    after, n = tables.table_exists(spark, name), tables.row_count(spark, name)
+    out = spark.table(name).groupBy().agg(F.count("*").alias("row_count"))
+    assert n == out.first()[0]
+    return out.select(F.lit(after).alias("exists_after"), F.lit(before).alias("exists_before"), "row_count", F.lit(none).cast("bigint").alias("rows_before"))
+
+
 # Streams.
 
 def _landed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages landed twice, as two overlapping fetches, read as a stream."""
+    """All pages landed twice, the last blocks first, in many triggers."""
     folder = fresh_path(spark, "landing")
     pages = stage(fixtures.log_pages(spark, sf_dir), "pages")
-    pages.write.json(folder)
-    pages.write.mode("append").json(folder)
-    return landing.stream_pages(spark, folder)
+    pages.orderBy(F.desc("page")).repartition(3).write.json(folder)
+    pages.repartition(3).write.mode("append").json(folder)
+    return landing.stream_pages(spark, folder, files_per_trigger=2)
 
 
 @query(
     f"select 1::bigint as chainid, transaction_hash, log_index, address from logs where {_GOOD_PAGE}", "logs"
 )
 def stream_dedup_logs(spark, sf_dir):
-    rows = landing.to_table_names(landing.logs_from_pages(_landed_stream(spark, sf_dir)))
-    once = ingest.deduplicated(ingest.with_event_time(rows), event_time="event_time", delay="60 days")
-    out = fresh_path(spark, "deduplicated")
-    ingest.run_available(
-        once.select("chainid", "transaction_hash", "log_index", "address"), out, out.rsplit("/", 1)[1]
-    )
-    return spark.read.parquet(out)
+    rows = landing.warehouse_logs(landing.logs_from_pages(_landed_stream(spark, sf_dir)))
+    out, checkpoint = fresh_path(spark, "deduplicated"), fresh_path(spark, "checkpoint")
+    ingest.append_available(rows, out, checkpoint, ["address", "block_number", "log_index"])
+    return spark.read.parquet(out).select("chainid", "transaction_hash", "log_index", "address")
 
 
 @query(
@@ -885,9 +1078,8 @@ from ({_DECODED.replace("from logs where", "from logs where " + _GOOD_PAGE + " a
 )
 def stream_decoded_logs(spark, sf_dir):
     rows = landing.to_table_names(landing.logs_from_pages(_landed_stream(spark, sf_dir)))
-    decoded = ingest.streaming_decoded_logs(rows, delay="60 days")
-    out = fresh_path(spark, "decoded")
-    ingest.run_available(decoded, out, out.rsplit("/", 1)[1])
+    out, checkpoint = fresh_path(spark, "decoded"), fresh_path(spark, "checkpoint")
+    ingest.append_available(rows, out, checkpoint, ["address", "block_number"], each=models.decoded_logs)
     return spark.read.parquet(out).select(
         "chainid", "address", "topic0", "data", "datetime", "transaction_hash", "log_index"
     )
