@@ -196,7 +196,7 @@ REQUIRED = {
 }
 
 
-def abi_entry(depth: int = 4) -> T.StructType:
+def abi_entry(depth: int) -> T.StructType:
     """One ABI entry; tuple members nest ``depth`` levels, deeper ones stay text."""
     members: T.DataType = T.StringType()
     for _ in range(depth):

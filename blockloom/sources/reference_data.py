@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,16 +47,41 @@ def manifest_from_text(texts: DataFrame) -> DataFrame:
     )
 
 
-def abi_files(spark: SparkSession, folder: str, depth: int = 4) -> DataFrame:
+def abi_files(spark: SparkSession, folder: str) -> DataFrame:
     """ABI entries of a folder holding one ``<address>.json`` per contract."""
     files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
     name = F.regexp_extract(F.input_file_name(), "([^/]+)[.]json$", 1)
-    return abi_entries(files.select(name.alias("address"), "value"), depth)
+    return abi_entries(files.select(name.alias("address"), "value"))
+
+
+def _depth(parts: object) -> int:
+    """Levels of parameters: 1 without tuples, one more for members of members."""
+    if not isinstance(parts, list):
+        return 0
+    return 1 + max((_depth(p.get("components")) for p in parts if isinstance(p, dict)), default=0)
+
+
+@F.arrow_udf(T.IntegerType())
+def _abi_depth(texts: pa.Array) -> pa.Array:
+    depths = []
+    for text in texts.to_pylist():
+        try:
+            entries = json.loads(text or "[]")
+        except ValueError:
+            entries = []
+        entries = [e for e in entries if isinstance(e, dict)] if isinstance(entries, list) else []
+        depths.append(max((_depth(e.get("inputs")) for e in entries), default=0))
+    return pa.array(depths, type=pa.int32())
+
 
+def abi_entries(texts: DataFrame) -> DataFrame:
+    """One row per ABI entry of ``(address, value)`` with the list as JSON text.
 
-def abi_entries(texts: DataFrame, depth: int = 4) -> DataFrame:
-    """One row per ABI entry of ``(address, value)`` with the list as JSON text."""
-    parsed = F.from_json("value", T.ArrayType(abi_entry(depth)))
+    The schema is as deep as the tuples in the input, which one pass over the
+    texts finds out beforehand.
+    """
+    depth = texts.agg(F.max(_abi_depth(F.col("value")))).first()[0] or 1
+    parsed = F.from_json("value", T.ArrayType(abi_entry(max(depth, 1))))
     return texts.select(lower_address(F.col("address")).alias("address"), F.explode(parsed).alias("entry"))
 
 

@@ -162,6 +162,17 @@ def test_decoded_params_of_every_kind(spark):
     assert got[4].event_name == "All" and got[4].decoded_data is None
 
 
+@pytest.mark.parametrize("depth", [0, 1, 4, 7])
+def test_tuples_of_any_depth_have_a_signature(spark, depth):
+    part, kind = {"name": "x", "type": "uint256"}, "uint256"
+    for _ in range(depth):
+        part, kind = {"name": "t", "type": "tuple[]", "components": [part, {"name": "y", "type": "bool"}]}, f"({kind},bool)[]"
+    abi = json.dumps([{"type": "event", "name": "Deep", "inputs": [part]}])
+    texts = spark.createDataFrame([("0xa", abi), ("0xb", "no json"), ("0xc", None)], "address string, value string")
+    found = catalog.event_catalog(reference_data.abi_entries(texts)).collect()
+    assert [r.event_signature for r in found] == [f"Deep({kind})"] and found[0].topic0 is not None
+
+
 def test_labels_are_broadcast(spark, sf_dir, logs):
     entries = reference_data.abi_entries(fixtures.fixture(spark, sf_dir, "log_abis"))
     plan = plan_text(catalog.label_events(models.decoded_logs(logs), catalog.event_catalog(entries)))

@@ -856,6 +856,24 @@ def decoded_params(spark, sf_dir):
     )
 
 
+@query(
+    f"""select '0x' || lpad(lower(to_hex(s_suppkey)), 40, '0') as address, 'Deep' || s_suppkey::varchar as event_name,
+  'Deep' || s_suppkey::varchar || '({"(" * 6}uint256{")" * 6})' as event_signature, true as has_topic from supplier"""
+)
+def deep_signatures(spark, sf_dir):
+    """Tuples nested six levels deep in every supplier's ABI."""
+    inner = '{"name":"x","type":"uint256"}'
+    for _ in range(6):
+        inner = '{"name":"t","type":"tuple","components":[' + inner + "]}"
+    key = F.col("s_suppkey")
+    texts = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
+        F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(key)), 40, "0")).alias("address"),
+        F.concat(F.lit('[{"type":"event","name":"Deep'), key.cast("string"), F.lit('","inputs":[' + inner + "]}]")).alias("value"),
+    )
+    found = catalog.event_catalog(reference_data.abi_entries(texts))
+    return found.select("address", "event_name", "event_signature", F.col("topic0").isNotNull().alias("has_topic"))
+
+
 _TWO_TRANSFERS = [
     ("0xa", '[{"type":"event","name":"Transfer","inputs":[{"name":"from","type":"address","indexed":true},'
      '{"name":"to","type":"address","indexed":true},{"name":"value","type":"uint256","indexed":false}]}]'),
