@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -228,6 +230,105 @@ def _word_values(words: pa.Array, kinds: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, values, mask=words.is_null())
 
 
+def _is_composite(kind: str) -> bool:
+    return kind.endswith("]") or kind.startswith("(")
+
+
+def _members(kind: str) -> list[str]:
+    """Member types of a tuple type."""
+    out, level, start = [], 0, 1
+    for at, sign in enumerate(kind):
+        level += (sign == "(") - (sign == ")")
+        if (sign == "," and level == 1) or level == 0:
+            out.append(kind[start:at])
+            start = at + 1
+            if level == 0:
+                break
+    return [m for m in out if m]
+
+
+def _array_parts(kind: str) -> tuple[str, int | None]:
+    """Item type and length (None: stated in the data) of an array type."""
+    item, _, size = kind[:-1].rpartition("[")
+    return item, int(size) if size else None
+
+
+def _head_bytes(kind: str) -> int | None:
+    """Bytes a type takes where it stands, None if it stands behind an offset."""
+    if kind.endswith("]"):
+        item, size = _array_parts(kind)
+        each = _head_bytes(item)
+        return None if size is None or each is None else size * each
+    if kind.startswith("("):
+        sizes = [_head_bytes(m) for m in _members(kind)]
+        return None if None in sizes else sum(sizes)
+    return None if kind in ("string", "bytes") else 32
+
+
+class _Data:
+    """Event data; each of its words stands for one value at most, which
+    bounds what offsets that point at each other can ask for."""
+
+    def __init__(self, data: bytes) -> None:
+        self.data, self.left = data, len(data) // 32 + 1
+
+    def word(self, at: int) -> bytes:
+        self.left -= 1
+        found = self.data[at : at + 32]
+        if len(found) < 32 or self.left < 0:
+            raise ValueError("data ends too early")
+        return found
+
+    def read(self, kind: str, at: int, base: int) -> str | list:
+        """The value whose place is ``at``; offsets count from ``base``."""
+        if _head_bytes(kind) is None:
+            at = base + int.from_bytes(self.word(at))
+        if kind.endswith("]"):
+            item, size = _array_parts(kind)
+            if size is None:
+                size, at = int.from_bytes(self.word(at)), at + 32
+            if size > len(self.data):
+                raise ValueError("more items than bytes")
+            return self.row([item] * size, at)
+        if kind.startswith("("):
+            return self.row(_members(kind), at)
+        if kind in ("string", "bytes"):
+            size = int.from_bytes(self.word(at))
+            content = self.data[at + 32 : at + 32 + size]
+            if len(content) < size:
+                raise ValueError("data ends too early")
+            return "0x" + content.hex()
+        return _values_of_kind(pa.array([self.word(at).hex()]), kind)[0].as_py()
+
+    def row(self, kinds: list[str], at: int) -> list:
+        out, base = [], at
+        for kind in kinds:
+            out.append(self.read(kind, at, base))
+            at += _head_bytes(kind) or 32
+        return out
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _composite_values(data: pa.Array, kinds: pa.Array, heads: pa.Array) -> pa.Array:
+    """Arrays and tuples as JSON arrays of their values' texts, NULL if malformed."""
+    out: list[list[str | None] | None] = []
+    for text, row, places in zip(data.to_pylist(), kinds.to_pylist(), heads.to_pylist()):
+        if text is None or row is None:
+            out.append(None)
+            continue
+        values: list[str | None] = []
+        for kind, place in zip(row, places):
+            value = None
+            if place is not None and kind and _is_composite(kind):
+                try:
+                    value = json.dumps(_Data(bytes.fromhex(text)).read(kind, 32 * place, 0), separators=(",", ":"))
+                except (ValueError, RecursionError):
+                    value = None
+            values.append(value)
+        out.append(values)
+    return pa.array(out, type=pa.list_(pa.string()))
+
+
 def _words_at(data: Column, index: Column, count: Column) -> Column:
     """``count`` words from number ``index`` of hex data; NULL if cut short."""
     words = F.lower(F.substr(data, index * 64 + 1, count * 64))
@@ -257,7 +358,8 @@ def decode_params(labelled: DataFrame) -> DataFrame:
 
     Takes :func:`label_events` rows with ``params=True``. Values of one word
     are decoded by type, byte strings and texts give their content as hex,
-    hashed (indexed) and composite ones stay hex words.
+    arrays and tuples a JSON array of their members' texts, and hashed
+    (indexed) ones stay hex words. What does not fit the data is NULL.
     """
     topics = F.array("topic1", "topic2", "topic3")
     flat = F.substr("data", F.lit(3))
@@ -278,10 +380,17 @@ def decode_params(labelled: DataFrame) -> DataFrame:
         ).otherwise(F.get("_values", i)),
     )
     may_point = F.arrays_overlap(params["kind"], F.array(F.lit("string"), F.lit("bytes")))
-    texts = F.when(may_point, pointed).otherwise(F.col("_values"))
+    found = found.withColumn("_texts", F.when(may_point, pointed).otherwise(F.col("_values")))
+    # Arrays and tuples are followed from the head; only rows that have any go there.
+    composite = lambda p: ~p["indexed"] & p["kind"].rlike(r"^[(]|\]$")
+    has_any = F.coalesce(F.exists(params, composite), F.lit(False))
+    heads = F.transform(params, lambda p: F.when(composite(p), p["at"]))
+    found = found.withColumn("_taken", _composite_values(F.when(has_any, flat), F.when(has_any, params["kind"]), F.when(has_any, heads)))
+    taken = F.transform(params, lambda p, i: F.when(composite(p), F.get("_taken", i)).otherwise(F.get("_texts", i)))
+    texts = F.when(has_any, taken).otherwise(F.col("_texts"))
     as_json = F.to_json(F.map_from_arrays(params["name"], texts), {"ignoreNullFields": "false"})
     return found.withColumn("decoded_data", F.when(params.isNotNull(), as_json)).drop(
-        "_params", "_words", "_values"
+        "_params", "_words", "_values", "_texts", "_taken"
     )
 
 

@@ -153,8 +153,8 @@ def test_decoded_params_of_every_kind(spark):
     assert got[3].decoded_data is None and got[3].event_name is None
     assert got[1].event_name == got[2].event_name == "All"
     assert json.loads(got[1].decoded_data) == {
-        "who": "0x" + "12" * 20, "count": "-5", "ok": "true", "pair": "0x" + word(7) + word(8),
-        "note": "0x" + b"hello".hex(), "arg5": "0xdeadbeef", "who_6": str(1 << 200), "list": "0x" + word(99), "tag": tag,
+        "who": "0x" + "12" * 20, "count": "-5", "ok": "true", "pair": '["7","8"]',
+        "note": "0x" + b"hello".hex(), "arg5": "0xdeadbeef", "who_6": str(1 << 200), "list": None, "tag": tag,
     }
     assert json.loads(got[2].decoded_data)["who"] == "0x" + "12" * 20
     assert json.loads(got[2].decoded_data)["count"] is None
@@ -162,6 +162,28 @@ def test_decoded_params_of_every_kind(spark):
     assert got[4].event_name == "All" and got[4].decoded_data is None
 
 
+@pytest.mark.parametrize(
+    ("kind", "words", "value"),
+    [
+        ("uint256[]", [32, 2, 7, 9], ["7", "9"]),
+        ("address[2]", [1, 2], ["0x" + "0" * 39 + "1", "0x" + "0" * 39 + "2"]),
+        ("(uint8,bool)", [5, 1], ["5", "true"]),
+        ("(uint8,bytes)", [32, 5, 64, 3, int("abcdef" + "0" * 58, 16)], ["5", "0xabcdef"]),
+        ("(uint8,uint8[])[]", [32, 2, 64, 160, 1, 64, 0, 2, 64, 1, 3], [["1", []], ["2", ["3"]]]),
+        ("uint256[]", [32, 3, 7, 9], None),
+        ("uint256[]", [1 << 200, 2, 7, 9], None),
+        ("uint256[][]", [32, 2, 0, 0], None),
+    ],
+)
+def test_arrays_and_tuples(kind, words, value):
+    data = catalog._Data(bytes.fromhex("".join(word(w) for w in words)))
+    if value is None:
+        with pytest.raises(ValueError):
+            data.read(kind, 0, 0)
+    else:
+        assert data.read(kind, 0, 0) == value
+
+
 @pytest.mark.parametrize("depth", [0, 1, 4, 7])
 def test_tuples_of_any_depth_have_a_signature(spark, depth):
     part, kind = {"name": "x", "type": "uint256"}, "uint256"

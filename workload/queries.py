@@ -899,6 +899,24 @@ def transfer_layouts(spark, sf_dir):
     return found.select("transaction_hash", "log_index", "event_name", "decoded_data")
 
 
+@query(
+    """select event_id, case when event_id % 7 = 0 then '{"ids":null}'
+  else '{"ids":"[\\"' || event_id::varchar || '\\",\\"' || user_id::varchar || '\\"]"}' end as decoded_data from events"""
+)
+def decoded_arrays(spark, sf_dir):
+    """Lists of two numbers; every seventh states more items than there are."""
+    abi = '[{"type":"event","name":"Batch","inputs":[{"name":"ids","type":"uint256[]","indexed":false}]}]'
+    known = catalog.event_catalog(reference_data.abi_entries(spark.createDataFrame([("0xa", abi)], "address string, value string")))
+    number = lambda x: F.lpad(F.lower(F.hex(x)), 64, "0")
+    items = F.when(F.col("event_id") % 7 == 0, F.lit(9)).otherwise(F.lit(2))
+    logs = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", F.lit("0xa").alias("address"), F.lit(known.first()["topic0"]).alias("topic0"),
+        *[F.lit(None).cast("string").alias(f"topic{n}") for n in (1, 2, 3)],
+        F.concat(F.lit("0x"), number(F.lit(32)), number(items), number("event_id"), number("user_id")).alias("data"),
+    )
+    return catalog.described_logs(logs, known).select("event_id", "decoded_data")
+
+
 # Faults of landed pages.
 
 _ODD = """pages as (select event_id // 1000 + 1 as p, count(*) as n, (event_id // 1000 + 1) % 7 as kind
