@@ -19,8 +19,10 @@ text are not looked at.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,7 +41,9 @@ from .common import kept, table
 END_ID = 2
 LEVEL = 3
 #: Words whose ids a worker keeps at a time.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
+#: Signs that begin a word of their own after a letter or digit.
+SIGNS = ".,;:!?"
 # Fixed values of the zstandard seekable format.
 SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 ENTRY, FOOTER = "<III", "<IBI"
@@ -52,25 +56,51 @@ def model_path() -> str:
 
 
 class _Words(dict):
-    """The ids of words, found by the tokenizers library when first asked for."""
+    """The ids of words, found by the tokenizers library when first asked for.
+
+    This tokenizer parts words at white space and before a sign that follows
+    a letter or digit, and reads capitals as small letters; a word that
+    differs from another in that alone is looked up by it.
+    """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
 
+    def parts(self, word: str) -> tuple[str, ...]:
+        if "<" in word:  # may hold a special token
+            return (word,)
+        if word.isascii():
+            word = word.lower()
+        base = word.rstrip(SIGNS)
+        if base != word and base and base[-1].lower().isalnum():
+            return base, word[len(base) :]
+        return (word,)
+
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        found = self[word] = np.array(ids, dtype="<u4").tobytes()
+        parts = self.parts(word)
+        if parts == (word,):
+            self.learn([word])
+            return dict.__getitem__(self, word)
+        found = self[word] = b"".join([self[p] for p in parts])
         return found
 
-    def ids(self, text: str | None) -> bytes:
+    def learn(self, new: list[str]) -> None:
+        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            self[word] = array("I", found.ids).tobytes()
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
         """White space parts this tokenizer's words and leaves no id, so a
         text's ids are those of what stands between blanks."""
-        return b"".join(map(self.__getitem__, (text or "").split(" ")))
+        if len(self) >= REMEMBERED:
+            self.clear()
+        split = [(t or "").split(" ") for t in texts]
+        unknown = {w for row in split for w in row if w not in self}
+        self.learn(list({p for w in unknown for p in self.parts(w) if p not in self}))
+        return [b"".join(map(self.__getitem__, row)) for row in split]
 
 
 def words(path: str) -> _Words:
@@ -159,9 +189,9 @@ def _frames(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, end = words(path), np.array([END_ID], dtype="<u4").tobytes()
         for whole in batches:
-            for start in range(0, whole.num_rows, 500):
-                batch = whole.slice(start, 500)
-                plain = [known.ids(t.as_py()) + end for t in batch.column(1)]
+            for start in range(0, whole.num_rows, 200):
+                batch = whole.slice(start, 200)
+                plain = [p + end for p in known.ids(batch.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
