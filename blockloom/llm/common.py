@@ -17,9 +17,11 @@ SPACES = r"[\x20\x09-\x0D]+"
 
 def kept(key: tuple, make: Callable[[], object]) -> object:
     """What ``make`` returns, made once in each worker process. Functions reach
-    workers by value, so a module's own variables end with the task."""
+    workers by value, so a module's own variables end with the task. A worker
+    that goes on with another operator lets go of what it had."""
     store = sys.__dict__.setdefault("_blockloom_kept", {})
     if key not in store:
+        store.clear()
         store[key] = make()
     return store[key]
 

@@ -32,7 +32,7 @@ from .common import kept, table
 
 BLANK = "▁"
 #: Words whose ids a worker keeps at a time.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Rows a worker returns at a time.
 ROWS = 256
 
@@ -166,7 +166,7 @@ class Pieces:
         else:  # one blank before each word
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
-            if len(self.stay) >= 8 * REMEMBERED:
+            if len(self.stay) >= 3 * REMEMBERED:
                 self.stay.clear()
             found = b"".join(map(self.known.__getitem__, text.split(" ")))
         return np.frombuffer(found, dtype="<i4")
@@ -187,12 +187,13 @@ def _ids_array(found: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, type=pa.int32()))
 
 
-def encode(docs: DataFrame, column: str = "text", ids: str = "ids", path: str | None = None) -> DataFrame:
-    """``docs`` with the ids of ``column`` as an array of integers; an equally
-    named column is replaced."""
+def encode(docs: DataFrame, column: str = "text", ids: str = "ids", decoded: str | None = None, path: str | None = None) -> DataFrame:
+    """``docs`` with the ids of ``column`` as an array of integers and, if
+    ``decoded`` is given, the text decoded from them in the same pass; equally
+    named columns are replaced."""
     path = path or model_path()
-    others = docs.drop(ids)
-    schema = T.StructType([*others.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    others = docs.drop(ids, *([decoded] if decoded else []))
+    more = [T.StructField(ids, T.ArrayType(T.IntegerType())), *([T.StructField(decoded, T.StringType())] if decoded else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
@@ -201,9 +202,12 @@ def encode(docs: DataFrame, column: str = "text", ids: str = "ids", path: str |
                 batch = whole.slice(start, ROWS)
                 texts = batch.column(batch.schema.get_field_index(column))
                 found = [model.encode(x.as_py() or "") for x in texts]
-                yield pa.RecordBatch.from_arrays([*batch.columns, _ids_array(found)], names=[*batch.schema.names, ids])
+                made = [_ids_array(found)]
+                if decoded:
+                    made.append(pa.array([model.decode(x.tolist()) for x in found], type=pa.string()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *[f.name for f in more]])
 
-    return others.mapInArrow(run, schema)
+    return others.mapInArrow(run, T.StructType([*others.schema.fields, *more]))
 
 
 def decode(df: DataFrame, ids: str = "ids", column: str = "decoded", path: str | None = None) -> DataFrame:

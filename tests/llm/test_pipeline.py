@@ -5,7 +5,7 @@ from collections import Counter
 import corpus_pipeline
 import pytest
 import sentencepiece
-from test_jaccard import brute
+from llm.test_jaccard import brute
 
 from blockloom.llm import language, mixing, pieces
 from blockloom.session import stage
