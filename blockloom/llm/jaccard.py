@@ -14,7 +14,8 @@ each, in any order of tokens that is the same for all. Tokens that a sample
 finds often come last in that order; this changes how much work there is, not
 what is found. Each token shared by several sets is a group with a tree of
 its own, groups of equal members count once, and a large group is cut into
-blocks whose pairs are walked on their own.
+blocks whose pairs are walked on their own. Before that, a few tokens more of
+each set are looked at: a set that shares too few of them is like no other.
 
 Links are kept as components, so a group of copies costs about as many links
 as it has members. Equal sets are one node. Tokens are 64-bit hashes of
@@ -53,7 +54,8 @@ BLOCK = 256
 LEAF, FAN = 16, 4
 #: Rows up to which the sets to be checked are looked up by broadcast (24 bytes each).
 BROADCAST_ROWS = 1_000_000
-REMEMBERED = 500_000
+#: Words whose hashes a worker keeps at a time.
+REMEMBERED = 100_000
 
 
 class _Hashes(dict):
@@ -265,7 +267,7 @@ def signatures(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEA
     frequent, times = often["token"].to_numpy(), often["count"].to_numpy()
     by_token = np.argsort(frequent.view(np.uint64))
     frequent, times = frequent.view(np.uint64)[by_token], times[by_token]
-    num, den = least
+    (num, den), more = least, more_tokens(least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = kept(("shingle words",), _Hashes)
@@ -286,7 +288,7 @@ def signatures(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEA
                         tokens_in_order = tokens[np.lexsort((tokens, rank))]
                     else:
                         tokens_in_order = tokens
-                    first.append(tokens_in_order[: n - -(-num * n // den) + 1].view(np.int64))
+                    first.append(tokens_in_order[: n - -(-num * n // den) + 1 + n // more].view(np.int64))
                     bits.append(bitmap(tokens).tobytes() if n else b"")
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(size, pa.int64()), pa.array(sum_a, pa.int64()), pa.array(sum_b, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
@@ -300,6 +302,13 @@ def signatures(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEA
 SET = ["n", "sum_a", "sum_b"]
 
 
+def more_tokens(least: tuple[int, int]) -> int:
+    """A set's first tokens go on beyond those it is dealt out by: by one for
+    so many tokens of the set."""
+    num, den = least
+    return 20 if 10 * num >= 9 * den else 40
+
+
 def set_sums(tokens: np.ndarray) -> tuple[int, int, int]:
     """What tells a set apart: its size and two sums over its tokens."""
     if not len(tokens):
@@ -328,12 +337,21 @@ def signed_rows(docs: DataFrame, words: int) -> DataFrame:
 def possible_links(sets: DataFrame, least: tuple[int, int]) -> DataFrame:
     """(a, b): nodes whose bitmaps allow enough overlap, thinned out to what
     connects them."""
-    postings = sets.select("node", F.explode("first").alias("token"))
+    num, den = least
+    at_least = lambda n: F.ceil(n * num / den)
+    postings = sets.select("node", "n", F.posexplode("first").alias("at", "token"))
+    tokens = postings.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    shared = stage(postings.join(stage(tokens.select("token"), "tokens"), "token"), "shared")
+    # With k tokens more, similar sets share k + 1 of them at least, k being that
+    # of the smaller set. A set with fewer shared ones is like no other.
+    enough = F.col("found") > F.floor(at_least(F.col("n")) / more_tokens(least))
+    nodes = shared.groupBy("node", "n").agg(F.count(F.lit(1)).alias("found")).where(enough).select("node")
+    live = stage(shared.join(nodes, "node").where(F.col("at") <= F.col("n") - at_least(F.col("n"))).select("token", "node"), "live")
     mark = lambda seed: F.sum(F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(1 << 40)))
-    tokens = postings.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), mark(1).alias("x"), mark(2).alias("y")).where("sets > 1")
+    tokens = live.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), mark(1).alias("x"), mark(2).alias("y")).where("sets > 1")
     # Tokens with the same sets are one group.
-    tokens = stage(tokens.groupBy("sets", "x", "y").agg(F.min("token").alias("token")).select("token", "sets"), "tokens")
-    members = stage(postings.join(tokens, "token"), "members")
+    tokens = stage(tokens.groupBy("sets", "x", "y").agg(F.min("token").alias("token")).select("token", "sets"), "groups")
+    members = stage(live.join(tokens, "token"), "members")
     rows = members.join(sets.select("node", "n", "bits"), "node")
     rows = _in_blocks(rows, "token", F.col("sets")).select("token", "i", "j", "node", "n", "bits")
 
@@ -341,8 +359,10 @@ def possible_links(sets: DataFrame, least: tuple[int, int]) -> DataFrame:
         for group in _runs(batches, ["token", "i", "j"]):
             if group.num_rows < 2:
                 continue
-            node, size = group["node"].to_numpy(), group["n"].to_numpy()
-            maps = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in group["bits"]]
+            # In the order of nodes, so that stars of different groups have the same centre.
+            order = np.argsort(group["node"].to_numpy())
+            node, size = group["node"].to_numpy()[order], group["n"].to_numpy()[order]
+            maps = [np.frombuffer(group["bits"][int(i)].as_py(), dtype=np.uint64) for i in order]
             label = spanning(len(node), *possible_pairs(size, maps, least))
             own = np.flatnonzero(label != np.arange(len(node)))
             if len(own):
@@ -360,8 +380,9 @@ def _checked(rows: DataFrame, least: tuple[int, int]) -> DataFrame:
             sets = [np.frombuffer(group["tokens"][int(i)].as_py(), dtype=np.uint64) for i in first]
             found = linked(sets, least, group["joined"].to_numpy()[first])
             if found:
-                a, b = np.array(found).T
-                yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
+                label = spanning(len(node), *np.array(found).T)
+                own = np.flatnonzero(label != np.arange(len(node)))
+                yield pa.RecordBatch.from_arrays([pa.array(node[own]), pa.array(node[label[own]])], names=["a", "b"])
 
     rows = rows.select("cluster", "i", "j", "node", "tokens", "joined")
     return _grouped(rows, ["cluster", "i", "j"]).mapInArrow(check, "a long, b long")
