@@ -5,6 +5,11 @@ factor vectors says how much they count together, so an insult beside the
 name of a group can weigh more than both apart. The sum over all pairs is
 worked out in time linear in a text's terms.
 
+Every term in at least ``LEAST_TEXTS`` texts of the sample is learned. A term
+counts in full if its own share of label 1, or that of any pair with it, is far
+from what chance explains, and is damped towards ``DAMPED`` if not, so the many
+terms that say nothing do not drown the few that do.
+
 Terms are the lower-case words of a text and their beginnings, hashed into
 ``SPACE`` places; a term counts once in a text. The fit takes a bounded sample
 of labelled rows (``FIT_EACH``), as many of either label where there are
@@ -41,9 +46,13 @@ STARTS = (4, 5, 6, 7)
 EPOCHS, BATCH, RATE = 60, 256, 0.1
 #: Pulls weights and factors towards 0.
 SHRINK, SHRINK_FACTORS = 1e-4, 1e-3
-#: Terms in fewer texts of the sample, and those whose toxic texts are closer
-#: to their share than so many standard deviations, have no weight.
-LEAST_TEXTS, LEAST_SIGNAL = 3, 3.0
+#: Terms in fewer texts of the sample have no weight.
+LEAST_TEXTS = 3
+#: Terms that say less than so many standard deviations, alone and with any
+#: other term, are damped, by DAMPED at most, but none is left out.
+LEAST_SIGNAL, DAMPED = 3.0, 0.03
+#: Terms whose pairs are counted at once.
+PAIRS = 512
 REMEMBERED = 300_000
 SEED = 5
 
@@ -78,7 +87,7 @@ class Terms(dict):
 def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """All terms in a row, and the row of each."""
     size = [len(r) for r in rows]
-    return np.concatenate([*rows, np.zeros(0, dtype=np.int32)]), np.repeat(np.arange(len(rows)), size)
+    return np.concatenate([*rows, np.zeros(0, dtype=np.int32)]), np.repeat(np.arange(len(rows), dtype=np.int32), size)
 
 
 @dataclass
@@ -93,8 +102,10 @@ class Machine:
     def score(self, rows: list[np.ndarray]) -> np.ndarray:
         out = np.full(len(rows), self.bias)
         at, row = _flat(rows)
-        there = np.isin(at, self.places)
-        at, row = np.searchsorted(self.places, at[there]), row[there]
+        place = np.full(SPACE, -1, dtype=np.int32)
+        place[self.places] = np.arange(len(self.places))
+        at = place[at]
+        at, row = at[at >= 0], row[at >= 0]
         out += np.bincount(row, self.weight[at], len(rows))
         for f in self.factor.T:
             v = f[at]
@@ -103,6 +114,59 @@ class Machine:
         return np.round(1 / (1 + np.exp(-np.clip(out, -30, 30))), 9)
 
 
+def _pair_signal(rows: list[np.ndarray], y: np.ndarray, seen: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """For each term, the standard deviations by which the pair that says most
+    differs from its two terms' shares added up, less what the best of so many
+    pairs shows by chance. Rows hold terms numbered from 0."""
+    out, p, n = np.zeros(len(seen)), y.mean(), len(seen)
+    if n < 2 or not 0 < p < 1:
+        return out
+    chance = 2 * np.log(n * n / 2)
+    # With fewer texts of a label no pair gets beyond chance.
+    some = np.flatnonzero((toxic >= chance / (-2 * np.log(p))) | (seen - toxic >= chance / (-2 * np.log(1 - p))))
+    # Terms of the same texts say the same, so one of them stands for all.
+    mark, sums = np.random.default_rng(SEED).random(len(y)), np.zeros(n)
+    for i, r in enumerate(rows):
+        sums[r] += mark[i]
+    _, first, same = np.unique(np.stack([sums[some], seen[some]]), axis=1, return_index=True, return_inverse=True)
+    like, some = some, some[first]
+    share = (toxic + p) / (seen + 1)
+    odds = (np.log(share / (1 - share)) - np.log(p / (1 - p)) / 2).astype(np.float32)
+    order = np.argsort(-y, kind="stable")
+    there = np.isin(np.arange(n), some)
+    ones, (at, row) = int(y.sum()), _flat([rows[i][there[rows[i]]] for i in order])
+    turn = np.argsort(at, kind="stable")
+    at, row = at[turn], row[turn]
+    del turn
+
+    def block(terms: np.ndarray) -> np.ndarray:
+        found = np.zeros((len(y), len(terms)), dtype=np.float32)
+        low, high = np.searchsorted(at, terms), np.searchsorted(at, terms, "right")
+        for k, (i, j) in enumerate(zip(low, high)):
+            found[row[i:j], k] = 1
+        return found
+
+    def part(count: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return count * np.log(np.maximum(count, 1e-6) / np.maximum(expected, 1e-6))
+
+    for i in range(0, len(some), PAIRS):
+        mine = some[i : i + PAIRS]
+        a = block(mine)
+        for j in range(i, len(some), PAIRS):
+            other = some[j : j + PAIRS]
+            b = a if j == i else block(other)
+            bad, good = a[:ones].T @ b[:ones], a[ones:].T @ b[ones:]
+            both = bad + good
+            q = 1 / (1 + np.exp(-np.clip(odds[mine][:, None] + odds[other][None, :], -30, 30)))
+            told = 2 * (part(bad, both * q) + part(good, both * (1 - q))) - chance
+            told[(both < LEAST_TEXTS) | (mine[:, None] == other[None, :])] = 0
+            told = np.sqrt(np.maximum(told, 0))
+            out[mine] = np.maximum(out[mine], told.max(1))
+            out[other] = np.maximum(out[other], told.max(0))
+    out[like] = out[some][same.ravel()]
+    return out
+
+
 def fit_rows(rows: list[np.ndarray], y: np.ndarray, importance: np.ndarray, epochs: int = EPOCHS) -> Machine:
     """The machine of term rows and labels by stochastic gradients with steps
     that shrink place by place; the same whatever the order of rows."""
@@ -110,44 +174,63 @@ def fit_rows(rows: list[np.ndarray], y: np.ndarray, importance: np.ndarray, epoc
         return Machine(0.0, np.zeros(0, dtype=np.int32), np.zeros(0), np.zeros((0, FACTORS)))
     order = sorted(range(len(rows)), key=lambda i: (zlib.crc32(rows[i].tobytes()), rows[i].tobytes(), y[i]))
     rows, y, importance = [rows[i] for i in order], y[order], importance[order]
-    at, row = _flat(rows)
-    seen = np.bincount(at, minlength=SPACE)
-    toxic = np.bincount(at, y[row], minlength=SPACE)
+    # Sums over slices: the driver holds the rows once.
+    seen, toxic = np.zeros(SPACE), np.zeros(SPACE)
+    for low in range(0, len(rows), BATCH):
+        at, row = _flat(rows[low : low + BATCH])
+        seen += np.bincount(at, minlength=SPACE)
+        toxic += np.bincount(at, y[low + row], minlength=SPACE)
+    useful = seen >= LEAST_TEXTS
+    places = np.flatnonzero(useful).astype(np.int32)
+    number = np.cumsum(useful, dtype=np.int32) - 1
+    for i, r in enumerate(rows):
+        rows[i] = number[r[useful[r]]]
+    seen, toxic = seen[places], toxic[places]
     expected = seen * y.mean()
     told = np.abs(toxic - expected) / np.sqrt(np.maximum(expected * (1 - y.mean()), 1e-9))
-    useful = (seen >= LEAST_TEXTS) & (told >= LEAST_SIGNAL)
-    rows = [r[useful[r]] for r in rows]
+    told = np.maximum(told, _pair_signal(rows, y, seen, toxic))
+    much = np.clip((told / LEAST_SIGNAL) ** 2, DAMPED, 1).astype(np.float32)
     rng = np.random.default_rng(SEED)
     rate = float((importance * y).sum() / importance.sum())
     rate = min(max(rate, 1e-3), 1 - 1e-3)
     bias = float(np.log(rate / (1 - rate)))
-    weight, factor = np.zeros(SPACE), rng.normal(0, 0.01, (SPACE, FACTORS))
-    factor[~useful] = 0
-    moved, moved_factor = np.full(SPACE, 1e-2), np.full((SPACE, FACTORS), 1e-2)
+    # A term's weight, then its factors; a row each, so sums run along memory.
+    model = np.vstack([np.zeros(len(places)), rng.normal(0, 0.01, (FACTORS, len(places)))]).astype(np.float32)
+    moved = np.full(model.shape, 1e-2, dtype=np.float32)
+    shrink = np.array([[SHRINK]] + [[SHRINK_FACTORS]] * FACTORS, dtype=np.float32)
+    # From here on the batches hold the terms instead of the rows.
+    turn, batches = rng.permutation(len(rows)), []
+    for low in range(0, len(turn), BATCH):
+        mine = turn[low : low + BATCH]
+        at, row = _flat([rows[i] for i in mine])
+        by_place = np.argsort(at, kind="stable")
+        here, start, place = np.unique(at[by_place], return_index=True, return_inverse=True)
+        local = np.empty(len(at), dtype=np.int32)
+        local[by_place] = place
+        filled, first = np.unique(row, return_index=True)
+        if len(here):
+            batches.append((mine, here, local, row[by_place].astype(np.int16), start.astype(np.int32), filled, first))
+            for i in mine:
+                rows[i] = rows[i][:0]
     for _ in range(epochs):
-        turn = rng.permutation(len(rows))
-        for low in range(0, len(turn), BATCH):
-            mine = turn[low : low + BATCH]
-            at, row = _flat([rows[i] for i in mine])
-            places, place = np.unique(at, return_inverse=True)
-            v = factor[places]
-            sums = np.stack([np.bincount(row, v[place, k], len(mine)) for k in range(FACTORS)], axis=1)
-            squares = np.bincount(row, (v * v).sum(1)[place], len(mine))
-            raw = bias + np.bincount(row, weight[at], len(mine)) + 0.5 * ((sums * sums).sum(1) - squares)
+        for mine, here, local, row, start, filled, first in (batches[i] for i in rng.permutation(len(batches))):
+            scale, old = much[here], model.take(here, axis=1)
+            now = old * scale
+            sums = np.zeros((FACTORS + 2, len(mine)))
+            for k, each in enumerate([*now, (now[1:] ** 2).sum(0)]):
+                sums[k, filled] = np.add.reduceat(each[local], first)
+            raw = bias + sums[0] + 0.5 * ((sums[1:-1] ** 2).sum(0) - sums[-1])
             p = 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
             slope = (p - y[mine]) * importance[mine]
             bias -= 0.02 * slope.mean()
-            own = slope[row]
-            down = np.bincount(place, own, len(places))
-            g = down / len(mine) + SHRINK * weight[places]
-            moved[places] += g * g
-            weight[places] -= RATE * g / np.sqrt(moved[places])
-            each = np.stack([np.bincount(place, own * sums[row, k], len(places)) for k in range(FACTORS)], axis=1)
-            g = (each - v * down[:, None]) / len(mine) + SHRINK_FACTORS * v
-            moved_factor[places] += g * g
-            factor[places] -= RATE * g / np.sqrt(moved_factor[places])
-    places = np.flatnonzero(useful).astype(np.int32)
-    return Machine(bias, places, weight[places], factor[places])
+            down = np.stack([np.add.reduceat(each[row], start) for each in np.vstack([slope, slope * sums[1:-1]]).astype(np.float32)])
+            down[1:] -= now[1:] * down[0]
+            g = down * scale / len(mine) + shrink * old
+            grown = moved.take(here, axis=1) + g * g
+            moved[:, here] = grown
+            model[:, here] = old - RATE * g / np.sqrt(grown)
+    model = (model * much).astype(float)
+    return Machine(bias, places, model[0], model[1:].T.copy())
 
 
 def fit(docs: DataFrame, labels: DataFrame, each: int = FIT_EACH) -> Machine:
@@ -168,7 +251,9 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = FIT_EACH) -> Machine:
     found = rows.mapInArrow(run, "label int, terms array<int>").toArrow()
     known.unpersist()
     y = found["label"].to_numpy().astype(float)
-    listed = [np.asarray(t.values, dtype=np.int32) for t in found["terms"]]
+    # Copies, so that what Arrow holds can go before the fit.
+    listed = [np.array(t.values, dtype=np.int32) for t in found["terms"]]
+    del found
     # Each label weighs as much as in all labelled rows.
     there = [max((y == k).sum(), 1) for k in (0, 1)]
     total = sum(share.values()) or 1

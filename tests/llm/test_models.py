@@ -78,3 +78,23 @@ def test_awkward_rows(spark, documents, awkward, crowded, rows):
         assert (r.lang_pred == "und") == (not any(c.isalpha() for c in r.text or ""))
     kept = language.known_language(docs)
     assert kept.columns == docs.columns and kept.count() == sum(r.lang_pred != "und" for r in got)
+
+
+def test_a_pair_of_neutral_terms_is_learned():
+    import numpy as np
+
+    known = toxicity.Terms()
+    both, one, other, none = (known.of(t) for t in ("insult group", "insult", "group", "of"))
+    y = np.array([1.0, 0, 0, 1.0] * 60)
+    s = toxicity.fit_rows([both, one, other, none] * 60, y, np.ones(len(y))).score([both, one, other, none])
+    assert min(s[0], s[3]) > 0.5 > max(s[1:3])
+
+
+def test_a_rare_term_of_toxic_texts_only_is_learned():
+    import numpy as np
+
+    rows = [np.array([k], dtype=np.int32) for k in [1] * 100 + [2] * 5 + [1] * 95]
+    y = np.array([0.0] * 100 + [1.0] * 100)
+    model = toxicity.fit_rows(rows, y, np.ones(len(y)))
+    low, high = model.score([np.array([1], dtype=np.int32), np.array([2], dtype=np.int32)])
+    assert high > max(low, 0.5)
