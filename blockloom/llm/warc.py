@@ -8,6 +8,8 @@ searches for the next member or version line that starts a valid record, goes
 on from there, and logs the bytes between as a quarantined gap. Later records
 are recovered whatever came before them.
 
+A header may have any length, and so may the url in it.
+
 Nulls and ties: a null html is an empty payload. Equal payloads, empty ones
 too, refer to the record with the smallest page_id; rows that repeat both
 page_id and payload as the smallest are responses each. A null page_id is
@@ -39,8 +41,6 @@ LEAST_REVISIT = 0
 #: An archive is closed after so many bytes.
 FILE_BYTES = 64 << 20
 CHUNK = 1 << 16
-#: A header longer than this is damage.
-MOST_HEADER = 1 << 16
 #: Date of all records, unless a caller gives another: reruns write equal archives.
 DATE = "2024-01-01T00:00:00Z"
 MEMBER, VERSION = b"\x1f\x8b\x08", b"WARC/1."
@@ -171,7 +171,7 @@ class Salvage:
     def split_header(data: bytes) -> tuple[dict[str, str], int]:
         if not data.startswith(VERSION):
             raise Damage("no version line")
-        end = data.find(b"\r\n\r\n", 0, MOST_HEADER)
+        end = data.find(b"\r\n\r\n")
         if end < 0:
             raise Damage("header does not end")
         try:
@@ -210,8 +210,20 @@ class Salvage:
         block = self.checked(headers, data[body:-4], data[-4:])
         return Found(at, fed - len(unpacker.unused_data), headers, block)
 
+    def header_at(self, at: int) -> bytes:
+        """A plain record's header up to its end, however long; only the bytes
+        searched last are held until the end is found."""
+        low = at
+        while low < self.size:
+            data = self.bytes_at(low, CHUNK + 3)
+            end = data.find(b"\r\n\r\n")
+            if end >= 0:
+                return self.bytes_at(at, low + end + 4 - at)
+            low += CHUNK
+        raise Damage("header does not end")
+
     def plain_at(self, at: int) -> Found:
-        headers, body = self.split_header(self.bytes_at(at, MOST_HEADER + 4))
+        headers, body = self.split_header(self.header_at(at))
         length = int(headers["content-length"])
         if at + body + length + 4 > self.size:
             raise Damage("record is cut off")

@@ -78,5 +78,21 @@ def test_awkward_pages(spark, tmp_path):
     assert W.read(W.write(pages.where("false"), str(tmp_path / "none")), str(tmp_path / "none")).count() == 0
 
 
+def test_long_urls(spark, tmp_path):
+    url = "data:text/html," + "a\n" * 50_000
+    for packed in (True, False):
+        parts = [W.record(i, url, "<p>page</p>", None if i % 2 else 1) for i in range(4)]
+        records, gaps = walk(b"".join(W.member(p) if packed else p for p in parts))
+        assert [r.headers["page-id"] for r in records] == ["0", "1", "2", "3"] and not gaps
+        assert all(r.headers["warc-target-uri"] == url.replace("\n", "%0A") for r in records)
+    parts[1] = bytearray(parts[1])
+    parts[1][90_000:90_004] = b"\xff\xff\xff\xff"
+    records, gaps = walk(b"".join(parts))
+    assert [r.headers["page-id"] for r in records] == ["0", "2", "3"] and len(gaps) == 1
+    pages = spark.createDataFrame([(1, url, "a"), (2, "u", "a")], "page_id long, url string, html string")
+    got = W.read(W.write(pages, str(tmp_path)), str(tmp_path)).where("kind = 'record'").collect()
+    assert {(r.headers["page-id"], r.headers.get("refers-to-page-id")) for r in got} == {("1", None), ("2", "1")}
+
+
 def test_oracle(spark, sf_dir):
     assert difference(spark, duck(sf_dir), QUERIES["op4_warc"], ORACLES["op4_warc"], sf_dir) is None
