@@ -190,8 +190,12 @@ def identify(docs: DataFrame, languages: list[str], vectors: np.ndarray, column:
 
 
 def known_language(docs: DataFrame, most: int = FIT_ROWS) -> DataFrame:
-    """The rows with a language, all columns as they were; ``und`` rows go."""
+    """The rows with a language, all columns as they were; ``und`` rows go. If
+    nothing was learned, only null texts and texts without a letter go."""
     languages, vectors = fit(docs, most)
+    if not languages:
+        # Any profile tells texts with letters from those without.
+        languages, vectors = ["any"], np.zeros((1, SIZE))
     named = identify(docs.withColumnRenamed("score", "_score").withColumnRenamed("lang_pred", "_lang_pred"), languages, vectors)
     named = named.where(F.col("lang_pred") != UNKNOWN).drop("lang_pred", "score")
     return named.withColumnRenamed("_score", "score").withColumnRenamed("_lang_pred", "lang_pred").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -98,3 +98,8 @@ def test_a_rare_term_of_toxic_texts_only_is_learned():
     model = toxicity.fit_rows(rows, y, np.ones(len(y)))
     low, high = model.score([np.array([1], dtype=np.int32), np.array([2], dtype=np.int32)])
     assert high > max(low, 0.5)
+
+
+def test_texts_stay_if_no_language_was_learned(spark, documents):
+    docs = documents([(1, "some words", None), (2, None, None), (3, "12 !", None), (4, "words", None)])
+    assert {r.doc_id for r in language.known_language(docs).collect()} == {1, 4}
