@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, jaccard, language, mixing, pieces, quality, token_frames, top_k, toxicity, warc
+from . import exact_dedup, fill_in_middle, jaccard, language, mixing, pieces, quality, token_frames, top_k, toxicity, warc
 
 QUERIES = {
     "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_mixing": mixing.op9_mixing,
     "op10_quality": quality.op10_quality,
+    "op13_fill_in_middle": fill_in_middle.op13_fill_in_middle,
 }
 ORACLES = {
     "op3_top_k": top_k.OP3_SQL,
     "op4_warc": warc.OP4_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op9_mixing": mixing.OP9_SQL,
+    "op13_fill_in_middle": fill_in_middle.OP13_SQL,
 }
