@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, fill_in_middle, jaccard, language, merkle, mixing, pieces, quality, token_frames, top_k, toxicity, warc
+from . import exact_dedup, fill_in_middle, jaccard, language, merkle, mixing, pieces, quality, suffix_tree, token_frames, top_k, toxicity, warc
 
 QUERIES = {
     "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_mixing": mixing.op9_mixing,
     "op10_quality": quality.op10_quality,
+    "op11_suffix_tree": suffix_tree.op11_suffix_tree,
     "op12_merkle": merkle.op12_merkle,
     "op13_fill_in_middle": fill_in_middle.op13_fill_in_middle,
 }
