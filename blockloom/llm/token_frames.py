@@ -19,7 +19,10 @@ text are not looked at.
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
+import string
 import struct
 import zlib
 from array import array
@@ -42,8 +45,10 @@ END_ID = 2
 LEVEL = 3
 #: Words whose ids a worker keeps at a time.
 REMEMBERED = 800_000
-#: Signs that begin a word of their own after a letter or digit.
-SIGNS = ".,;:!?"
+#: Signs that begin a word of their own after a letter or digit; an apostrophe may not, and ``<`` may begin a special token.
+SIGNS = "".join(c for c in string.punctuation if c not in "'<")
+#: Letters whose words the model is given directly: those of ASCII and Latin-1.
+LETTERS = "".join(chr(c) for c in (*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100)) if chr(c).isalpha())
 # Fixed values of the zstandard seekable format.
 SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 ENTRY, FOOTER = "<III", "<IBI"
@@ -60,7 +65,9 @@ class _Words(dict):
 
     This tokenizer parts words at white space and before a sign that follows
     a letter or digit, and reads capitals as small letters; a word that
-    differs from another in that alone is looked up by it.
+    differs from another in that alone is looked up by it. Of letters alone
+    it makes one word, which its model takes as it is, letters beyond ASCII
+    spelled the way the library spells them.
     """
 
     def __init__(self, path: str) -> None:
@@ -69,38 +76,34 @@ class _Words(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def parts(self, word: str) -> tuple[str, ...]:
-        if "<" in word:  # may hold a special token
-            return (word,)
-        if word.isascii():
-            word = word.lower()
-        base = word.rstrip(SIGNS)
-        if base != word and base and base[-1].lower().isalnum():
-            return base, word[len(base) :]
-        return (word,)
+        self.model = self.tokenizer.model
+        spell = lambda c: "".join(p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(c)))
+        self.spelled = {ord(c): spell(c) for c in LETTERS}
+        self.only_letters = re.compile(f"[{LETTERS}]+").fullmatch
 
     def __missing__(self, word: str) -> bytes:
-        parts = self.parts(word)
-        if parts == (word,):
-            self.learn([word])
-            return dict.__getitem__(self, word)
-        found = self[word] = b"".join([self[p] for p in parts])
+        if len(self) >= REMEMBERED:
+            # The half that was met first goes; frequent words come back at once.
+            for old in list(itertools.islice(self, REMEMBERED // 2)):
+                del self[old]
+        found = self[word] = self._found(word)
         return found
 
-    def learn(self, new: list[str]) -> None:
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[word] = array("I", found.ids).tobytes()
+    def _found(self, word: str) -> bytes:
+        if self.only_letters(word):
+            return array("I", [t.id for t in self.model.tokenize(word.translate(self.spelled))]).tobytes()
+        if "<" not in word:  # else it may hold a special token
+            base = word.rstrip(SIGNS)
+            if base != word and base and base[-1].lower().isalnum():
+                return self[base] + self[word[len(base) :]]
+            if word.isascii() and word != word.lower():
+                return self[word.lower()]
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """White space parts this tokenizer's words and leaves no id, so a
-        text's ids are those of what stands between blanks."""
-        if len(self) >= REMEMBERED:
-            self.clear()
-        split = [(t or "").split(" ") for t in texts]
-        unknown = {w for row in split for w in row if w not in self}
-        self.learn(list({p for w in unknown for p in self.parts(w) if p not in self}))
-        return [b"".join(map(self.__getitem__, row)) for row in split]
+        text's ids are those of what stands between blanks and line feeds."""
+        return [b"".join(map(self.__getitem__, (t or "").replace("\n", " ").split(" "))) for t in texts]
 
 
 def words(path: str) -> _Words:
