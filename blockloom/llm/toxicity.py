@@ -13,7 +13,9 @@ terms that say nothing do not drown the few that do.
 Terms are the lower-case words of a text and their beginnings, hashed into
 ``SPACE`` places; a term counts once in a text. The fit takes a bounded sample
 of labelled rows (``FIT_EACH``), as many of either label where there are
-enough, weighed back to their shares; only hashed terms reach the driver.
+enough, weighed back to their shares; only hashed terms reach the driver. The
+pairs of the sample's terms are counted by tasks, a block of terms against
+another in each.
 
 Nulls and ties: a null text counts as empty; a text without words gets the
 score of the bias alone. Labels without a document, null labels and labels of
@@ -26,7 +28,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,7 +45,9 @@ SPACE = 1 << 18
 FACTORS = 4
 #: Lengths of the beginnings of words.
 STARTS = (4, 5, 6, 7)
-EPOCHS, BATCH, RATE = 60, 256, 0.1
+BATCH, RATE = 256, 0.1
+#: Passes over the sample: as many as make so many steps, within limits.
+STEPS, EPOCHS = 400, (6, 60)
 #: Pulls weights and factors towards 0.
 SHRINK, SHRINK_FACTORS = 1e-4, 1e-3
 #: Terms in fewer texts of the sample have no weight.
@@ -114,7 +118,90 @@ class Machine:
         return np.round(1 / (1 + np.exp(-np.clip(out, -30, 30))), 9)
 
 
-def _pair_signal(rows: list[np.ndarray], y: np.ndarray, seen: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+@dataclass
+class Pairs:
+    """The terms whose pairs are looked at, by the texts that hold them, and
+    what is known of them alone."""
+
+    #: Texts in all, and those of label 1, which come first.
+    texts: int
+    ones: int
+    #: All terms' texts in a row, and where each term's begin and end.
+    row: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    odds: np.ndarray
+    #: What the best of so many pairs shows by chance.
+    chance: float
+
+    def blocks(self) -> list[tuple[int, int]]:
+        starts = range(0, len(self.low), PAIRS)
+        return [(i, j) for i in starts for j in starts if j >= i]
+
+    def _block(self, start: int) -> np.ndarray:
+        terms = range(start, min(start + PAIRS, len(self.low)))
+        found = np.zeros((self.texts, len(terms)), dtype=np.float32)
+        for k, term in enumerate(terms):
+            found[self.row[self.low[term] : self.high[term]], k] = 1
+        return found
+
+    def signal(self, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each term of two blocks, the standard deviations by which the pair
+        that says most differs from its two terms' shares added up."""
+        a = self._block(i)
+        b = a if j == i else self._block(j)
+        bad, good = a[: self.ones].T @ b[: self.ones], a[self.ones :].T @ b[self.ones :]
+        both = bad + good
+        q = 1 / (1 + np.exp(-np.clip(self.odds[i : i + PAIRS][:, None] + self.odds[j : j + PAIRS][None, :], -30, 30)))
+
+        def part(count: np.ndarray, expected: np.ndarray) -> np.ndarray:
+            return count * np.log(np.maximum(count, 1e-6) / np.maximum(expected, 1e-6))
+
+        told = 2 * (part(bad, both * q) + part(good, both * (1 - q))) - self.chance
+        told[both < LEAST_TEXTS] = 0
+        if j == i:
+            np.fill_diagonal(told, 0)
+        told = np.sqrt(np.maximum(told, 0))
+        return told.max(1), told.max(0)
+
+
+def _on_driver(pairs: Pairs) -> np.ndarray:
+    out = np.zeros(len(pairs.low))
+    for i, j in pairs.blocks():
+        mine, other = pairs.signal(i, j)
+        out[i : i + PAIRS] = np.maximum(out[i : i + PAIRS], mine)
+        out[j : j + PAIRS] = np.maximum(out[j : j + PAIRS], other)
+    return out
+
+
+def _on_executors(spark: SparkSession) -> Callable[[Pairs], np.ndarray]:
+    """Block pairs as tasks; each executor gets the sample's terms once."""
+
+    def run(pairs: Pairs) -> np.ndarray:
+        out, blocks = np.zeros(len(pairs.low)), pairs.blocks()
+        if not blocks:
+            return out
+        sent = spark.sparkContext.broadcast(pairs)
+
+        def signals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in batch.column(0).to_pylist():
+                    i, j = blocks[at]
+                    for start, found in zip((i, j), sent.value.signal(i, j)):
+                        some = np.flatnonzero(found)
+                        yield pa.RecordBatch.from_arrays([pa.array(some + start, pa.int64()), pa.array(found[some], pa.float64())], names=["term", "told"])
+
+        best = spark.range(len(blocks), numPartitions=min(len(blocks), 64)).mapInArrow(signals, "term long, told double")
+        # A row per term that any pair says something of, out of SPACE at most.
+        best = best.groupBy("term").agg(F.max("told").alias("told")).toArrow()
+        out[best["term"].to_numpy()] = best["told"].to_numpy()
+        sent.unpersist()
+        return out
+
+    return run
+
+
+def _pair_signal(rows: list[np.ndarray], y: np.ndarray, seen: np.ndarray, toxic: np.ndarray, looked: Callable[[Pairs], np.ndarray]) -> np.ndarray:
     """For each term, the standard deviations by which the pair that says most
     differs from its two terms' shares added up, less what the best of so many
     pairs shows by chance. Rows hold terms numbered from 0."""
@@ -134,40 +221,16 @@ def _pair_signal(rows: list[np.ndarray], y: np.ndarray, seen: np.ndarray, toxic:
     odds = (np.log(share / (1 - share)) - np.log(p / (1 - p)) / 2).astype(np.float32)
     order = np.argsort(-y, kind="stable")
     there = np.isin(np.arange(n), some)
-    ones, (at, row) = int(y.sum()), _flat([rows[i][there[rows[i]]] for i in order])
+    at, row = _flat([rows[i][there[rows[i]]] for i in order])
     turn = np.argsort(at, kind="stable")
     at, row = at[turn], row[turn]
-    del turn
-
-    def block(terms: np.ndarray) -> np.ndarray:
-        found = np.zeros((len(y), len(terms)), dtype=np.float32)
-        low, high = np.searchsorted(at, terms), np.searchsorted(at, terms, "right")
-        for k, (i, j) in enumerate(zip(low, high)):
-            found[row[i:j], k] = 1
-        return found
-
-    def part(count: np.ndarray, expected: np.ndarray) -> np.ndarray:
-        return count * np.log(np.maximum(count, 1e-6) / np.maximum(expected, 1e-6))
-
-    for i in range(0, len(some), PAIRS):
-        mine = some[i : i + PAIRS]
-        a = block(mine)
-        for j in range(i, len(some), PAIRS):
-            other = some[j : j + PAIRS]
-            b = a if j == i else block(other)
-            bad, good = a[:ones].T @ b[:ones], a[ones:].T @ b[ones:]
-            both = bad + good
-            q = 1 / (1 + np.exp(-np.clip(odds[mine][:, None] + odds[other][None, :], -30, 30)))
-            told = 2 * (part(bad, both * q) + part(good, both * (1 - q))) - chance
-            told[(both < LEAST_TEXTS) | (mine[:, None] == other[None, :])] = 0
-            told = np.sqrt(np.maximum(told, 0))
-            out[mine] = np.maximum(out[mine], told.max(1))
-            out[other] = np.maximum(out[other], told.max(0))
-    out[like] = out[some][same.ravel()]
+    low, high = np.searchsorted(at, some), np.searchsorted(at, some, "right")
+    found = looked(Pairs(len(y), int(y.sum()), row, low, high, odds[some], chance))
+    out[like] = found[same.ravel()]
     return out
 
 
-def fit_rows(rows: list[np.ndarray], y: np.ndarray, importance: np.ndarray, epochs: int = EPOCHS) -> Machine:
+def fit_rows(rows: list[np.ndarray], y: np.ndarray, importance: np.ndarray, looked: Callable[[Pairs], np.ndarray] = _on_driver) -> Machine:
     """The machine of term rows and labels by stochastic gradients with steps
     that shrink place by place; the same whatever the order of rows."""
     if not len(y):
@@ -188,7 +251,7 @@ def fit_rows(rows: list[np.ndarray], y: np.ndarray, importance: np.ndarray, epoc
     seen, toxic = seen[places], toxic[places]
     expected = seen * y.mean()
     told = np.abs(toxic - expected) / np.sqrt(np.maximum(expected * (1 - y.mean()), 1e-9))
-    told = np.maximum(told, _pair_signal(rows, y, seen, toxic))
+    told = np.maximum(told, _pair_signal(rows, y, seen, toxic, looked))
     much = np.clip((told / LEAST_SIGNAL) ** 2, DAMPED, 1).astype(np.float32)
     rng = np.random.default_rng(SEED)
     rate = float((importance * y).sum() / importance.sum())
@@ -212,7 +275,7 @@ def fit_rows(rows: list[np.ndarray], y: np.ndarray, importance: np.ndarray, epoc
             batches.append((mine, here, local, row[by_place].astype(np.int16), start.astype(np.int32), filled, first))
             for i in mine:
                 rows[i] = rows[i][:0]
-    for _ in range(epochs):
+    for _ in range(min(max(-(-STEPS // max(len(batches), 1)), EPOCHS[0]), EPOCHS[1])):
         for mine, here, local, row, start, filled, first in (batches[i] for i in rng.permutation(len(batches))):
             scale, old = much[here], model.take(here, axis=1)
             now = old * scale
@@ -236,7 +299,6 @@ def fit_rows(rows: list[np.ndarray], y: np.ndarray, importance: np.ndarray, epoc
 def fit(docs: DataFrame, labels: DataFrame, each: int = FIT_EACH) -> Machine:
     """Learns ``labels.toxic`` from the rows that are not held out."""
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("label")).where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
-    known = known.persist()
     share = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = [bounded_sample(known.where(F.col("label") == k), "doc_id", each) for k in (0, 1)]
     # At most about twice FIT_EACH ids and labels, whatever the size of the tables.
@@ -249,7 +311,6 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = FIT_EACH) -> Machine:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, type=pa.list_(pa.int32()))], names=["label", "terms"])
 
     found = rows.mapInArrow(run, "label int, terms array<int>").toArrow()
-    known.unpersist()
     y = found["label"].to_numpy().astype(float)
     # Copies, so that what Arrow holds can go before the fit.
     listed = [np.array(t.values, dtype=np.int32) for t in found["terms"]]
@@ -258,7 +319,7 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = FIT_EACH) -> Machine:
     there = [max((y == k).sum(), 1) for k in (0, 1)]
     total = sum(share.values()) or 1
     importance = np.where(y == 1, share.get(1, 0) / there[1], share.get(0, 0) / there[0]) * len(y) / total
-    return fit_rows(listed, y, np.sqrt(importance))
+    return fit_rows(listed, y, np.sqrt(importance), _on_executors(docs.sparkSession))
 
 
 def assess(docs: DataFrame, model: Machine, column: str = "text") -> DataFrame:
