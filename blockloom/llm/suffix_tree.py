@@ -1,12 +1,12 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
 A state of the tree is a context: the words before a place, up to ``depth`` of
-them, a document's start counting as one. A context seen ``LEAST`` times or
-more is tested against what the longest kept context inside it predicts: if
-the divergence of its own next-word distribution, times its occurrences,
-exceeds ``PRICE`` for each word it predicts, it is kept. So contexts have
-different lengths, and a place is scored by the longest kept one that ends
-there.
+them, a document's start counting as one. A context found at a share of
+``SHARE`` of all places, and ``LEAST`` times at least, is tested against what
+the longest kept context inside it predicts: if the divergence of its own
+next-word distribution, times its occurrences, exceeds ``PRICE`` for each word
+it predicts, it is kept. So contexts have different lengths, and a place is
+scored by the longest kept one that ends there.
 
 A kept context predicts each word that followed it ``REPEATED`` times or more
 by its count less ``DISCOUNT``, over its occurrences plus ``PRIOR``; the rest
@@ -37,6 +37,7 @@ table gives an empty result; other columns are not looked at.
 from __future__ import annotations
 
 import itertools
+import math
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
@@ -54,12 +55,12 @@ from ..session import fresh_path, stage, unstage
 from .common import table
 
 DEPTH = 3
-#: A context needs so many occurrences, a word after it so many repeats.
-LEAST, REPEATED = 64, 2
+#: A context needs such a share of all places and so many occurrences, a word after it so many repeats.
+SHARE, LEAST, REPEATED = 2e-6, 32, 2
 PRIOR, DISCOUNT, PRICE = 20.0, 0.5, 3.0
 ADDED = 0.1
 #: Tokens of a batch, a document more at most; hashes a bucket gets on average at most.
-BATCH, BUCKET = 2_000_000, 2_000_000
+BATCH, BUCKET = 1_000_000, 2_000_000
 
 # Hashes of the end and the start of a document: no word holds a line feed.
 END, START = xxhash.xxh64_intdigest(b"\n"), xxhash.xxh64_intdigest(b"\n\n")
@@ -174,25 +175,34 @@ def _merged(rules: Rules):
 
     def run(key: tuple, block: pa.Table) -> pa.Table:
         kind, length, bucket = (k.as_py() for k in key)
-        order = np.argsort(block["batch"].to_numpy(), kind="stable").tolist()
+        order = np.argsort(block["batch"].to_numpy(), kind="stable")
+        # The first one that has a hash owns it; each bucket begins with another batch.
+        order = np.roll(order, bucket).tolist()
         batches = block["batch"].to_numpy()[order]
         hashes = [np.cumsum(unpack(block["hashes"][i].as_py(), "u8"), dtype=np.uint64) for i in order]
         numbers = [unpack(block["numbers"][i].as_py(), "f8").reshape(-1, len(h)) for i, h in zip(order, hashes)]
         numbers = np.concatenate(numbers, axis=1)
-        places, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+        places, owner, inverse = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
         if kind == COUNTS:
             count = np.bincount(inverse, numbers[0], len(places)).astype(np.int64)
             known, total = int((count > 0).sum()), int(count.sum())
-            answer = (count if length == 0 else np.where(count >= REPEATED, count, 0)).astype(np.uint32 if count.max() < 1 << 32 else np.uint64)
+            answer = count[inverse]
+            if length:
+                # Twice the count, and one more for the owner.
+                answer = 2 * answer
+                answer[owner] += 1
+                answer[answer < 2 * REPEATED] = 0
+            answer = answer.astype(np.uint32 if count.max() < 1 << 31 else np.uint64)
         else:
-            told, kept, followers, before = (np.bincount(inverse, row, len(places)) for row in numbers[:4])
+            told, before, mass, followers = (np.bincount(inverse, row, len(places)) for row in numbers[:4])
             n = np.zeros(len(places))
-            n[inverse] = numbers[4]  # the same wherever the context is
-            left = np.maximum(1 - kept / (n + PRIOR), 1e-12)
+            np.maximum.at(n, inverse, numbers[4])
+            left = np.maximum(1 - (mass - DISCOUNT * followers) / (n + PRIOR), 1e-12)
             divergence = n * (told + left * np.log(left / np.maximum(1 - before, 1e-12)))
             # A kept context's answer is the mass that goes to the next shorter one.
-            answer = np.where((followers > 0.5) & (divergence > rules.price * (followers + 1)), left, -1.0)
+            answer = np.where((followers > 0) & (divergence > rules.price * (followers + 1)), left, -1.0)
             known, total = int((answer >= 0).sum()), len(places)
+            answer = answer[inverse]
         cuts = np.cumsum([0, *map(len, hashes)])
         first = np.arange(len(batches)) == 0
         return pa.table(
@@ -202,7 +212,7 @@ def _merged(rules: Rules):
                 "length": pa.array([length] * len(batches), pa.int32()),
                 "bucket": pa.array([bucket] * len(batches), pa.int32()),
                 "wide": pa.array([answer.dtype.itemsize] * len(batches), pa.int32()),
-                "answers": pa.array([pack(answer[inverse[a:b]]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                "answers": pa.array([pack(answer[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
                 "known": pa.array(np.where(first, known, 0), pa.int64()),
                 "total": pa.array(np.where(first, total, 0), pa.int64()),
             }
@@ -259,36 +269,42 @@ class _Places:
             # A word follows a context no more often than any shorter one.
             at = alive[follows[alive] >= REPEATED]
             grown = _grown(context[at], self.word[at])
-            hashes, inverse = np.unique(grown, return_inverse=True)
+            hashes, one, inverse = np.unique(grown, return_index=True, return_inverse=True)
             if length >= step:
                 asked.append(Sent(COUNTS, length, hashes, np.bincount(inverse, self.learned[at], len(hashes))[None]))
                 break
+            answer = answers.get((COUNTS, length), none).astype(np.int64)
             follows = np.zeros(len(self.ids), dtype=np.int64)
-            follows[at] = answers.get((COUNTS, length), none)[inverse]
-            contexts, place = np.unique(context[alive], return_inverse=True)
-            mine, n = follows[alive], seen[alive]
-            share = np.where(mine > 0, mine - DISCOUNT, 0) / (n + PRIOR)
+            follows[at] = answer[inverse] >> 1
             if length >= step - 1:
-                asked.append(self._sums(length, contexts, place, alive, mine, n, share, chance[alive]))
+                asked.append(self._sums(length, context, seen, follows, chance, alive, at[one[answer % 2 == 1]]))
                 chance = None
             else:
+                _, place = np.unique(context[alive], return_inverse=True)
                 left = answers.get((SUMS, length), none)[place]
-                kept = left >= 0
-                chance[alive[kept]] = share[kept] + left[kept] * chance[alive[kept]]
+                at, left = alive[left >= 0], left[left >= 0]
+                chance[at] = self._share(follows[at], seen[at]) + left * chance[at]
             longer = np.zeros(len(self.ids), dtype=np.uint64)
-            longer[at] = grown
+            rows = np.flatnonzero(follows)
+            longer[rows] = _grown(context[rows], self.word[rows])
             context, seen = _shifted(longer, self.first, np.uint64(0)), _shifted(follows, self.first, 0)
         return asked, count, chance
 
-    def _sums(self, length, contexts, place, alive, mine, n, share, chance) -> Sent:
-        """Sums over the words that follow each context. A word's term is spread
-        over its occurrences, so that all batches together count it once."""
-        sure = np.flatnonzero((mine > 0) & self.learned[alive])
-        each, share, before, at = 1 / mine[sure], share[sure], chance[sure], place[sure]
-        sums = [each * share * np.log(share / before), each * (mine[sure] - DISCOUNT), each, each * before]
-        occurrences = np.zeros(len(contexts))
-        occurrences[place] = n
-        return Sent(SUMS, length, contexts, np.stack([*(np.bincount(at, s, len(contexts)) for s in sums), occurrences]))
+    @staticmethod
+    def _share(follows: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        """What a context itself gives the word that follows it."""
+        return np.where(follows > 0, follows - DISCOUNT, 0) / (seen + PRIOR)
+
+    def _sums(self, length, context, seen, follows, chance, alive, owned) -> Sent:
+        """Sums over the words that follow each context, each word in the batch
+        that owns it; the other batches only ask."""
+        contexts = np.unique(context[alive])
+        place = np.searchsorted(contexts, context[owned])
+        share, before = self._share(follows[owned], seen[owned]), chance[owned]
+        sums = [share * np.log(share / before), before, follows[owned], np.ones(len(owned))]
+        n = np.zeros(len(contexts))
+        n[place] = seen[owned]
+        return Sent(SUMS, length, contexts, np.stack([*(np.bincount(place, s, len(contexts)) for s in sums), n]))
 
     def scores(self, count: np.ndarray, chance: np.ndarray) -> dict:
         base = (count + ADDED) / (self.rules.total + ADDED * (self.rules.known + 1))
@@ -332,7 +348,7 @@ def _bucketed(batches: DataFrame) -> tuple[DataFrame, str]:
     return spark.table(name), name
 
 
-def scored(docs: DataFrame, learn: Column, depth: int = DEPTH, least: int = LEAST, price: float = PRICE) -> DataFrame:
+def scored(docs: DataFrame, learn: Column, depth: int = DEPTH, least: int = LEAST, price: float = PRICE, share: float = SHARE) -> DataFrame:
     """(doc_id, learned, n_tokens, n_known, train_tokens, base_score, score) of
     all ``docs`` (doc_id, text), learned from those that ``learn`` is true for."""
     spark = docs.sparkSession
@@ -354,7 +370,8 @@ def scored(docs: DataFrame, learn: Column, depth: int = DEPTH, least: int = LEAS
         answers.append(stage(sent.groupBy("kind", "length", "bucket").applyInArrow(_merged(rules), ANSWERED), "answers"))
         if step == 0:
             found = answers[-1].agg(F.sum("known").alias("known"), F.sum("total").alias("total")).first()
-            rules = replace(rules, known=found["known"] or 0, total=found["total"] or 0)
+            known, total = found["known"] or 0, found["total"] or 0
+            rules = replace(rules, known=known, total=total, least=max(least, math.ceil(share * total)))
     out = "doc_id long, learned boolean, n_tokens long, n_known long, base_score double, score double"
     result = stage(met(_scored(rules), out), "scores")
     for part in [batches, *answers[1:]]:
