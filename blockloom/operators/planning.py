@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import CHUNK_BLOCKS, RETRY_DIVISOR, RETRY_MIN_BLOCKS
+from .ranges import uncovered
 
 
 def resume_blocks(table: DataFrame, address_column: str = "address") -> DataFrame:
@@ -51,24 +52,56 @@ def fetch_plan(
     the stored maximum itself (its block may be incomplete; dedup removes
     the overlap), else the given bound, else creation, else 0.
     """
+    known = _asked(contracts, creations, kinds).join(stored, ["chainid", "address", "kind"], "left")
+    start = F.coalesce("max_block", "from_block", "creation_block", F.lit(0).cast("bigint"))
+    return split_ranges(_bounded(known, start, latest), chunk_blocks)
+
+
+def missing_plan(
+    contracts: DataFrame,
+    covered: DataFrame,
+    latest: DataFrame,
+    creations: DataFrame | None = None,
+    kinds: tuple[str, ...] = ("logs", "transactions"),
+    chunk_blocks: int = CHUNK_BLOCKS,
+) -> DataFrame:
+    """Block windows that no whole fetch covers, per contract and kind.
+
+    Where :func:`fetch_plan` goes on at the highest stored block, this one
+    finds the holes below it too. ``covered``: chainid, address, kind,
+    from_block, to_block of ranges that are all there, as from the ledger's
+    :func:`~blockloom.operators.writing.whole_ranges`. Wanted is all from the
+    given bound, else creation, else 0, to the given bound, else the latest
+    block.
+    """
+    keys = ["chainid", "address", "kind"]
+    start = F.coalesce("from_block", "creation_block", F.lit(0).cast("bigint"))
+    wanted = _bounded(_asked(contracts, creations, kinds), start, latest)
+    have = covered.withColumn("address", F.lower("address"))
+    # Of contracts nobody asks for nothing is sorted.
+    have = have.join(wanted.select(*keys).distinct(), keys, "left_semi")
+    return split_ranges(uncovered(wanted, have, keys), chunk_blocks)
+
+
+def _asked(contracts: DataFrame, creations: DataFrame | None, kinds: tuple[str, ...]) -> DataFrame:
+    """Contracts per kind of data, with their creation block."""
     asked = contracts.withColumn("address", F.lower("address"))
     if creations is not None:
         first = creations.groupBy("chainid", "address").agg(F.min("creation_block").alias("creation_block"))
         asked = asked.join(first, ["chainid", "address"], "left")
     else:
         asked = asked.withColumn("creation_block", F.lit(None).cast("bigint"))
-    per_kind = asked.withColumn("kind", F.explode(F.array(*[F.lit(k) for k in kinds])))
-    known = per_kind.join(stored, ["chainid", "address", "kind"], "left")
-    bounded = known.join(latest, "chainid", "left")
-    start = F.coalesce("max_block", "from_block", "creation_block", F.lit(0).cast("bigint"))
-    ranges = bounded.select(
+    return asked.withColumn("kind", F.explode(F.array(*[F.lit(k) for k in kinds])))
+
+
+def _bounded(asked: DataFrame, start: Column, latest: DataFrame) -> DataFrame:
+    return asked.join(latest, "chainid", "left").select(
         "chainid",
         "address",
         "kind",
         start.alias("from_block"),
         F.coalesce("to_block", "latest_block").alias("to_block"),
     )
-    return split_ranges(ranges, chunk_blocks)
 
 
 def retry_plan(failures: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ _UNKNOWN = "?"
 def _type_text(part: Column, fields: T.DataType) -> Column:
     """Canonical type: a tuple becomes its member types, array suffix kept.
 
-    Members nested deeper than the schema read as ``?``.
+    A missing type and a tuple without members read as ``?``.
     """
     kind = F.coalesce(part["type"], F.lit(_UNKNOWN))
     members = fields["components"].dataType
@@ -68,7 +68,7 @@ def event_catalog(entries: DataFrame) -> DataFrame:
     """address, event_name, topic0, event_signature, anonymous, params.
 
     Row-local: an Arrow batch hashes each of its distinct signatures once.
-    Entries nested deeper than the schema have a NULL signature.
+    Entries with a parameter of unknown type have a NULL signature.
     """
     inputs = entries.schema["entry"].dataType["inputs"].dataType.elementType
     events = entries.where("entry.type = 'event' and entry.name is not null").select(

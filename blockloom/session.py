@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Keys of streams live on the executors' disks instead of their heaps.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Larger generated methods are not compiled by HotSpot and run two times
     # slower than the plain operators this makes Spark use instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -75,8 +77,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 def unstage(df: DataFrame) -> None:
     """Delete what :func:`stage` wrote for ``df``, once nothing reads it any more."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
     for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        delete_path(df.sparkSession, folder)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

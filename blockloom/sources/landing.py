@@ -24,9 +24,11 @@ from ..schemas import (
 )
 
 WIDE_FIELDS = ("value", "gas")
+#: What a page answers: the range that was asked for.
+RANGE = ("address", "chain", "from_block", "to_block")
 
 
-def read_pages(spark: SparkSession, path: str, schema: T.StructType = ENVELOPE) -> DataFrame:
+def read_pages(spark: SparkSession, path: str | list[str], schema: T.StructType = ENVELOPE) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
@@ -225,18 +227,28 @@ def incomplete_ranges(pages: DataFrame, page_rows: int = PAGE_ROWS, element: T.S
     return found.select("address", "chain", "from_block", "to_block")
 
 
-def _by_range(pages: DataFrame, page_rows: int, element: T.StructType | None) -> DataFrame:
-    asked = ["address", "chain", "from_block", "to_block"]
+def page_state(pages: DataFrame, element: T.StructType | None = None) -> DataFrame:
+    """One row per requested range and page: ``n`` rows if any fetch of it is
+    good, else NULL. States of other files merge into it by the greater ``n``.
+    """
     good = _error_kind(pages).isNull()
     if element is not None:
         rows = F.transform(_element_texts(), lambda text: _parsed(text, element))
         good = good & ~F.coalesce(F.exists(rows, _is_broken), F.lit(False))
     rows = F.coalesce(F.json_array_length("result"), F.lit(0)).cast("bigint")
-    state = pages.select(*asked, "page", F.when(good, rows).alias("n"))
-    # A page fetched twice counts once.
-    each = state.groupBy(*asked, "page").agg(F.max("n").alias("n"))
+    return merged_state(pages.select(*RANGE, "page", F.when(good, rows).alias("n")))
+
+
+def merged_state(state: DataFrame) -> DataFrame:
+    """A page fetched twice counts once, and is good if one fetch of it is."""
+    return state.groupBy(*RANGE, "page").agg(F.max("n").alias("n"))
+
+
+def range_state(state: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """Per requested range what its pages' states say: last_page, pages,
+    row_count, last_page_rows, complete."""
     is_good = F.col("n").isNotNull()
-    grouped = each.groupBy(*asked).agg(
+    grouped = state.groupBy(*RANGE).agg(
         F.max(F.when(is_good, F.col("page"))).alias("last_page"),
         F.count(F.when(is_good, F.col("page"))).alias("pages"),
         F.sum("n").alias("row_count"),
@@ -245,3 +257,7 @@ def _by_range(pages: DataFrame, page_rows: int, element: T.StructType | None) ->
     )
     complete = (F.col("last_page_rows") < page_rows) & (F.col("pages") == F.col("last_page")) & (F.col("_refused") == 0)
     return grouped.withColumn("complete", complete).drop("_refused")
+
+
+def _by_range(pages: DataFrame, page_rows: int, element: T.StructType | None) -> DataFrame:
+    return range_state(page_state(pages, element), page_rows)

@@ -1,8 +1,11 @@
 """Landing files to a deduplicated table as a stream.
 
-Each micro-batch goes through the same append as a batch load: it is compared
-with the partitions of the table it touches. No state is kept and no row is
-too late, in whatever order blocks land; a batch that runs again after a
+A micro-batch meets two filters. Rows that came within the last ``remember``
+are known to the stream's keyed state, so pages fetched twice in a short time
+go no further. What is left goes through the same append as a batch load: rows
+beyond what their contract has stored are new without a look at the table,
+older ones are compared with the partitions they belong to. No row is too
+late, in whatever order blocks land, and a batch that runs again after a
 failure adds nothing twice.
 """
 
@@ -11,9 +14,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.writing import append_new
+from ..constants import PAGE_ROWS
+from ..operators.writing import append_new, stored_table
+from ..plans.backfill import Load, load_pages
+
+REMEMBER = "1 day"
+BATCHES = "checkpoint string, batch long"
+
+
+def unseen(rows: DataFrame, remember: str = REMEMBER) -> DataFrame:
+    """Rows of a stream that have not come within the last ``remember``.
+
+    The state's clock is the time of arrival, not of the block, so that no row
+    is ever behind the watermark; state goes after ``remember``, and what comes
+    again later is left to the append. A row's key is the hash of all its
+    columns beside those that name it.
+    """
+    named = [c for c in ("chainid", "transaction_hash", "hash", "log_index") if c in rows.columns]
+    keyed = rows.withColumns({"_row": F.xxhash64(*rows.columns), "_arrived": F.current_timestamp()})
+    keyed = keyed.withWatermark("_arrived", remember).dropDuplicatesWithinWatermark(["_row", *named])
+    return keyed.drop("_row", "_arrived")
 
 
 def append_available(
@@ -24,17 +47,54 @@ def append_available(
     bloom: tuple[str, ...] = (),
     identity: tuple[list[str], list[str]] | None = None,
     each: Callable[[DataFrame], DataFrame] | None = None,
+    remember: str | None = REMEMBER,
 ) -> StreamingQuery:
     """Process everything that has landed, append what is new, stop.
 
     ``rows`` need chainid and block_number. ``each`` is applied to a
     micro-batch before the append. ``checkpoint`` is the resume point: a rerun
-    with it takes only new files.
+    with it takes only new files. Without ``remember`` no state is kept.
     """
 
     def append(batch: DataFrame, _: int) -> None:
         append_new(each(batch) if each else batch, table, sort, bloom, identity)
 
-    query = rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return _run(unseen(rows, remember) if remember else rows, append, checkpoint)
+
+
+def load_available(
+    pages: DataFrame,
+    table: str,
+    ledger: str,
+    checkpoint: str,
+    kind: str = "logs",
+    page_rows: int = PAGE_ROWS,
+    done: Callable[[Load], None] | None = None,
+) -> StreamingQuery:
+    """Take in all pages that have landed as :func:`backfill.load_pages` does
+    with a folder: rows to the table, failures to the ledger.
+
+    A micro-batch has both outputs. Its number is kept beside the ledger when
+    both are written; one that runs again after that is passed over, one that
+    was lost half-way is done over, which changes neither. ``done`` is told
+    what each micro-batch came to.
+    """
+
+    def load(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        this = spark.createDataFrame([(checkpoint, number)], BATCHES)
+        before = stored_table(spark, f"{ledger}_batches", this.schema)
+        if before is not None and not before.join(this, ["checkpoint", "batch"], "left_semi").isEmpty():
+            return
+        found = load_pages(batch, table, ledger, kind, page_rows)
+        this.coalesce(1).write.mode("append").parquet(f"{ledger}_batches")
+        if done:
+            done(found)
+
+    return _run(pages, load, checkpoint)
+
+
+def _run(rows: DataFrame, function: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    query = rows.writeStream.foreachBatch(function).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query

@@ -115,15 +115,23 @@ def test_event_catalog_from_files(spark, tmp_path):
     assert got == sorted([("0xaa", *filled), ("0xaa", *empty), ("0xbb", *empty), ("0xbb", *filled), ("0xbb", *empty)])
 
 
-def test_too_deep_tuples_have_no_signature(spark):
+def test_tuples_of_any_depth_have_a_signature(spark):
     deep = {"name": "x", "type": "uint8"}
     for _ in range(3):
         deep = {"name": "t", "type": "tuple", "components": [deep]}
-    text = json.dumps([{"type": "event", "name": "Deep", "inputs": [deep]}])
+    events = [{"type": "event", "name": "Deep", "inputs": [deep]}]
+    text = json.dumps(events)
     df = spark.createDataFrame([("0xa", text)], "address string, value string")
-    assert catalog.event_catalog(reference_data.abi_entries(df, 2)).first().event_signature is None
-    whole = catalog.event_catalog(reference_data.abi_entries(df, 4)).first()
-    assert whole.event_signature == "Deep((((uint8))))"
+    assert catalog.event_catalog(reference_data.abi_entries(df)).first().event_signature == "Deep((((uint8))))"
+
+
+def test_parameters_without_type_or_members_have_no_signature(spark):
+    parts = [{"name": "t", "type": "tuple"}, {"name": "u"}, {"name": "v", "type": "tuple", "components": [{"name": "w", "type": "tuple[]"}]}]
+    for part in parts:
+        text = json.dumps([{"type": "event", "name": "Odd", "inputs": [part]}])
+        df = spark.createDataFrame([("0xa", text)], "address string, value string")
+        found = catalog.event_catalog(reference_data.abi_entries(df)).first()
+        assert (found.event_name, found.event_signature, found.topic0) == ("Odd", None, None)
 
 
 def word(number):

@@ -223,13 +223,8 @@ def _asked() -> dict:
     }
 
 
-def log_pages(spark: SparkSession, sf_dir: str, rejects: bool = True) -> DataFrame:
-    """Landed log pages of 1,000 events: hex numbers, camelCase, some rejected.
-
-    Every tenth page from the fourth reports an API error, every tenth from
-    the eighth a rate limit.
-    """
-    logs = fixture(spark, sf_dir, "logs")
+def log_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs as the API spells them, with the number of their event and block."""
     hexed = {
         "blockNumber": "block_number",
         "timeStamp": "time_stamp",
@@ -247,10 +242,20 @@ def log_pages(spark: SparkSession, sf_dir: str, rejects: bool = True) -> DataFra
         *[F.concat(F.lit("0x"), F.lower(F.hex(old))).alias(new) for new, old in hexed.items()],
     )
     event = (F.col("block_number") - 18_000_000) * 4 + F.col("log_index")
+    return fixture(spark, sf_dir, "logs").select(element.alias("element"), event.alias("_event"), F.col("block_number").alias("_block"))
+
+
+def log_pages(spark: SparkSession, sf_dir: str, rejects: bool = True) -> DataFrame:
+    """Landed log pages of 1,000 events: hex numbers, camelCase, some rejected.
+
+    Every tenth page from the fourth reports an API error, every tenth from
+    the eighth a rate limit.
+    """
     pages = (
-        logs.withColumn("page", F.floor(event / 1000).cast("bigint") + 1)
+        log_elements(spark, sf_dir)
+        .withColumn("page", F.floor(F.col("_event") / 1000).cast("bigint") + 1)
         .groupBy("page")
-        .agg(F.to_json(F.collect_list(element)).alias("result"))
+        .agg(F.to_json(F.collect_list("element")).alias("result"))
     )
     digit = F.pmod(F.col("page") - 1, F.lit(10)) if rejects else F.lit(-1)
     return pages.withColumns(
@@ -284,6 +289,36 @@ def odd_log_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def window_pages(spark: SparkSession, sf_dir: str, windows: DataFrame) -> DataFrame:
+    """Pages of 1,000 events of each (chunk_start, chunk_end), all good, up to
+    the one that is not full."""
+    logs = log_elements(spark, sf_dir)
+    event = F.col("_event") - (F.col("chunk_start") - 18_000_000) * 4
+    inside = (F.col("_block") >= F.col("chunk_start")) & (F.col("_block") <= F.col("chunk_end"))
+    pages = logs.join(F.broadcast(windows), inside).withColumn("page", F.floor(event / 1000).cast("bigint") + 1)
+    pages = pages.groupBy("chunk_start", "chunk_end", "page").agg(F.to_json(F.collect_list("element")).alias("result"), F.count(F.lit(1)).alias("n"))
+    last = pages.groupBy("chunk_start").agg(F.max("page").alias("page"), F.max_by("n", "page").alias("n"))
+    ends = windows.join(last, "chunk_start", "left").where("n is null or n = 1000").select(
+        "chunk_start", "chunk_end", (F.coalesce("page", F.lit(0)) + 1).cast("bigint").alias("page"), F.lit("[]").alias("result")
+    )
+    return pages.drop("n").unionByName(ends).select(
+        F.when(F.col("result") == "[]", "0").otherwise("1").alias("status"),
+        F.when(F.col("result") == "[]", "No records found").otherwise("OK").alias("message"),
+        "result",
+        _asked()["address"].alias("address"),
+        _asked()["chain"].alias("chain"),
+        F.col("chunk_start").alias("from_block"),
+        F.col("chunk_end").alias("to_block"),
+        "page",
+        _asked()["page_rows"].alias("page_rows"),
+    )
+
+
+def broken_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page after the last one that the API refused."""
+    return empty_page(spark, sf_dir).withColumns({"message": F.lit("NOTOK"), "result": F.lit("Error!")})
+
+
 def empty_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page after the last one, as the API reports the end."""
     pages = log_pages(spark, sf_dir, rejects=False)

@@ -1001,9 +1001,60 @@ def ledger_settles(spark, sf_dir):
     )
 
 
-@query("select 1::bigint as chainid, hash, value, 5::bigint as confirmations from transactions", "transactions")
+@query(
+    """select count(*) as row_count, 1::bigint as open_before, 0::bigint as open_after, 18000000::bigint as whole_from,
+  19000000::bigint as whole_to, 501::bigint as windows from logs""",
+    "logs",
+)
+def retry_settles(spark, sf_dir):
+    """A failed range is fetched again in windows; together they settle it, and nothing is planned any more."""
+    folder, out, ledger = (fresh_path(spark, n) for n in ("landing", "table", "ledger"))
+    fixtures.log_pages(spark, sf_dir).unionByName(fixtures.broken_page(spark, sf_dir)).write.json(folder)
+    backfill.load_landing(spark, folder, out, ledger)
+    failed = writing.open_failures(spark.read.parquet(ledger))
+    windows = stage(planning.retry_plan(failed).select("chunk_start", "chunk_end"), "windows")
+    before, planned = failed.count(), windows.count()
+    fixtures.window_pages(spark, sf_dir, windows).write.mode("append").json(folder)
+    backfill.load_landing(spark, folder, out, ledger)
+    entries = spark.read.parquet(ledger)
+    counts = spark.read.parquet(out).agg(F.count("*").alias("row_count"))
+    still = planning.retry_plan(writing.open_failures(entries)).agg(F.count("*").alias("open_after"))
+    whole = writing.whole_ranges(entries).select(F.col("from_block").alias("whole_from"), F.col("to_block").alias("whole_to"))
+    return counts.crossJoin(still).crossJoin(whole).withColumns(
+        {"open_before": F.lit(before).cast("bigint"), "windows": F.lit(planned).cast("bigint")}
+    )
+
+
+_FIRST_BLOCK = "coalesce(from_block, ('0x' || substr(address, 27))::bigint + 17900000)"
+
+
+@query(
+    f""", b as (select chainid, address, {_FIRST_BLOCK} as b0, (select max(block_number) from block_times) as latest from contracts),
+holes as (select chainid, address, 'logs' as kind, b0 + x as a, least(b0 + y, latest) as z
+    from b cross join (values (20000, 29999), (45000, 99999999)) as v(x, y)
+  union all select chainid, address, 'transactions', b0, latest from b)
+select chainid, address, kind, a as from_block, z as to_block, s as chunk_start, least(s + 19999, z) as chunk_end
+from holes, unnest(generate_series(a, z, 20000)) as g(s) where a <= z""",
+    "contracts",
+    "block_times",
+)
+def plan_holes(spark, sf_dir):
+    """Ranges that overlap, touch, or end before a hole: only the hole and what follows the last one is planned."""
+    contracts = fixture(spark, sf_dir, "contracts").withColumn("to_block", F.lit(None).cast("bigint"))
+    creations = landing.creations_from_pages(fixtures.creation_pages(spark, sf_dir))
+    latest = fixture(spark, sf_dir, "block_times").groupBy("chainid").agg(F.max("block_number").alias("latest_block"))
+    first = lookups.with_creation_block(contracts, creations)
+    pieces = F.array(*[
+        F.struct((F.col("from_block") + a).alias("a"), (F.col("from_block") + z).alias("z"))
+        for a, z in ((30_000, 39_999), (0, 9_999), (40_000, 44_999), (5_000, 19_999), (5_000, 6_000))
+    ])
+    have = first.select("chainid", "address", F.lit("logs").alias("kind"), F.inline(pieces)).withColumnsRenamed({"a": "from_block", "z": "to_block"})
+    return planning.missing_plan(contracts, have, latest, creations)
+
+
+@query("select 1::bigint as chainid, hash, value, 9::bigint as confirmations from transactions", "transactions")
 def load_transactions_twice(spark, sf_dir):
-    """The same transactions, later with more confirmations and upper-case addresses, stay one row each."""
+    """The same transactions, later with more confirmations and upper-case addresses: the newest state of each stays."""
     folder, out, ledger = (fresh_path(spark, n) for n in ("landing", "table", "ledger"))
     pages = fixtures.transaction_pages(spark, sf_dir)
     confirmed = lambda n: pages.withColumn("result", F.replace("result", F.lit('"confirmations":""'), F.lit(f'"confirmations":"{n}"')))
@@ -1072,6 +1123,36 @@ def not_null_gaps(spark, sf_dir):
     return quality.not_null(gaps, "gaps", ("chainid", "address", "block_number"))
 
 
+# Packing and newest rows.
+
+@query("select chainid, transaction_hash, log_index, address, data, true as packed from logs", "logs")
+def compacted_table(spark, sf_dir):
+    """Fifty small files a partition become two at most, with the same rows."""
+    path = fresh_path(spark, "many-files")
+    logs = fixture(spark, sf_dir, "logs").withColumn("block_bucket", tables.block_bucket(F.col("block_number")))
+    logs.repartition(50).write.partitionBy("chainid", "block_bucket").parquet(path)
+    writing.compact(spark, path, ["address", "block_number", "log_index"], ("transaction_hash",))
+    most = writing.partition_files(spark, path).agg(F.max("files").alias("most"))
+    rows = spark.read.parquet(path).select("chainid", "transaction_hash", "log_index", "address", "data")
+    return rows.crossJoin(F.broadcast(most)).withColumn("packed", F.col("most") <= 2).drop("most")
+
+
+@query(
+    """select chainid, hash, value, case when block_number % 3 = 0 then 9 when block_number % 3 = 1 then 5 else 7 end::bigint as confirmations
+from transactions""",
+    "transactions",
+)
+def upsert_newest(spark, sf_dir):
+    """Of three fetches of a third each the newest confirmations stay, whatever the order of fetches."""
+    path = fresh_path(spark, "newest")
+    tx = fixture(spark, sf_dir, "transactions").drop("value_text")
+    identity, third = (["chainid", "hash"], ["confirmations"]), F.col("block_number") % 3
+    for confirmations, some in ((5, third >= 0), (9, third == 0), (7, third != 1), (3, third == 1)):
+        fetch = tx.where(some).withColumn("confirmations", F.lit(confirmations).cast("bigint"))
+        writing.upsert(fetch, path, ["block_number"], identity, ("hash",))
+    return spark.read.parquet(path).select("chainid", "hash", "value", "confirmations")
+
+
 # Catalog tables.
 
 @query("select true as exists_after, false as exists_before, count(*) as row_count, 0::bigint as rows_before from logs", "logs")
@@ -1107,6 +1188,16 @@ def stream_dedup_logs(spark, sf_dir):
     return spark.read.parquet(out).select("chainid", "transaction_hash", "log_index", "address")
 
 
+@query(_odd_failures("(2, 3, 5)"))
+def stream_rejects(spark, sf_dir):
+    """Streamed pages that are refused, broken or of unknown chains are ledgered as a batch load's are."""
+    folder, out, ledger, checkpoint = (fresh_path(spark, n) for n in ("landing", "table", "ledger", "checkpoint"))
+    fixtures.odd_log_pages(spark, sf_dir).repartition(4).write.json(folder)
+    pages = landing.stream_pages(spark, folder, files_per_trigger=2)
+    ingest.load_available(pages, out, ledger, checkpoint, page_rows=1001)
+    return writing.open_failures(spark.read.parquet(ledger))
+
+
 @query(
     f"""select 1::bigint as chainid, address, topic0, data, datetime, transaction_hash, log_index
 from ({_DECODED.replace("from logs where", "from logs where " + _GOOD_PAGE + " and")})""",
