@@ -1,42 +1,45 @@
 """Exact top-k search as a Voronoi kNN join.
 
-A sample of vectors, the pivots, divides the space into cells: a vector
-belongs to the pivot nearest to it. Queries are grouped by cell. Summaries of
-the cells (the k members nearest to each pivot, the largest query norm, the
-largest query score against each pivot, the farthest query) give each query a
-score that its k-th answer reaches for certain, and each cell of queries a
-limit on what a data vector can score there. A data vector is sent to those
-cells only whose limit it can reach, the cells are solved on their own in
-bounded parts, and each query's partial answers are merged.
-
-The score of q and v is their inner product, at most
-min(max q.p + |q| |v - p|, pivot.v + max|q - pivot| |v|) over a cell.
+Some of the queries, the pivots, divide the space into cells: a vector, query
+or not, belongs to the pivot nearest to it. Up to ``PIVOTS`` queries have a
+cell each; more share cells. Summaries say what can matter where: the k + 1
+members nearest to each pivot give every query a score that its k-th answer
+reaches for certain, and the mean and radius of a cell's queries limit what a
+data vector can score there, mean.v + radius |v|. A vector is sent to those
+cells only whose least certain score that limit reaches, none at all mostly.
+Cells are solved on their own in bounded parts, and each query's partial
+answers are merged.
+
+How many vectors are sent depends on the data: with a cell for each query, or
+queries that lie in clusters, little more than the answers; queries that share
+cells without being alike make wide cells, in which the limit excludes little.
 
 Nulls and ties: vectors that are null or hold null, NaN or infinite
 components, and rows without an id, take no part. Equal scores go to the
-smaller id. Shorter vectors count as filled up with zeros. Of rows that
-repeat an id, the least vector by components counts. With fewer candidates
-than k all are returned; an empty table gives an empty result.
+smaller id. Shorter vectors count as filled up with zeros. Rows that repeat an
+id are candidates each; they are no answer to each other, and queries of one
+id share one list of answers. With fewer candidates than k all are returned;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import stage, unstage
 from .common import table
 
 K = 5
-#: Cells; the summaries have a row for each two of them.
-PIVOTS = 16
-#: Queries and data vectors that are solved together.
-QUERIES, VECTORS = 512, 8192
+#: Cells at most; the summaries have a vector for each.
+PIVOTS = 2048
+#: Queries of a part of a cell, parts and data vectors that are solved together.
+QUERIES, PARTS, VECTORS = 512, 64, 8192
 
 
 def whole_numbers(vectors: DataFrame, scale: int = 256) -> DataFrame:
@@ -44,15 +47,18 @@ def whole_numbers(vectors: DataFrame, scale: int = 256) -> DataFrame:
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(fine, F.lit(False)))
     v = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    return rows.select("vec_id", v.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.select("vec_id", v.alias("v"))
 
 
-def _matrix(column: pa.Array | pd.Series, width: int) -> np.ndarray:
+def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     """Vectors as rows of a matrix, filled up with zeros."""
-    lists = column.to_pylist() if isinstance(column, pa.Array) else list(column)
-    out = np.zeros((len(lists), width), dtype=np.int64)
-    for i, x in enumerate(lists):
-        out[i, : len(x)] = x
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    out, sizes = np.zeros((len(column), width), dtype=np.int64), column.value_lengths().to_numpy()
+    values = column.flatten().to_numpy()
+    if (sizes == width).all():
+        return values.reshape(-1, width) if width else out
+    out[np.arange(width) < sizes[:, None]] = values
     return out
 
 
@@ -71,104 +77,147 @@ def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.array([np.lexsort((ids, -row))[:k] for row in score]).reshape(len(score), -1)
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIVOTS, part_queries: int = QUERIES, part_vectors: int = VECTORS) -> DataFrame:
-    """(query_id, rank, vec_id, score); both sides are (vec_id, v)."""
-    data = stage(vectors, "vectors")
+@dataclass(frozen=True)
+class Dealt:
+    """Queries (vec_id, v, cell), the vectors sent to cells (the same columns),
+    and how many queries each cell has."""
+
+    asked: DataFrame
+    sent: DataFrame
+    count: np.ndarray
+    width: int
+    exact_float: bool
+
+
+def dealt(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIVOTS) -> Dealt | None:
+    """Groups both sides by pivots and sends each vector where it can matter."""
+    data = stage(vectors.select("vec_id", "v"), "vectors")
     asked = data.join(queries.select("vec_id").distinct(), "vec_id", "left_semi")
-    shape = data.agg(F.count(F.lit(1)), F.max(F.size("v")), F.max(F.array_max(F.transform("v", lambda x: F.abs(x))))).first()
-    n, width, most = shape[0], shape[1] or 0, shape[2] or 0
+    shape = data.agg(F.max(F.size("v")), F.max(F.array_max(F.transform("v", lambda x: F.abs(x))))).first()
+    width, most = shape[0] or 0, shape[1] or 0
     exact_float = most * most * max(width, 1) < 1 << 53
     # PIVOTS vectors, whatever the size of the table.
-    chosen = data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()
-    centre = _matrix(pd.Series([r["v"] for r in chosen], dtype=object), width).astype(np.float64)
+    chosen = asked.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(pivots).select("v").toArrow()
+    p = chosen.num_rows
+    if not p:
+        return None
+    centre = _matrix(chosen["v"], width).astype(np.float64)
+    square = (centre * centre).sum(1)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            m = _matrix(batch.column(1), width).astype(np.float64)
-            d = np.sqrt(np.maximum((m * m).sum(1)[:, None] - 2 * m @ centre.T + (centre * centre).sum(1), 0))
-            cell = d.argmin(1).astype(np.int32) if d.size else np.zeros(len(m), np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(d[np.arange(len(m)), cell])], names=["vec_id", "v", "cell", "away"])
-
-    schema = "vec_id long, v array<long>, cell int, away double"
-    data = stage(data.mapInArrow(placed, schema), "cells")
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1000):
+                batch = whole.slice(start, 1000)
+                m = _matrix(batch.column(1), width).astype(np.float64)
+                d = (m * m).sum(1)[:, None] - 2 * m @ centre.T + square
+                cell = d.argmin(1)
+                away = np.sqrt(np.maximum(d[np.arange(len(m)), cell], 0))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(away)], names=["vec_id", "v", "cell", "away"])
+
+    data = stage(data.mapInArrow(placed, "vec_id long, v array<long>, cell int, away double"), "cells")
+    asked = stage(data.join(queries.select("vec_id").distinct(), "vec_id", "left_semi").select("vec_id", "v", "cell"), "queries")
     near = data.withColumn("_r", F.row_number().over(Window.partitionBy("cell").orderBy("away", "vec_id"))).where(F.col("_r") <= k + 1)
-    near = near.select("vec_id", "v").collect()  # k + 1 for each pivot
-    near_ids = np.array([r["vec_id"] for r in near], dtype=np.int64)
-    near_v = _matrix(pd.Series([r["v"] for r in near], dtype=object), width)
+    near = near.select("vec_id", "v").toArrow()  # k + 1 for each pivot
+    near_ids, near_v = near["vec_id"].to_numpy(), _matrix(near["v"], width)
 
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per cell of queries: the least certain score, largest norm, farthest
-        query, number of queries, and largest score against each pivot."""
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per cell the number and the sum of its queries."""
         for batch in batches:
-            m, cell = _matrix(batch.column(1), width), batch.column(2).to_numpy()
-            ids, away = batch.column(0).to_numpy(), batch.column(3).to_numpy()
-            score = _scores(m, near_v, exact_float).astype(np.float64)
-            score[ids[:, None] == near_ids] = -np.inf
-            sure = -np.sort(-score, axis=1)[:, k - 1] if score.shape[1] >= k else np.full(len(m), -np.inf)
-            against = m.astype(np.float64) @ centre.T
-            norm = np.sqrt((m.astype(np.float64) ** 2).sum(1))
-            for c in np.unique(cell):
-                mine = cell == c
-                row = [[int(c)], [int(mine.sum())], [sure[mine].min()], [norm[mine].max()], [away[mine].max()], [against[mine].max(0).tolist()]]
-                types = [pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.float64())]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, types)], names=["cell", "n", "sure", "norm", "away", "against"])
-
-    asked = data.join(queries.select("vec_id").distinct(), "vec_id", "left_semi")
-    cells = asked.mapInArrow(summed, "cell int, n long, sure double, norm double, away double, against array<double>")
-    cells = cells.select("cell", "n", "sure", "norm", "away", F.posexplode("against").alias("pivot", "score"))
-    cells = cells.groupBy("cell", "pivot").agg(
-        F.sum("n").alias("n"), F.min("sure").alias("sure"), F.max("norm").alias("norm"), F.max("away").alias("away"), F.max("score").alias("score")
-    )
-    table_rows = cells.collect()  # PIVOTS x PIVOTS at most
-    p = len(chosen)
-    count, sure, norm, far = np.zeros(p, np.int64), np.full(p, np.inf), np.zeros(p), np.zeros(p)
-    against = np.zeros((p, p))
-    for r in table_rows:
-        c = r["cell"]
-        count[c], sure[c], norm[c], far[c], against[c, r["pivot"]] = r["n"], r["sure"], r["norm"], r["away"], r["score"]
-    query_parts = np.maximum(-(-count // part_queries), 1)
-    vector_parts = max(-(-n // part_vectors), 1)
+            m, (cells, place) = _matrix(batch.column(1), width).astype(np.float64), np.unique(batch.column(2).to_numpy(), return_inverse=True)
+            sums = np.zeros((len(cells), width))
+            np.add.at(sums, place, m)
+            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(np.bincount(place), pa.int64()), pa.array(sums.tolist(), pa.list_(pa.float64()))], names=["cell", "n", "v"])
+
+    sums = asked.mapInArrow(added, "cell int, n long, v array<double>")
+    count, mean = np.zeros(p, dtype=np.int64), np.zeros((p, width))
+    for cell, n in sums.groupBy("cell").agg(F.sum("n")).collect():
+        count[cell] = n
+    each = sums.select("cell", F.posexplode("v").alias("at", "x")).groupBy("cell", "at").agg(F.sum("x").alias("x")).toArrow()
+    mean[each["cell"].to_numpy(), each["at"].to_numpy()] = each["x"].to_numpy()
+    mean /= np.maximum(count, 1)[:, None]
+
+    def limits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per cell the least certain score and the query farthest from the mean."""
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                batch = whole.slice(start, 500)
+                ids, m, cell = batch.column(0).to_numpy(), _matrix(batch.column(1), width), batch.column(2).to_numpy()
+                score = _scores(m, near_v, exact_float).astype(np.float64)
+                score[ids[:, None] == near_ids] = -np.inf
+                sure = np.partition(score, score.shape[1] - k, axis=1)[:, -k] if score.shape[1] >= k else np.full(len(m), -np.inf)
+                away = np.sqrt(((m - mean[cell]) ** 2).sum(1))
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(sure), pa.array(away)], names=["cell", "sure", "away"])
+
+    found = asked.mapInArrow(limits, "cell int, sure double, away double").groupBy("cell").agg(F.min("sure"), F.max("away"))
+    sure, radius = np.full(p, np.inf), np.zeros(p)
+    for cell, least, far in found.collect():
+        sure[cell], radius[cell] = least, far
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A data vector once for each part of each cell of queries it can matter to."""
+        """A data vector once for each cell of queries that it can matter to."""
         for whole in batches:
-            for start in range(0, whole.num_rows, 2000):
-                batch = whole.slice(start, 2000)
-                m, cell, away = _matrix(batch.column(1), width).astype(np.float64), batch.column(2).to_numpy(), batch.column(3).to_numpy()
-                reach = against[:, cell] + norm[:, None] * away
-                reach = np.minimum(reach, centre @ m.T + far[:, None] * np.sqrt((m * m).sum(1)))
+            for start in range(0, whole.num_rows, 1000):
+                batch = whole.slice(start, 1000)
+                m = _matrix(batch.column(1), width).astype(np.float64)
+                reach = m @ mean.T + np.sqrt((m * m).sum(1))[:, None] * radius
                 # A margin far above the rounding of the bounds.
-                goes = (reach * (1 + 1e-9) + 1e-6 * np.abs(reach) + 1e-3 >= sure[:, None]) & (count[:, None] > 0)
-                at_cell, at = np.nonzero(goes)
-                times = query_parts[at_cell]
-                part = np.concatenate([np.arange(t) for t in times]) if len(times) else np.zeros(0, np.int64)
-                at, at_cell = np.repeat(at, times), np.repeat(at_cell, times)
+                at, cell = np.nonzero((reach + 1e-6 * np.abs(reach) + 1e-3 >= sure) & (count > 0))
                 took = pa.RecordBatch.from_arrays(batch.columns[:2], names=["vec_id", "v"]).take(pa.array(at))
-                yield pa.RecordBatch.from_arrays(
-                    [*took.columns, pa.array(at_cell.astype(np.int32)), pa.array(part.astype(np.int32))], names=["vec_id", "v", "cell", "part"]
-                )
-
-    chunk = F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(vector_parts)).cast("int")
-    sent = data.mapInArrow(needed, "vec_id long, v array<long>, cell int, part int").withColumn("chunk", chunk)
-    parts = F.element_at(F.array(*[F.lit(int(x)) for x in query_parts] or [F.lit(1)]), F.col("cell") + 1)
-    asked = asked.withColumn("part", F.pmod(F.xxhash64(F.lit(5), "vec_id"), parts).cast("int"))
-    asked = asked.select("vec_id", "v", "cell", "part", F.explode(F.sequence(F.lit(0), F.lit(vector_parts - 1))).alias("chunk"))
-
-    def solved(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            ids, q = right["vec_id"].to_numpy(), left["vec_id"].to_numpy()
-            data_m = _matrix(right["v"], width)
-            for start in range(0, len(left), 64):
-                score = _scores(_matrix(left["v"].iloc[start : start + 64], width), data_m, exact_float)
-                for i, row in enumerate(score):
-                    other = np.flatnonzero(ids != q[start + i])
-                    best = other[_best(row[other][None, :], ids[other], min(k, len(other)))[0]] if len(other) else other
-                    out.append(pd.DataFrame({"query_id": q[start + i], "vec_id": ids[best], "score": row[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-
-    key = ["cell", "part", "chunk"]
-    found = asked.groupBy(*key).cogroup(sent.groupBy(*key)).applyInPandas(solved, "query_id long, vec_id long, score long")
+                yield pa.RecordBatch.from_arrays([*took.columns, pa.array(cell.astype(np.int32))], names=["vec_id", "v", "cell"])
+
+    sent = stage(data.select("vec_id", "v").mapInArrow(needed, "vec_id long, v array<long>, cell int"), "sent")
+    unstage(data)
+    return Dealt(asked, sent, count, width, exact_float)
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIVOTS, part_queries: int = QUERIES, part_vectors: int = VECTORS) -> DataFrame:
+    """(query_id, rank, vec_id, score); both sides are (vec_id, v)."""
+    out = "query_id long, rank int, vec_id long, score long"
+    made = dealt(vectors, queries, k, pivots)
+    if made is None:
+        return vectors.sparkSession.createDataFrame([], out)
+    width, exact_float = made.width, made.exact_float
+    # A cell has parts of a bounded number of queries; some parts, numbered on, are solved together.
+    parts = np.maximum(-(-made.count // part_queries), 1)
+    first = np.concatenate([[0], np.cumsum(parts)])
+    arrivals = np.zeros(-(-int(first[-1]) // PARTS), dtype=np.int64)
+    for cell, n in made.sent.groupBy("cell").agg(F.count(F.lit(1))).collect():
+        for number in range(int(first[cell]) // PARTS, (int(first[cell + 1]) - 1) // PARTS + 1):
+            arrivals[number] += n
+    chunks = np.maximum(-(-arrivals // part_vectors), 1).tolist()
+    spark = vectors.sparkSession
+    numbers = [(c, int(first[c]) + t, (int(first[c]) + t) // PARTS, chunks[(int(first[c]) + t) // PARTS]) for c in range(len(parts)) for t in range(int(parts[c]))]
+    # A row per part: as many as cells and as parts of QUERIES queries.
+    places = spark.createDataFrame(numbers, "cell int, unit int, bunch int, chunks int")
+    part = F.col("unit") - F.min("unit").over(Window.partitionBy("cell"))
+    places = places.withColumn("part", part).withColumn("parts", F.count(F.lit(1)).over(Window.partitionBy("cell")))
+    chunk = F.pmod(F.xxhash64(F.lit(3), "vec_id", "v"), F.col("chunks")).cast("int")
+    sent = made.sent.join(places, "cell").select("vec_id", "v", "unit", "bunch", chunk.alias("chunk"))
+    mine = F.pmod(F.xxhash64(F.lit(5), "vec_id", "v"), F.col("parts")) == F.col("part")
+    every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+    asked = made.asked.join(places, "cell").where(mine).select("vec_id", "v", F.col("unit").alias("unit"), F.col("bunch").alias("bunch"), every)
+
+    def solved(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: list[tuple[np.ndarray, ...]] = []
+        if left.num_rows and right.num_rows:
+            at, units = left["unit"].to_numpy(), right["unit"].to_numpy()
+            turn, order = np.argsort(at, kind="stable"), np.argsort(units, kind="stable")
+            q, ids = left["vec_id"].to_numpy(), right["vec_id"].to_numpy()
+            asked_m, data_m = _matrix(left["v"], width), _matrix(right["v"], width)
+            for unit in np.unique(at):
+                theirs = order[np.searchsorted(units, unit, sorter=order) : np.searchsorted(units, unit, "right", sorter=order)]
+                ours = turn[np.searchsorted(at, unit, sorter=turn) : np.searchsorted(at, unit, "right", sorter=turn)]
+                for start in range(0, len(ours), 64):
+                    some = ours[start : start + 64]
+                    for i, row in zip(some, _scores(asked_m[some], data_m[theirs], exact_float)):
+                        other = np.flatnonzero(ids[theirs] != q[i])
+                        best = other[_best(row[other][None, :], ids[theirs[other]], k)[0]] if len(other) else other
+                        found.append((np.full(len(best), q[i]), ids[theirs[best]], row[best]))
+        columns = [np.concatenate(c) if found else np.zeros(0, np.int64) for c in (zip(*found) if found else ([], [], []))]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+
+    key = ["bunch", "chunk"]
+    found = asked.groupBy(*key).cogroup(sent.groupBy(*key)).applyInArrow(solved, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
