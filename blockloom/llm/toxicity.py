@@ -55,8 +55,8 @@ LEAST_TEXTS = 3
 #: Terms that say less than so many standard deviations, alone and with any
 #: other term, are damped, by DAMPED at most, but none is left out.
 LEAST_SIGNAL, DAMPED = 3.0, 0.03
-#: Terms whose pairs are counted at once.
-PAIRS = 512
+#: Terms of a block, and pairs in texts that are counted at once.
+PAIRS, AT_ONCE = 512, 4_000_000
 REMEMBERED = 300_000
 SEED = 5
 
@@ -138,31 +138,47 @@ class Pairs:
         starts = range(0, len(self.low), PAIRS)
         return [(i, j) for i in starts for j in starts if j >= i]
 
-    def _block(self, start: int) -> np.ndarray:
-        terms = range(start, min(start + PAIRS, len(self.low)))
-        found = np.zeros((self.texts, len(terms)), dtype=np.float32)
-        for k, term in enumerate(terms):
-            found[self.row[self.low[term] : self.high[term]], k] = 1
-        return found
+    def _block(self, start: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """The texts and terms of a block, text by text, and its number of terms."""
+        end = min(start + PAIRS, len(self.low))
+        text = self.row[self.low[start] : self.high[end - 1]]
+        term = np.repeat(np.arange(end - start), self.high[start:end] - self.low[start:end])
+        order = np.argsort(text, kind="stable")
+        return text[order], term[order], end - start
 
     def signal(self, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
         """For each term of two blocks, the standard deviations by which the pair
-        that says most differs from its two terms' shares added up."""
-        a = self._block(i)
-        b = a if j == i else self._block(j)
-        bad, good = a[: self.ones].T @ b[: self.ones], a[self.ones :].T @ b[self.ones :]
-        both = bad + good
-        q = 1 / (1 + np.exp(-np.clip(self.odds[i : i + PAIRS][:, None] + self.odds[j : j + PAIRS][None, :], -30, 30)))
+        that says most differs from its two terms' shares added up. Only pairs
+        that stand in a text are counted."""
+        (text, a, n), (other, b, m) = self._block(i), self._block(j)
+        many = np.bincount(other, minlength=self.texts)
+        begin = np.cumsum(many) - many
+        bad, both = np.zeros(n * m, dtype=np.int64), np.zeros(n * m, dtype=np.int64)
+        # Up to some million pairs at a time, however long the texts are.
+        cuts = np.searchsorted(np.cumsum(many[text]), np.arange(AT_ONCE, many[text].sum(), AT_ONCE), "right")
+        cuts = np.unique([0, *cuts, np.searchsorted(text, self.ones), len(text)])
+        for low, high in zip(cuts, cuts[1:]):
+            times = many[text[low:high]]
+            place = np.arange(times.sum()) + np.repeat(begin[text[low:high]] - (np.cumsum(times) - times), times)
+            found = np.bincount(np.repeat(a[low:high], times) * m + b[place], minlength=n * m)
+            both += found
+            if text[low] < self.ones:
+                bad += found
+        at = np.flatnonzero(both >= LEAST_TEXTS)
+        if j == i:
+            at = at[at // m != at % m]
+        bad, both = bad[at].astype(float), both[at].astype(float)
+        q = 1 / (1 + np.exp(-np.clip(self.odds[i + at // m] + self.odds[j + at % m], -30, 30)))
 
         def part(count: np.ndarray, expected: np.ndarray) -> np.ndarray:
             return count * np.log(np.maximum(count, 1e-6) / np.maximum(expected, 1e-6))
 
-        told = 2 * (part(bad, both * q) + part(good, both * (1 - q))) - self.chance
-        told[both < LEAST_TEXTS] = 0
-        if j == i:
-            np.fill_diagonal(told, 0)
+        told = 2 * (part(bad, both * q) + part(both - bad, both * (1 - q))) - self.chance
         told = np.sqrt(np.maximum(told, 0))
-        return told.max(1), told.max(0)
+        mine, theirs = np.zeros(n), np.zeros(m)
+        np.maximum.at(mine, at // m, told)
+        np.maximum.at(theirs, at % m, told)
+        return mine, theirs
 
 
 def _on_driver(pairs: Pairs) -> np.ndarray:
@@ -216,7 +232,8 @@ def _pair_signal(rows: list[np.ndarray], y: np.ndarray, seen: np.ndarray, toxic:
     for i, r in enumerate(rows):
         sums[r] += mark[i]
     _, first, same = np.unique(np.stack([sums[some], seen[some]]), axis=1, return_index=True, return_inverse=True)
-    like, some = some, some[first]
+    order = np.argsort(first)
+    like, some, same = some, some[first[order]], np.argsort(order)[same.ravel()]
     share = (toxic + p) / (seen + 1)
     odds = (np.log(share / (1 - share)) - np.log(p / (1 - p)) / 2).astype(np.float32)
     order = np.argsort(-y, kind="stable")
@@ -226,7 +243,7 @@ def _pair_signal(rows: list[np.ndarray], y: np.ndarray, seen: np.ndarray, toxic:
     at, row = at[turn], row[turn]
     low, high = np.searchsorted(at, some), np.searchsorted(at, some, "right")
     found = looked(Pairs(len(y), int(y.sum()), row, low, high, odds[some], chance))
-    out[like] = found[same.ravel()]
+    out[like] = found[same]
     return out
 
 
