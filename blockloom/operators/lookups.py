@@ -29,12 +29,18 @@ def with_chain_name(df: DataFrame, name_column: str = "chain") -> DataFrame:
 
 
 def first_implementation(pairs: DataFrame) -> DataFrame:
-    """One implementation per proxy: the smallest if several are on file."""
-    stated = pairs.where("implementation_address is not null and implementation_address <> 'None'").select(
+    """One implementation per proxy: the first on file, or the smallest if no
+    ``position`` tells which that is."""
+    stated = pairs.where("implementation_address is not null and lower(implementation_address) <> 'none'").select(
         lower_address(F.col("address")).alias("address"),
         lower_address(F.col("implementation_address")).alias("implementation_address"),
+        *(["position"] if "position" in pairs.columns else []),
     )
-    return stated.groupBy("address").agg(F.min("implementation_address").alias("implementation_address"))
+    if "position" in stated.columns:
+        first = F.min_by("implementation_address", F.struct("position", "implementation_address"))
+    else:
+        first = F.min("implementation_address")
+    return stated.groupBy("address").agg(first.alias("implementation_address"))
 
 
 def with_implementation(contracts: DataFrame, pairs: DataFrame) -> DataFrame:

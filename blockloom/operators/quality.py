@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import DECLARED, REQUIRED
 
@@ -28,8 +29,20 @@ def declared_columns(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def column_profile(df: DataFrame, table: str) -> DataFrame:
+    """Declared and actual columns side by side, with the rows in which a
+    column is filled: one pass over the table, NULL for a column it lacks."""
+    names = declared_columns(df, table)
+    filled = df.agg(*[F.count(c).alias(c) for c in df.columns])
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("filled")) for c in df.columns])
+    return names.join(F.broadcast(filled.select(F.inline(rows))), "column", "left").select("table", "column", "declared", "present", "filled")
+
+
 def malformed_topics(logs: DataFrame) -> DataFrame:
-    """Logs whose ``topics`` text is no JSON list; they cannot be decoded."""
+    """Logs whose ``topics`` text is no JSON list; they cannot be decoded.
+    Topics stored as an array are never malformed."""
+    if isinstance(logs.schema["topics"].dataType, T.ArrayType):
+        return logs.where(F.lit(False))
     return logs.where(F.col("topics").isNotNull() & F.from_json("topics", "array<string>").isNull())
 
 

@@ -86,16 +86,20 @@ def abi_entries(texts: DataFrame) -> DataFrame:
 
 
 def proxy_pairs(spark: SparkSession, path: str) -> DataFrame:
-    """address, implementation_address from CSV with a header."""
+    """address, implementation_address and where they stand, from CSV with a header."""
     schema = "address string, implementation_address string"
     pairs = spark.read.schema(schema).csv(path, header=True)
     lowered = {c: lower_address(F.col(c)) for c in ("address", "implementation_address")}
-    return merge_proxy_pairs(pairs.withColumns(lowered))
+    # Lines of a split are numbered upwards; files go by name.
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    return merge_proxy_pairs(pairs.select("*", place.alias("position")).withColumns(lowered))
 
 
 def merge_proxy_pairs(*parts: DataFrame) -> DataFrame:
-    """Appended pairs without duplicates."""
+    """Appended pairs without duplicates; of equal ones the first position stays, if there are positions."""
     merged = parts[0]
     for part in parts[1:]:
-        merged = merged.unionByName(part)
-    return merged.dropDuplicates()
+        merged = merged.unionByName(part, allowMissingColumns=True)
+    if "position" not in merged.columns:
+        return merged.dropDuplicates()
+    return merged.groupBy("address", "implementation_address").agg(F.min("position").alias("position"))

@@ -1,11 +1,12 @@
 """Operators on small hand-made inputs, against brute force where SQL is long."""
 
+import datetime
 import os
 import random
 
 import pytest
 from blockloom.constants import CHAIN_IDS
-from blockloom.operators import block_time, dedup, joins, lookups, planning, quality, writing
+from blockloom.operators import block_time, dedup, joins, lookups, planning, quality, ranges, writing
 from blockloom.session import fresh_path, stage, unstage, work_folder
 from blockloom.sources import reference_data, tables
 from conftest import plan_text
@@ -285,3 +286,122 @@ def test_spread_leaves_wide_inputs_alone(spark):
 
 def test_work_folder_is_the_one_the_session_names(spark):
     assert work_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+# Sets of ranges.
+
+def blocks_of(rows):
+    out = {}
+    for *key, low, high in rows:
+        if low is not None and high is not None:
+            out.setdefault(tuple(key), set()).update(range(low, high + 1))
+    return {k: v for k, v in out.items() if v}
+
+
+def as_ranges(spark, rows):
+    return spark.createDataFrame(rows, "chainid long, contract string, from_block long, to_block long")
+
+
+@pytest.mark.parametrize("span", [1, 7, 1_000_000])
+def test_ranges_equal_sets_of_blocks(spark, span):
+    rng = random.Random(span)
+
+    def some(n):
+        rows = [(rng.choice([1, 1, 1, None]), rng.choice(["a", None]), low := rng.randrange(60), low + rng.randrange(-2, 9)) for _ in range(n)]
+        return [*rows, (1, "a", None, 4), (1, "b", 3, None)]
+
+    keys, a, b = ["chainid", "contract"], some(40), some(25)
+    left, right = as_ranges(spark, a), as_ranges(spark, b)
+    got = [r[:] for r in ranges.merged(left, keys, span).collect()]
+    assert blocks_of(got) == blocks_of(a)
+    for x in got:
+        assert not [y for y in got if y is not x and y[:2] == x[:2] and y[2] <= x[3] + 1 and x[2] <= y[3] + 1]
+    monkey = blocks_of([r[:] for r in ranges.uncovered(left, right, keys).collect()])
+    have, taken = blocks_of(a), blocks_of(b)
+    assert monkey == {k: v - taken.get(k, set()) for k, v in have.items() if v - taken.get(k, set())}
+    inside = sorted([r[:] for r in ranges.covered(left, right, keys).collect()], key=str)
+    want = [x for x in a if x[2] is not None and x[3] is not None and x[2] <= x[3] and set(range(x[2], x[3] + 1)) <= taken.get(x[:2], set())]
+    assert inside == sorted(want, key=str)
+
+
+def test_ranges_of_nothing(spark):
+    none, some = as_ranges(spark, []), as_ranges(spark, [(1, "a", 0, 9)])
+    keys = ["chainid", "contract"]
+    assert ranges.merged(none, keys).count() == ranges.covered(some, none, keys).count() == ranges.uncovered(none, some, keys).count() == 0
+    assert [r[:] for r in ranges.uncovered(some, none, keys).collect()] == [(1, "a", 0, 9)]
+
+
+def test_settling_takes_the_union_and_the_newest_entry(spark):
+    at = datetime.datetime(2024, 1, 1)
+    rows = [
+        (0, 0, 99, "open"), (1, 0, 49, "whole"), (1, 50, 99, "whole"),
+        (0, 200, 299, "open"), (1, 200, 250, "whole"), (1, 252, 299, "whole"),
+        (0, 400, 499, "whole"), (1, 400, 499, "open"),
+        (0, 600, 699, "open"), (1, 600, 699, "whole"),
+    ]
+    ledger = spark.createDataFrame([(at + datetime.timedelta(t), "logs", "0xa", 1, a, b, 100, s) for t, a, b, s in rows], "timestamp timestamp, table string, contract_address string, chainid long, from_block long, to_block long, block_chunk_size long, status string")
+    assert [r.from_block for r in writing.settled_failures(ledger).collect()] == [0]
+    assert sorted(r.from_block for r in writing.open_failures(ledger).collect()) == [0, 200, 400]
+    assert sorted((r.from_block, r.to_block) for r in writing.whole_ranges(ledger).collect()) == [(0, 99), (200, 250), (252, 299), (600, 699)]
+
+
+# Newest rows and packing.
+
+def states(spark, rows):
+    return spark.createDataFrame(rows, "chainid long, hash string, block_number long, confirmations long, value string")
+
+
+def test_upsert_keeps_the_newest_row(spark):
+    path, identity = fresh_path(spark, "newest"), (["chainid", "hash"], ["confirmations"])
+    put = lambda *rows: writing.upsert(states(spark, list(rows)), path, ["block_number"], identity)
+    kept = lambda: sorted((r.hash, r.confirmations, r.value) for r in spark.read.parquet(path).collect())
+    assert put((1, "a", 5, 1, "x"), (1, "b", 150_000, 1, "x"), (1, "a", 5, 2, "y")) == 2
+    assert kept() == [("a", 2, "y"), ("b", 1, "x")]
+    others = lambda: {f for f in spark.read.parquet(path).inputFiles() if "block_bucket=1/" in f}
+    files = others()
+    assert put((1, "a", 5, 1, "old"), (1, "a", 5, 7, "new"), (1, "c", 6, None, "c")) == 1
+    assert kept() == [("a", 7, "new"), ("b", 1, "x"), ("c", None, "c")]
+    # The other partition is still the same file; a refetch without news writes nothing.
+    assert others() == files
+    before = set(spark.read.parquet(path).inputFiles())
+    assert put((1, "a", 5, 7, "else"), (1, "c", 6, None, "c")) == 0
+    assert before <= set(spark.read.parquet(path).inputFiles()) and kept() == [("a", 7, "new"), ("b", 1, "x"), ("c", None, "c")]
+    assert put((1, "c", 6, 1, "d"), (None, "n", None, 3, "n")) == 1
+    assert put((None, "n", None, 4, "m")) == 0
+    assert kept() == [("a", 7, "new"), ("b", 1, "x"), ("c", 1, "d"), ("n", 4, "m")]
+    # Mined again in another block: the row moves.
+    assert put((1, "b", 3, 9, "moved"), (1, "e", 150_001, 1, "e")) == 1
+    assert kept() == [("a", 7, "new"), ("b", 9, "moved"), ("c", 1, "d"), ("e", 1, "e"), ("n", 4, "m")]
+
+
+def test_a_replacement_that_was_lost_is_completed(spark, monkeypatch):
+    path, identity = fresh_path(spark, "newest"), (["chainid", "hash"], ["confirmations"])
+    writing.upsert(states(spark, [(1, "a", 5, 1, "x"), (1, "b", 6, 1, "x")]), path, ["block_number"], identity)
+
+    def lost(spark, path):
+        if writing.stored_table(spark, f"{path}_replacing", None) is not None:
+            raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(writing, "finish_replacing", lost)
+        with pytest.raises(RuntimeError):
+            writing.upsert(states(spark, [(1, "a", 5, 2, "y")]), path, ["block_number"], identity)
+    # Between stage and swap nothing is lost, and the next job completes it.
+    assert spark.read.parquet(path).count() == 2
+    assert writing.finish_replacing(spark, path) and not writing.finish_replacing(spark, path)
+    assert sorted((r.hash, r.confirmations) for r in spark.read.parquet(path).collect()) == [("a", 2), ("b", 1)]
+
+
+def test_fifty_appends_are_packed(spark):
+    path = fresh_path(spark, "packed")
+    rows = spark.range(2000).select(F.lit(1).cast("long").alias("chainid"), F.concat(F.lit("0x"), F.col("id") % 7).alias("address"), (F.col("id") * 100).alias("block_number"))
+    for n in range(50):
+        part = rows.where(F.col("block_number") / 100 % 50 == n).withColumn("block_bucket", F.floor(F.col("block_number") / 100_000))
+        part.coalesce(1).write.mode("append").partitionBy("chainid", "block_bucket").parquet(path)
+    assert writing.partition_files(spark, path).agg(F.min("files")).first()[0] == 50
+    assert writing.compact(spark, path, ["address", "block_number"], partitions=[(1, 0)]) == 1
+    assert writing.compact(spark, path, ["address", "block_number"]) == 1
+    assert writing.partition_files(spark, path).agg(F.max("files")).first()[0] <= 2
+    stored = spark.read.parquet(path).select(rows.columns)
+    assert stored.exceptAll(rows).isEmpty() and stored.count() == 2000
+    assert writing.compact(spark, path, ["address", "block_number"]) == 0

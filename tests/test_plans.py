@@ -52,7 +52,7 @@ def test_transfer_and_decoded_agree(logs):
 
 def test_build_models_writes_tables_that_prune(spark, logs):
     checks = models.build_models(logs, "staging_test")
-    assert {r.table for r in checks.collect()} == {"decoded_logs", "erc20_transfer"}
+    assert {r.table for r in checks.collect()} == {"decoded_logs", "erc20_transfer", "logs"}
     assert all(r.passed for r in checks.collect())
     decoded = spark.table("staging_test.decoded_logs")
     assert decoded.count() == models.decoded_logs(logs).count()
@@ -65,6 +65,15 @@ def test_build_models_writes_tables_that_prune(spark, logs):
     assert spark.table("staging_test.erc20_transfer").count() == moved.count()
 
 
+def test_build_models_rejects_broken_topics(spark, logs):
+    broken = logs.limit(3).withColumn("topics", F.lit('["0x'))
+    checks = {(r.table, r.column): r for r in models.build_models(logs.unionByName(broken), "staging_broken").collect()}
+    assert checks["logs", "topics"].violations == 3 and not checks["logs", "topics"].passed
+    assert spark.table("staging_broken.rejected_logs").count() == 3
+    arrays = logs.withColumn("topics", F.from_json("topics", "array<string>"))
+    assert models.build_models(arrays, "staging_arrays").where("table = 'logs'").first().violations == 0
+
+
 # Catalog.
 
 ABI = [
@@ -292,6 +301,46 @@ def test_load_landing_resume_and_retry(spark, sf_dir):
     assert max(r.max_block for r in top) == 18_000_000 + (whole - 1) // 4
 
 
+def test_a_load_opens_new_files_only(spark, sf_dir):
+    folder, table, ledger = (fresh_path(spark, n) for n in ("landing", "table", "ledger"))
+    pages = fixtures.log_pages(spark, sf_dir, rejects=False)
+    for _ in range(3):
+        land(pages, folder)
+    backfill.load_landing(spark, folder, table, ledger)
+    assert backfill.new_files(spark, folder, ledger, "logs").count() == 0
+    # Old files that cannot be read any more do no harm: nobody opens them.
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = {str(f.getPath()): f.getModificationTime() for f in fs.listStatus(path)}
+    land(fixtures.empty_page(spark, sf_dir), folder)
+    new = [r.path for r in backfill.new_files(spark, folder, ledger, "logs").collect()]
+    assert new and not {p.split(":", 1)[-1] for p in new} & {p.split(":", 1)[-1] for p in before}
+    listing = plan_text(backfill.new_files(spark, folder, ledger, "logs"))
+    assert "binaryFile" in listing and "FileScan json" not in listing
+    loaded = backfill.load_landing(spark, folder, table, ledger)
+    assert loaded == backfill.Load(0, 0)
+    assert writing.whole_ranges(spark.read.parquet(ledger)).count() == 1
+
+
+def test_a_retry_in_windows_settles_the_range(spark, sf_dir):
+    folder, table, ledger = (fresh_path(spark, n) for n in ("landing", "table", "ledger"))
+    land(fixtures.broken_page(spark, sf_dir), folder)
+    assert backfill.load_landing(spark, folder, table, ledger).failed_ranges == 1
+    windows = planning.retry_plan(writing.open_failures(spark.read.parquet(ledger))).select("chunk_start", "chunk_end")
+    pages = fixtures.window_pages(spark, sf_dir, windows)
+    # All windows but one: the range stays open; with the last one it is settled.
+    last = F.col("from_block") == windows.agg(F.max("chunk_start")).first()[0]
+    land(pages.where(~last), folder)
+    backfill.load_landing(spark, folder, table, ledger)
+    assert writing.open_failures(spark.read.parquet(ledger)).count() == 1
+    land(pages.where(last), folder)
+    backfill.load_landing(spark, folder, table, ledger)
+    assert writing.open_failures(spark.read.parquet(ledger)).count() == 0
+    whole = [r[:] for r in writing.whole_ranges(spark.read.parquet(ledger)).select("from_block", "to_block").collect()]
+    assert whole == [(18_000_000, 19_000_000)]
+    assert spark.read.parquet(table).count() == fixtures.fixture(spark, sf_dir, "logs").count()
+
+
 def test_load_transactions(spark, sf_dir):
     folder, table, ledger = (fresh_path(spark, n) for n in ("landing", "table", "ledger"))
     land(fixtures.transaction_pages(spark, sf_dir), folder)

@@ -1167,6 +1167,92 @@ def catalog_table(spark, sf_dir):
     return out.select(F.lit(after).alias("exists_after"), F.lit(before).alias("exists_before"), "row_count", F.lit(none).cast("bigint").alias("rows_before"))
 
 
+_BROKEN_LOGS = """select * replace (case when ((block_number - 18000000) * 4 + log_index) % 13 = 5 then '["0xdd' else topics end as topics) from logs"""
+_SOUND = "(select * from logs where ((block_number - 18000000) * 4 + log_index) % 13 <> 5)"
+
+
+@query(
+    f""", d as ({_DECODED.replace("from logs", f"from {_SOUND}")}), t as (select * from d) """
+    + _nulls("decoded_logs", **{c: c for c in ("chainid", "address", "block_number", "transaction_hash")})
+    + f""" union all select "table", "column", violations, passed from (with t as (select * from d where topic0 = '{TRANSFER_TOPIC}') """
+    + _nulls(
+        "erc20_transfer",
+        chainid="chainid",
+        token_address="address",
+        from_address="topic1",
+        to_address="topic2",
+        block_number="block_number",
+        datetime="datetime",
+        transaction_hash="transaction_hash",
+    )
+    + """) union all select 'logs', 'topics', n, n = 0 from (
+  select count(*) as n from logs where ((block_number - 18000000) * 4 + log_index) % 13 = 5)""",
+    "logs",
+)
+def model_checks(spark, sf_dir):
+    """Both models built as tables; logs with broken topics are rejected and fail a check."""
+    event = (F.col("block_number") - 18_000_000) * 4 + F.col("log_index")
+    logs = fixture(spark, sf_dir, "logs").withColumn("topics", F.when(event % 13 == 5, '["0xdd').otherwise(F.col("topics")))
+    return models.build_models(logs, "models_" + fresh_path(spark, "x").rsplit("-", 1)[1])
+
+
+@query(
+    """select 'c' || c_custkey::varchar as name, '0x' || lpad(lower(to_hex(c_custkey)), 40, '0') as address,
+  case when c_custkey % 2 = 0 then 'base' else 'ethereum' end as chain from customer"""
+)
+def contract_manifest(spark, sf_dir):
+    """Manifests of a nation's contracts each, read from their files."""
+    key, folder = F.col("c_custkey"), fresh_path(spark, "manifest")
+    contract = F.struct(
+        F.concat(F.lit("0x"), F.lpad(F.hex(key), 40, "0")).alias("address"), F.when(key % 2 == 0, "base").otherwise("ethereum").alias("chain")
+    )
+    entry = F.struct(F.concat(F.lit("c"), key.cast("string")).alias("name"), contract.alias("contract"))
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").groupBy("c_nationkey")
+    texts = customers.agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
+    texts.write.partitionBy("c_nationkey").text(folder)
+    return reference_data.manifest(spark, folder)
+
+
+@query(
+    f"""with {_OWN_EVENTS} select '0x' || lpad(lower(to_hex(s_suppkey)), 40, '0') as address, event_name, topic0, event_signature from own"""
+)
+def saved_events(spark, sf_dir):
+    """The event catalog written and read back."""
+    folder = fresh_path(spark, "events")
+    catalog.save_events(catalog.event_catalog(reference_data.abi_entries(fixture(spark, sf_dir, "abis"))), folder)
+    return spark.read.parquet(folder).select("address", "event_name", "topic0", "event_signature")
+
+
+@query(
+    f""", d as ({_DECODED}), n as (select count(*) as n, count(topic0) as t0, count(topic1) as t1, count(topic2) as t2, count(topic3) as t3 from d)
+select 'decoded_logs' as "table", c as "column", declared, present, case when present then filled end as filled from n, lateral (values
+  ('chainid', true, true, n), ('address', true, true, n), ('block_number', true, true, n), ('transaction_hash', true, true, n),
+  ('log_index', true, true, n), ('event_name', true, false, 0), ('event_signature', true, false, 0), ('decoded_data', true, false, 0),
+  ('topic0', false, true, t0), ('topic1', false, true, t1), ('topic2', false, true, t2), ('topic3', false, true, t3), ('data', false, true, n),
+  ('datetime', false, true, n)) as v(c, declared, present, filled)""",
+    "logs",
+)
+def declared_columns(spark, sf_dir):
+    """What the model declares, what it has, and how far each column is filled."""
+    return quality.column_profile(models.decoded_logs(fixture(spark, sf_dir, "logs")), "decoded_logs")
+
+
+@query(
+    """select '0x' || lpad(lower(to_hex(s_suppkey)), 40, '0') as address,
+  case when s_suppkey % 2 = 1 then '0x' || lpad(lower(to_hex(s_suppkey + 900)), 40, '0') end as implementation_address from supplier"""
+)
+def proxy_first(spark, sf_dir):
+    """Of several implementations the first on file counts, though a later one is smaller."""
+    folder, key = fresh_path(spark, "proxies"), F.col("s_suppkey")
+    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    hexed = lambda n: F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(n)), 40, "0"))
+    for name, more in (("a", 900), ("b", 1), ("c", 2000)):
+        pairs = supplier.select(hexed(key).alias("address"), F.when(key % 2 == 1, hexed(key + more)).otherwise("None").alias("implementation_address"))
+        pairs.coalesce(1).write.option("header", True).csv(f"{folder}/{name}")
+    links = reference_data.proxy_pairs(spark, f"{folder}/*")
+    return lookups.with_implementation(supplier.select(hexed(key).alias("address")), links)
+
+
 # Streams.
 
 def _landed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
