@@ -64,6 +64,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{work_folder(spark)}/{application}/{label}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the file system it is in; without one, that
+    of Spark's default file system, not the disk of the machine that opens it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
