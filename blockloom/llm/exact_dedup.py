@@ -32,6 +32,8 @@ from .common import SPACES, one_spaced, table
 #: Bytes in a block.
 BLOCK = 512
 KEY = ["doc_id", "text_hash"]
+#: Places over which the rows of a group of copies are spread.
+SALTS = 16
 
 
 def _same(left: str, right: str, names: list[str]) -> Column:
@@ -114,10 +116,20 @@ def groups(docs: DataFrame, block: int = BLOCK, block_hash: Callable[[Column], C
     rows, known = identities(docs, block, block_hash)
     rows, known = rows.alias("r"), known.alias("i")
     rows = stage(rows.join(known, _same("r", "i", KEY)).select("r.*", "i.level", "i.name"), "identities")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("text_hash")))
-    kept = rows.groupBy("level", "name").agg(first.alias("keep"), F.sum("rows").alias("group_size"))
-    return rows.join(kept, ["level", "name"]).select(
-        *KEY, "rows", "text_sha256", F.col("keep.doc_id").alias("keep_id"), F.col("keep.text_hash").alias("keep_hash"), "group_size"
+    # Equal texts have one hash, so the least id is all there is to find; max and min pass over nulls.
+    kept = rows.groupBy("level", "name").agg(F.min("doc_id").alias("keep_id"), F.sum("rows").alias("group_size"), F.count(F.lit(1)).alias("_members"))
+    # A row alone in its group needs no join; the others meet their group in one of SALTS places.
+    some = kept.where("_members > 1").select("level", "name", "keep_id", F.col("group_size").alias("_size"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(SALTS)).cast("int"))
+    found = salted.join(some, ["level", "name", "_salt"], "left")
+    alone = F.col("_size").isNull()
+    return found.select(
+        *KEY,
+        "rows",
+        "text_sha256",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.col("text_hash").alias("keep_hash"),
+        F.coalesce("_size", "rows").alias("group_size"),
     )
 
 
