@@ -21,6 +21,7 @@ import random
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .common import ranked, table, word_count
 
 #: Weights of the sources in code-point order, repeating.
@@ -59,12 +60,14 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -
 
 def plan(docs: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES, seed: int = SEED) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken, row_hash) per row of ``docs``."""
-    sized = docs.select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64(*[F.col(f"`{c}`") for c in sorted(docs.columns)]).alias("row_hash")
+    # The only look at the texts; all that follows reads these few columns.
+    sized = stage(
+        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64(*[F.col(f"`{c}`") for c in sorted(docs.columns)]).alias("row_hash")),
+        "sizes",
     )
     walk = [F.col("size").desc(), F.col("doc_id").asc_nulls_last(), F.col("row_hash")]
     rows = ranked(sized, ["source"], walk, "mix").alias("d")
-    targets = source_targets(docs.select("source", word_count(F.col("text")).alias("size")), weights, most).alias("t")
+    targets = source_targets(sized, weights, most).alias("t")
     rows = rows.join(targets, F.col("d.source").eqNullSafe(F.col("t.source")))
     rows = rows.select("d.doc_id", "d.source", "d.size", "d.row_hash", "d.rank", "t.source_size", "t.target")
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -77,7 +80,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES, seed: int = S
     """The documents themselves, each as often as the plan says."""
     key = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(docs.columns)])
     names = docs.columns
-    decided = plan(docs, weights, most, seed).groupBy("doc_id", "row_hash").agg(F.count(F.lit(1)).alias("_rows"), F.sum("copies").alias("_copies")).alias("p")
+    decided = plan(docs, weights, most, seed).groupBy("doc_id", "row_hash").agg(F.count(F.lit(1)).alias("_rows"), F.sum("copies").alias("_copies"))
+    decided = stage(decided, "copies").alias("p")
     d = docs.withColumn("_key", key).alias("d")
     joined = d.join(
         decided.where(F.col("_copies") > 0),
