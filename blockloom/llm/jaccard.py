@@ -246,14 +246,44 @@ def _in_blocks(rows: DataFrame, key: str, size: Column, block: int = BLOCK) -> D
     return rows.select(*[c for c in rows.columns if not c.startswith("_")], i, j)
 
 
+def _by_size(members: DataFrame, least: tuple[int, int], block: int = BLOCK) -> DataFrame:
+    """(token, part, over, i, j, node, n): the groups that members (token,
+    sets, node, n) of a token are walked in.
+
+    Members of one block are one group. More are parted by size, in steps of
+    the least similarity: sets of two sizes can be similar only if these lie
+    in one step or in neighbouring ones, so blocks meet blocks of their own
+    step and of the next, and those further apart never move.
+    """
+    num, den = least
+    few = members.where(F.col("sets") <= block).select("token", *[F.lit(0).alias(c) for c in ("part", "over", "i", "j")], "node", "n")
+    # A trifle wider than the similarity, so that rounding parts no two sets that may be similar.
+    step = F.floor(F.log(F.col("n").cast("double")) / (float(np.log(den / num)) + 1e-6)).cast("int") if num < den else F.hash("n")
+    many = members.where(F.col("sets") > block).withColumn("_step", step)
+    sizes = many.groupBy("token", "_step").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_blocks"))
+    # As many entries a token as there are steps of size.
+    sizes = sizes.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("_step", "_blocks"))).alias("_sizes"))
+    many = many.join(sizes, "token")
+    blocks = lambda k: F.coalesce(F.try_element_at("_sizes", F.col("_step") + k), F.lit(0))
+    each = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    own = F.pmod(F.xxhash64(F.lit(17), "node"), blocks(0)).cast("int")
+    place = lambda part, over, i, j: F.struct(part.alias("part"), F.lit(over).alias("over"), i.alias("i"), j.alias("j"))
+    many = many.withColumn("_own", own)
+    here = F.transform(each(blocks(0)), lambda o: place(F.col("_step"), 0, F.least("_own", o), F.greatest("_own", o)))
+    above = F.transform(each(blocks(1)), lambda o: place(F.col("_step"), 1, F.col("_own"), o))
+    below = F.transform(each(blocks(-1)), lambda o: place(F.col("_step") - 1, 1, o, F.col("_own")))
+    many = many.select("token", F.inline(F.concat(here, above, below)), "node", "n")
+    return few.unionByName(many)
+
+
 def _grouped(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys)
 
 
 def signatures(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST) -> DataFrame:
-    """(doc_id, n, sum_a, sum_b, first, bits) per document: size, two sums that
-    tell sets apart, the first tokens in the common order, and the bitmap."""
-    docs = docs.select("doc_id", "text")
+    """(doc_id, text_hash, n, sum_a, sum_b, first, bits) per document: size, two
+    sums that tell sets apart, the first tokens in the common order, and the bitmap."""
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
 
     def all_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = kept(("shingle words",), _Hashes)
@@ -291,15 +321,16 @@ def signatures(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEA
                     first.append(tokens_in_order[: n - -(-num * n // den) + 1 + n // more].view(np.int64))
                     bits.append(bitmap(tokens).tobytes() if n else b"")
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(size, pa.int64()), pa.array(sum_a, pa.int64()), pa.array(sum_b, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                    names=["doc_id", "n", "sum_a", "sum_b", "first", "bits"],
+                    [batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(sum_a, pa.int64()), pa.array(sum_b, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                    names=["doc_id", "text_hash", "n", "sum_a", "sum_b", "first", "bits"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, n long, sum_a long, sum_b long, first array<long>, bits binary")
+    return docs.mapInArrow(run, f"doc_id {kind}, text_hash long, n long, sum_a long, sum_b long, first array<long>, bits binary")
 
 
 SET = ["n", "sum_a", "sum_b"]
+GROUP = ["token", "part", "over", "i", "j"]
 
 
 def more_tokens(least: tuple[int, int]) -> int:
@@ -351,12 +382,11 @@ def possible_links(sets: DataFrame, least: tuple[int, int]) -> DataFrame:
     tokens = live.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), mark(1).alias("x"), mark(2).alias("y")).where("sets > 1")
     # Tokens with the same sets are one group.
     tokens = stage(tokens.groupBy("sets", "x", "y").agg(F.min("token").alias("token")).select("token", "sets"), "groups")
-    members = stage(live.join(tokens, "token"), "members")
-    rows = members.join(sets.select("node", "n", "bits"), "node")
-    rows = _in_blocks(rows, "token", F.col("sets")).select("token", "i", "j", "node", "n", "bits")
+    members = stage(live.join(tokens, "token").join(sets.select("node", "n"), "node"), "members")
+    rows = _by_size(members, least).join(sets.select("node", "bits"), "node")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _runs(batches, ["token", "i", "j"]):
+        for group in _runs(batches, GROUP):
             if group.num_rows < 2:
                 continue
             # In the order of nodes, so that stars of different groups have the same centre.
@@ -368,7 +398,7 @@ def possible_links(sets: DataFrame, least: tuple[int, int]) -> DataFrame:
             if len(own):
                 yield pa.RecordBatch.from_arrays([pa.array(node[own]), pa.array(node[label[own]])], names=["a", "b"])
 
-    return _grouped(rows, ["token", "i", "j"]).mapInArrow(walk, "a long, b long")
+    return _grouped(rows, GROUP).mapInArrow(walk, "a long, b long")
 
 
 def _checked(rows: DataFrame, least: tuple[int, int]) -> DataFrame:
@@ -392,11 +422,12 @@ def checked_links(docs: DataFrame, sets: DataFrame, clusters: DataFrame, words:
     """(a, b): links that connect the nodes of each cluster (node, component)
     as all links between them would."""
     clusters = clusters.withColumnRenamed("component", "cluster")
-    wanted = stage(clusters.join(sets.select("node", "doc_id", *SET), "node"), "wanted")
+    wanted = stage(clusters.join(sets.select("node", "doc_id", "text_hash", *SET), "node"), "wanted")
     total = wanted.count()
     side = F.broadcast(wanted) if total <= BROADCAST_ROWS else wanted
-    d, w = docs.select("doc_id", "text").alias("d"), side.alias("w")
-    rows = d.join(w, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))).select("w.cluster", "w.node", *[f"w.{c}" for c in SET], "d.text")
+    d, w = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).alias("d"), side.alias("w")
+    same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.text_hash") == F.col("w.text_hash"))
+    rows = d.join(w, same).select("w.cluster", "w.node", *[f"w.{c}" for c in SET], "d.text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = kept(("shingle words",), _Hashes)
@@ -449,9 +480,9 @@ def join(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST, bl
     smallest doc_id of the component."""
     rows = stage(signatures(docs, words, least), "signatures")
     some = rows.where("n > 0")
-    least_id = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id"))
+    least_id = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     distinct = some.groupBy(*SET).agg(least_id.alias("id"), F.first("first").alias("first"), F.first("bits").alias("bits"))
-    sets = stage(distinct.select(*SET, F.col("id.doc_id").alias("doc_id"), "first", "bits", F.monotonically_increasing_id().alias("node")), "classes")
+    sets = stage(distinct.select(*SET, F.col("id.doc_id").alias("doc_id"), F.col("id.text_hash").alias("text_hash"), "first", "bits", F.monotonically_increasing_id().alias("node")), "classes")
     clusters = stage(components(possible_links(sets, least)), "clusters")
     found = components(checked_links(docs, sets, clusters, words, least, block))
     named = stage(found.join(sets.select("node", "doc_id", *SET), "node"), "named")

@@ -116,3 +116,37 @@ def test_components_of_a_long_chain(spark):
     edges = spark.range(60).selectExpr("id as a", "id + 1 as b").union(spark.sql("select 100L, 101L")).union(spark.sql("select 7L, 7L"))
     got = {r.node: r.component for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+def test_sizes_that_may_be_similar_meet_in_blocks(spark):
+    rng = np.random.default_rng(8)
+    sizes = [int(n) for n in rng.integers(1, 120, 150)] + [9, 10, 90, 100, 81, 72, 80, 64, 1, 1]
+    members = spark.createDataFrame([(7, len(sizes), i, n) for i, n in enumerate(sizes)] + [(8, 2, 0, 5), (8, 2, 1, 500)], "token long, sets long, node long, n long")
+    for least in ((90, 100), (80, 100), (100, 100)):
+        groups = {}
+        for r in J._by_size(members, least, block=8).collect():
+            groups.setdefault((r.token, r.part, r.over, r.i, r.j), []).append((r.node, r.n))
+        assert all(len({x for x, _ in g}) == len(g) for g in groups.values())
+        met = {(a, b) for (token, *_), g in groups.items() for a, _ in g for b, _ in g if token == 7}
+        for a, n in enumerate(sizes):
+            for b, m in enumerate(sizes):
+                if 100 * min(n, m) >= least[0] * max(n, m):
+                    assert (a, b) in met
+        assert sorted(x for (token, *_), g in groups.items() for x, _ in g if token == 8) == [0, 1]
+
+
+def test_a_token_of_many_sets_moves_few_of_them_often(spark):
+    """20,000 sets share a token; blocks of sizes too far apart to be similar never meet."""
+    members = spark.range(20_000).selectExpr("7L as token", "20000L as sets", "id as node", "20 + pmod(xxhash64(id), 2000) as n")
+    moved = J._by_size(members, (90, 100)).count()
+    assert moved < 0.35 * 20_000 * (20_000 / J.BLOCK)
+
+
+def test_rows_without_an_id_meet_their_own_text_alone(documents):
+    rows = [(None, f"row {i} without an id but with words of its own {i * i}") for i in range(300)] + [(None, "row 5 without an id but with words of its own 25")] * 3
+    got = J.join(documents(rows), 3, (90, 100)).collect()
+    assert len(got) == 303 and all(r.component_id is None for r in got)
+    made = {}
+    for r in got:
+        made.setdefault((r.component_n, r.component_sum_a, r.component_sum_b), []).append(r)
+    assert sorted(len(x) for x in made.values()) == [1] * 299 + [4]
