@@ -37,6 +37,8 @@ SIZE = 1024
 FIT_ROWS = 20_000
 #: What a unit vector's components are multiplied by before they are rounded and summed up.
 GRAIN = 1 << 20
+#: Standard deviations of chance cosines that a text in a learned language is above 0.
+CHANCE = 3.0
 SEED = 11
 UNKNOWN = "und"
 #: Texts and letters in one matrix product; longer texts are summed up over parts.
@@ -189,15 +191,22 @@ def identify(docs: DataFrame, languages: list[str], vectors: np.ndarray, column:
     return others.mapInArrow(run, schema)
 
 
-def known_language(docs: DataFrame, most: int = FIT_ROWS) -> DataFrame:
-    """The rows with a language, all columns as they were; ``und`` rows go. If
-    nothing was learned, only null texts and texts without a letter go."""
+def known_language(docs: DataFrame, most: int = FIT_ROWS, chance: float = CHANCE) -> DataFrame:
+    """The rows in a language that was learned, all columns as they were.
+
+    Vectors that have nothing to do with each other have cosines spread round
+    0 by ``1 / sqrt(SIZE)``. A text whose best cosine is not ``chance`` such
+    deviations above 0 shares no more letter triples with any language than
+    chance gives: it is in none of them and goes, like null texts and those
+    without a letter. If nothing was learned, only the latter go.
+    """
     languages, vectors = fit(docs, most)
+    least = chance / np.sqrt(SIZE) if languages else 0.0
     if not languages:
         # Any profile tells texts with letters from those without.
         languages, vectors = ["any"], np.zeros((1, SIZE))
     named = identify(docs.withColumnRenamed("score", "_score").withColumnRenamed("lang_pred", "_lang_pred"), languages, vectors)
-    named = named.where(F.col("lang_pred") != UNKNOWN).drop("lang_pred", "score")
+    named = named.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= float(least))).drop("lang_pred", "score")
     return named.withColumnRenamed("_score", "score").withColumnRenamed("_lang_pred", "lang_pred").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
