@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import fresh_path, stage
+from ..session import fresh_path, qualified, stage
 from .common import kept, table
 
 END_ID = 2
@@ -216,7 +216,7 @@ def write(docs: DataFrame, folder: str, files: int | None = None, path: str | No
     task that runs again replaces its file by an equal one.
     """
     spark = docs.sparkSession
-    path = path or model_path()
+    path, folder = path or model_path(), qualified(docs.sparkSession, folder)
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = docs.select(F.col("doc_id").cast("long")).approxQuantile("doc_id", [i / files for i in range(1, files)], 0.1 / files) if files > 1 else []
     cuts = sorted({int(c) for c in cuts})
@@ -260,6 +260,7 @@ def _place(doc_id, cuts: list[int], low: int, high: int):
 
 def read(files: DataFrame, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of all documents in ``files``, one task a file."""
+    folder = qualified(files.sparkSession, folder)
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.withColumn("_before", F.coalesce(F.sum("ids").over(before), F.lit(0)))
     n = max(files.count(), 1)
