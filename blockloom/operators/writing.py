@@ -15,7 +15,6 @@ from .ranges import covered, merged
 PARTITIONS = ["chainid", "block_bucket"]
 #: Who a mark is kept for, where the table has the columns.
 MARKED = ("chainid", "address")
-SMALL_FETCH_ROWS = 2_000_000
 #: Files below this size are worth packing.
 FILE_BYTES = 64 * 1024 * 1024
 LEDGER_KEYS = ["table", "contract_address", "chainid"]
@@ -97,6 +96,9 @@ def append_new(
     stored = stored_table(spark, path, staged.schema)
     marks = _marks(spark, path) if stored is not None else None
     compared, rows = _to_compare(staged, marks)
+    if stored is not None and not rows:
+        unstage(staged)
+        return 0
     if stored is None or marks is not None:
         _mark(staged, path)
     overlap = staged.limit(0) if stored is None else in_partitions(stored, compared)
@@ -105,9 +107,7 @@ def append_new(
     elif stored is None or not compared:
         fresh = staged.dropDuplicates()
     else:
-        if rows <= SMALL_FETCH_ROWS:
-            overlap = possible_copies(overlap, staged)
-        fresh = new_rows(staged, overlap)
+        fresh = new_rows(staged, possible_copies(overlap, staged, rows))
     added = write_table(fresh, path, sort, mode="append", bloom=bloom)
     unstage(staged)
     return added

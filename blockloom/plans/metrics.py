@@ -250,15 +250,18 @@ def typed_price(prices: DataFrame) -> DataFrame:
 def price_ohlc(prices: DataFrame, keys: list[str], period: str = "1 day") -> DataFrame:
     """Open, high, low, close per key and tumbling window.
 
-    Points of one instant are ordered by price, so results repeat. The four
-    aggregates combine map-side; a token with most of the points is no
-    bottleneck.
+    Points of one instant are ordered by price, so results repeat. First the
+    points of an instant become its least and greatest price, then instants
+    become bars: plain numbers in hash aggregates that combine before they
+    move, so a token with most of the points is no bottleneck.
     """
-    at = F.struct("timestamp", "price")
-    bars = prices.groupBy(*keys, F.window("timestamp", period).alias("_w")).agg(
-        F.min(at)["price"].alias("open"),
-        F.max("price").alias("high"),
-        F.min("price").alias("low"),
-        F.max(at)["price"].alias("close"),
+    window = F.window("timestamp", period).alias("_w")
+    instants = prices.select(*keys, window, "timestamp", "price").groupBy(*keys, "_w", "timestamp")
+    instants = instants.agg(F.min("price").alias("_low"), F.max("price").alias("_high"))
+    bars = instants.groupBy(*keys, "_w").agg(
+        F.min_by("_low", "timestamp").alias("open"),
+        F.max("_high").alias("high"),
+        F.min("_low").alias("low"),
+        F.max_by("_high", "timestamp").alias("close"),
     )
     return bars.select(*keys, F.col("_w.start").alias("timestamp"), "open", "high", "low", "close")

@@ -62,6 +62,27 @@ def row_count(spark: SparkSession, name: str) -> int:
     return spark.table(name).count() if table_exists(spark, name) else 0
 
 
+def stored_extent(spark: SparkSession, path: str, partitions: tuple[str, ...] = ("chainid", "block_bucket")) -> DataFrame:
+    """Rows and first and last block of each partition of a Parquet table,
+    from the files' footers: no row is read.
+
+    Counts and bounds are pushed into the newer Parquet reader, which a session
+    of its own switches on. One row per partition comes back through the driver.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    found = extent_of(own.read.parquet(path), partitions)
+    types = {f.name: f.dataType.simpleString() for f in found.schema}
+    return spark.createDataFrame([tuple(r) for r in found.collect()], ", ".join(f"{n} {t}" for n, t in types.items()))
+
+
+def extent_of(table: DataFrame, partitions: tuple[str, ...] = ("chainid", "block_bucket")) -> DataFrame:
+    return table.groupBy(*partitions).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("block_number").alias("first_block"), F.max("block_number").alias("last_block")
+    )
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,

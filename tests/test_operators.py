@@ -80,14 +80,25 @@ def test_new_rows_is_one_hash_aggregate(spark):
 def test_possible_copies_keep_every_match(spark):
     stored = spark.createDataFrame([(1, None), (2, "b"), (3, "c"), (None, None)], "a int, b string")
     fetched = spark.createDataFrame([(1, None), (2, "x"), (None, None)], "a int, b string")
-    kept = dedup.possible_copies(stored, fetched)
+    kept = dedup.possible_copies(stored, fetched, 3)
     assert rows(kept) == sorted([(1, None), (None, None)], key=repr)
     assert rows(dedup.new_rows(fetched, kept)) == rows(dedup.new_rows(fetched, stored)) == [(2, "x")]
 
 
-def test_append_without_prefilter_agrees(spark, monkeypatch):
+def test_the_sketch_keeps_rows_that_cannot_match_out(spark):
+    stored = spark.range(40_000).select("id", F.concat(F.lit("x"), F.col("id")).alias("b"))
+    fetched = stored.where("id % 4 = 0")
+    kept = dedup.possible_copies(stored, fetched, 10_000)
+    assert kept.where("id % 4 = 0").count() == 10_000 and kept.where("id % 4 > 0").count() < 3_000
+    # However many rows are fetched, the sketch has no more words than its size allows.
+    assert dedup.sketch_bits(10**12) == dedup.MOST_BITS
+    plan = plan_text(dedup.new_rows(fetched, kept))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_appends_with_a_full_sketch_agree(spark, monkeypatch):
     path = fresh_path(spark, "table")
-    monkeypatch.setattr(writing, "SMALL_FETCH_ROWS", 0)
+    monkeypatch.setattr(dedup, "MOST_BITS", 64)
     assert writing.append_new(sample_logs(spark, 0, 300), path, ["address"]) == 300
     assert writing.append_new(sample_logs(spark, 200, 400), path, ["address"]) == 100
     assert writing.append_new(sample_logs(spark, 0, 0), path, ["address"]) == 0
@@ -405,3 +416,16 @@ def test_fifty_appends_are_packed(spark):
     stored = spark.read.parquet(path).select(rows.columns)
     assert stored.exceptAll(rows).isEmpty() and stored.count() == 2000
     assert writing.compact(spark, path, ["address", "block_number"]) == 0
+
+
+def test_extents_come_from_footers(spark):
+    path = fresh_path(spark, "extent")
+    writing.append_new(sample_logs(spark, 0, 300), path, ["address"])
+    writing.append_new(sample_logs(spark, 300, 400), path, ["address"])
+    got = rows(tables.stored_extent(spark, path).select("rows", "first_block", "last_block"))
+    assert got == rows(tables.extent_of(spark.read.parquet(path)).select("rows", "first_block", "last_block"))
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    plan = tables.extent_of(own.read.parquet(path))._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PushedAggregation: [COUNT(*), MIN(block_number), MAX(block_number)]" in plan

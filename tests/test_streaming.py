@@ -75,7 +75,7 @@ def test_rows_beyond_what_is_stored_need_no_look_at_the_table(spark, monkeypatch
     for a, b, new in ((0, 100, 100), (100, 200, 100), (200, 200, 0), (150, 250, 50), (250, 260, 10), (0, 5, 0)):
         assert writing.append_new(rows(a, b), path, ["block_number"]) == new
     # Only the two fetches that reach back were compared with a partition.
-    assert [bool(x) for x in looked] == [False, False, True, False, True]
+    assert [bool(x) for x in looked] == [False, True, False, True]
     assert spark.read.parquet(path).count() == 260
 
 
@@ -89,4 +89,5 @@ def test_state_lets_no_row_through_twice_and_loses_none(spark):
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
     ingest.append_available(rows, out, checkpoint, ["address"], each=lambda df: seen.append(df.count()) or df)
     assert sorted(r.block_number for r in spark.read.parquet(out).collect()) == [1, 2, 3, 5, 6, 7, 1_000_000]
-    assert sorted(seen) == [1, 2, 2, 2]
+    # A last micro-batch without rows lets go of old state.
+    assert sorted(n for n in seen if n) == [1, 2, 2, 2]

@@ -1153,6 +1153,19 @@ def upsert_newest(spark, sf_dir):
     return spark.read.parquet(path).select("chainid", "hash", "value", "confirmations")
 
 
+@query(
+    """select chainid, block_number // 100000 as block_bucket, count(*) as rows, min(block_number) as first_block, max(block_number) as last_block
+from logs group by 1, 2""",
+    "logs",
+)
+def stored_extent(spark, sf_dir):
+    """Counts and bounds of a stored table's partitions, from footers alone."""
+    path = fresh_path(spark, "extent")
+    writing.write_table(fixture(spark, sf_dir, "logs"), path, ["address", "block_number"])
+    found = tables.stored_extent(spark, path)
+    return found.withColumns({c: F.col(c).cast("bigint") for c in ("chainid", "block_bucket")})
+
+
 # Catalog tables.
 
 @query("select true as exists_after, false as exists_before, count(*) as row_count, 0::bigint as rows_before from logs", "logs")
