@@ -95,11 +95,11 @@ def append_new(
     staged = stage(fetched.withColumn("block_bucket", block_bucket(F.col("block_number"))), "fetched")
     stored = stored_table(spark, path, staged.schema)
     marks = _marks(spark, path) if stored is not None else None
-    compared, rows = _to_compare(staged, marks)
+    compared, rows, beyond = _to_compare(staged, marks)
     if stored is not None and not rows:
         unstage(staged)
         return 0
-    if stored is None or marks is not None:
+    if stored is None or (marks is not None and beyond):
         _mark(staged, path)
     overlap = staged.limit(0) if stored is None else in_partitions(stored, compared)
     if identity is not None:
@@ -129,8 +129,9 @@ def _mark(fetched: DataFrame, path: str) -> None:
     reached.write.mode("append").parquet(f"{path}_marks")
 
 
-def _to_compare(staged: DataFrame, marks: DataFrame | None) -> tuple[list[tuple], int]:
-    """The partitions with rows that may be stored already, and the fetched rows in all."""
+def _to_compare(staged: DataFrame, marks: DataFrame | None) -> tuple[list[tuple], int, int]:
+    """The partitions with rows that may be stored already, the fetched rows in
+    all, and those beyond their contract's mark."""
     beyond = F.lit(False)
     rows = staged
     if marks is not None:
@@ -139,7 +140,8 @@ def _to_compare(staged: DataFrame, marks: DataFrame | None) -> tuple[list[tuple]
         rows = staged.join(m, _same({c: f"_{c}" for c in keys}), "left")
         beyond = F.coalesce(F.col("block_number") > F.coalesce("max_block", F.lit(-1)), F.lit(False))
     found = rows.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("n"), F.count_if(~beyond).alias("known")).collect()
-    return [(r["chainid"], r["block_bucket"]) for r in found if r["known"]], sum(r["n"] for r in found)
+    rows, known = sum(r["n"] for r in found), sum(r["known"] for r in found)
+    return [(r["chainid"], r["block_bucket"]) for r in found if r["known"]], rows, rows - known
 
 
 def upsert(

@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.parquet.compression.codec": "zstd",
     # Keys of streams live on the executors' disks instead of their heaps.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A trigger saves what changed, not all keys; old keys go with the next rows.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     # Larger generated methods are not compiled by HotSpot and run two times
     # slower than the plain operators this makes Spark use instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",

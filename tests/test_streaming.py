@@ -89,5 +89,4 @@ def test_state_lets_no_row_through_twice_and_loses_none(spark):
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
     ingest.append_available(rows, out, checkpoint, ["address"], each=lambda df: seen.append(df.count()) or df)
     assert sorted(r.block_number for r in spark.read.parquet(out).collect()) == [1, 2, 3, 5, 6, 7, 1_000_000]
-    # A last micro-batch without rows lets go of old state.
     assert sorted(n for n in seen if n) == [1, 2, 2, 2]

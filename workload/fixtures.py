@@ -14,7 +14,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockloom.session import fresh_path
+from blockloom.session import fresh_path, stage
 from blockloom.sources.tables import spread
 
 TRANSFER = "0xddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3ef"
@@ -221,6 +221,7 @@ def prepare(spark: SparkSession, sf_dir: str) -> None:
         path = fresh_path(spark, f"fixture-{name}")
         fixture(spark, sf_dir, name).write.parquet(path)
         PREPARED[sf_dir, name] = path
+    PREPARED[sf_dir, "landed"] = landed_folder(spark, sf_dir)
     made = {"log_pages": log_pages(spark, sf_dir), "good_log_pages": log_pages(spark, sf_dir, rejects=False), "transaction_pages": transaction_pages(spark, sf_dir)}
     for name, pages in made.items():
         path = fresh_path(spark, name)
@@ -291,6 +292,17 @@ def log_pages(spark: SparkSession, sf_dir: str, rejects: bool = True) -> DataFra
     )
 
 
+def landed_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A folder that all pages landed in twice, in three files each, the last blocks first."""
+    if (sf_dir, "landed") in PREPARED:
+        return PREPARED[sf_dir, "landed"]
+    folder = fresh_path(spark, "landing")
+    pages = stage(log_pages(spark, sf_dir), "pages")
+    pages.orderBy(F.desc("page")).repartition(3).write.json(folder)
+    pages.repartition(3).write.mode("append").json(folder)
+    return folder
+
+
 def odd_log_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of 1,000 events, each a range of its own; by the remainder of
     seven cut off (2), with a broken element (3), empty (4), of an unknown

@@ -1270,11 +1270,7 @@ def proxy_first(spark, sf_dir):
 
 def _landed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages landed twice, the last blocks first, in many triggers."""
-    folder = fresh_path(spark, "landing")
-    pages = stage(fixtures.log_pages(spark, sf_dir), "pages")
-    pages.orderBy(F.desc("page")).repartition(3).write.json(folder)
-    pages.repartition(3).write.mode("append").json(folder)
-    return landing.stream_pages(spark, folder, files_per_trigger=2)
+    return landing.stream_pages(spark, fixtures.landed_folder(spark, sf_dir), files_per_trigger=2)
 
 
 @query(
