@@ -5,8 +5,8 @@ writes as Parquet in the shared folder and reads again for the next one. All
 stages but the last return the columns of documents.
 
 Nulls and ties: a document goes in the first stage if its text is null, has no
-letter or is in no learned language; without any language to learn, those in a
-language of their own stay. Null ids are larger than any other and null
+letter or is in no learned language; if there is none to learn, the first two
+kinds go. Null ids are larger than any other and null
 sources are a source. Of equal texts, and of near copies, the smallest id
 stays; of rows that repeat an id and a text, the least row by all columns.
 Rows that are equal altogether share their copies in the mix. An empty table
