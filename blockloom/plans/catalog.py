@@ -265,12 +265,29 @@ def _head_bytes(kind: str) -> int | None:
     return None if kind in ("string", "bytes") else 32
 
 
+#: Values that event data may hold for each of its words: offsets may share what they point at.
+MOST_SHARED = 64
+
+
+def _plain_value(word: bytes, kind: str) -> str:
+    """What :func:`_values_of_kind` makes of one word."""
+    if kind == "address":
+        return "0x" + word[12:].hex()
+    if kind == "bool":
+        return "true" if any(word) else "false"
+    if kind.startswith(("uint", "int")):
+        return str(int.from_bytes(word, signed=kind.startswith("int")))
+    if kind.startswith("bytes"):
+        return "0x" + word[: int(kind.removeprefix("bytes"))].hex()
+    return "0x" + word.hex()
+
+
 class _Data:
-    """Event data; each of its words stands for one value at most, which
-    bounds what offsets that point at each other can ask for."""
+    """Event data. Offsets that point at each other cannot ask for more values
+    than ``MOST_SHARED`` a word."""
 
     def __init__(self, data: bytes) -> None:
-        self.data, self.left = data, len(data) // 32 + 1
+        self.data, self.left = data, MOST_SHARED * (len(data) // 32 + 1)
 
     def word(self, at: int) -> bytes:
         self.left -= 1
@@ -279,10 +296,14 @@ class _Data:
             raise ValueError("data ends too early")
         return found
 
-    def read(self, kind: str, at: int, base: int) -> str | list:
-        """The value whose place is ``at``; offsets count from ``base``."""
+    def read(self, kind: str, at: int, base: int, heads: int = 0) -> str | list:
+        """The value whose place is ``at``; offsets count from ``base`` and
+        point behind its ``heads`` bytes."""
         if _head_bytes(kind) is None:
-            at = base + int.from_bytes(self.word(at))
+            offset = int.from_bytes(self.word(at))
+            if offset < heads:
+                raise ValueError("an offset points at an offset")
+            at = base + offset
         if kind.endswith("]"):
             item, size = _array_parts(kind)
             if size is None:
@@ -298,12 +319,13 @@ class _Data:
             if len(content) < size:
                 raise ValueError("data ends too early")
             return "0x" + content.hex()
-        return _values_of_kind(pa.array([self.word(at).hex()]), kind)[0].as_py()
+        return _plain_value(self.word(at), kind)
 
     def row(self, kinds: list[str], at: int) -> list:
         out, base = [], at
+        heads = sum(_head_bytes(kind) or 32 for kind in kinds)
         for kind in kinds:
-            out.append(self.read(kind, at, base))
+            out.append(self.read(kind, at, base, heads))
             at += _head_bytes(kind) or 32
         return out
 

@@ -124,16 +124,6 @@ def test_event_catalog_from_files(spark, tmp_path):
     assert got == sorted([("0xaa", *filled), ("0xaa", *empty), ("0xbb", *empty), ("0xbb", *filled), ("0xbb", *empty)])
 
 
-def test_tuples_of_any_depth_have_a_signature(spark):
-    deep = {"name": "x", "type": "uint8"}
-    for _ in range(3):
-        deep = {"name": "t", "type": "tuple", "components": [deep]}
-    events = [{"type": "event", "name": "Deep", "inputs": [deep]}]
-    text = json.dumps(events)
-    df = spark.createDataFrame([("0xa", text)], "address string, value string")
-    assert catalog.event_catalog(reference_data.abi_entries(df)).first().event_signature == "Deep((((uint8))))"
-
-
 def test_parameters_without_type_or_members_have_no_signature(spark):
     parts = [{"name": "t", "type": "tuple"}, {"name": "u"}, {"name": "v", "type": "tuple", "components": [{"name": "w", "type": "tuple[]"}]}]
     for part in parts:
@@ -190,6 +180,8 @@ def test_decoded_params_of_every_kind(spark):
         ("uint256[]", [32, 3, 7, 9], None),
         ("uint256[]", [1 << 200, 2, 7, 9], None),
         ("uint256[][]", [32, 2, 0, 0], None),
+        ("uint256[][]", [32, 2, 64, 64, 2, 7, 9], [["7", "9"], ["7", "9"]]),
+        ("int16[2][]", [32, 1, (1 << 256) - 3, 4], [["-3", "4"]]),
     ],
 )
 def test_arrays_and_tuples(kind, words, value):
@@ -388,3 +380,21 @@ def test_table_names(spark):
     names = landing.to_table_names(raw).columns
     assert {"hash", "from_address", "to_address", "gas_price", "time_stamp"} <= set(names)
     assert not [n for n in names if n != n.lower()]
+
+
+def test_data_that_asks_for_far_more_than_it_holds_is_refused():
+    """Nested lists whose items all point at one list multiply at each level."""
+    words = [32]
+    for level in range(6):
+        words += [8] + [8 * 32] * 8
+    words += [8] + [1] * 8
+    with pytest.raises(ValueError):
+        catalog._Data(bytes.fromhex("".join(word(w) for w in words))).read("uint256" + "[]" * 7, 0, 0)
+
+
+def test_plain_values_equal_those_of_columns():
+    import pyarrow as pa
+
+    words = [word(n) for n in (0, 1, 255, 1 << 200, (1 << 256) - 5)] + ["ab" * 32]
+    for kind in ("address", "bool", "uint8", "uint256", "int256", "bytes4", "bytes32", "function"):
+        assert [catalog._plain_value(bytes.fromhex(w), kind) for w in words] == catalog._values_of_kind(pa.array(words), kind).to_pylist()
