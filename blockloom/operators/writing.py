@@ -171,7 +171,11 @@ def upsert(
         unstage(staged)
         return added
     near = touched(stored, staged)
-    held = _semi(near, staged, keys).groupBy(*keys).agg(F.max(F.struct(*newest)).alias("_held"))
+    held = _semi(near, staged, keys).groupBy(*keys)
+    if len(newest) == 1:  # The greatest of one plain column needs no sorting.
+        held = held.agg(F.max(newest[0]).alias(newest[0])).withColumn("_held", F.struct(*newest))
+    else:
+        held = held.agg(F.max(F.struct(*newest)).alias("_held"))
     held = held.select(*[F.col(c).alias(f"_{c}") for c in keys], "_held")
     same = _same({c: f"_{c}" for c in keys})
     judged = staged.join(held, same, "left").withColumn("_newer", F.struct(*newest) > F.col("_held"))

@@ -429,3 +429,14 @@ def test_extents_come_from_footers(spark):
     own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
     plan = tables.extent_of(own.read.parquet(path))._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "PushedAggregation: [COUNT(*), MIN(block_number), MAX(block_number)]" in plan
+
+
+def test_null_newest_gives_way_and_stays_if_equal(spark):
+    path = fresh_path(spark, "table")
+    schema = "chainid long, hash string, block_number long, confirmations long"
+    fetch = lambda *rows: spark.createDataFrame([(1, h, 5, n) for h, n in rows], schema)
+    identity = (["chainid", "hash"], ["confirmations"])
+    assert writing.upsert(fetch(("0xa", None), ("0xa", None), ("0xb", 3), (None, 1)), path, ["block_number"], identity) == 3
+    assert writing.upsert(fetch(("0xa", 1), ("0xb", None), (None, 2), ("0xc", None)), path, ["block_number"], identity) == 1
+    found = {(r["hash"], r["confirmations"]) for r in spark.read.parquet(path).collect()}
+    assert found == {("0xa", 1), ("0xb", 3), (None, 2), ("0xc", None)}
