@@ -76,6 +76,7 @@ def append_new(
     sort: list[str],
     bloom: tuple[str, ...] = (),
     identity: tuple[list[str], list[str]] | None = None,
+    staged: bool = False,
 ) -> int:
     """Append the fetched rows the table does not hold yet; returns how many.
 
@@ -90,14 +91,23 @@ def append_new(
     look at the table. Marks are written before the rows, so after a failure
     they are too high at most, which costs a comparison and loses nothing.
     A table that something else began has no marks and is always compared.
+    Rows that are ``staged`` already are read several times from there.
     """
     spark = fetched.sparkSession
-    staged = stage(fetched.withColumn("block_bucket", block_bucket(F.col("block_number"))), "fetched")
+    bucketed = fetched.withColumn("block_bucket", block_bucket(F.col("block_number")))
+    if not staged:
+        kept = stage(bucketed, "fetched")
+        added = _append(spark, kept, path, sort, bloom, identity)
+        unstage(kept)
+        return added
+    return _append(spark, bucketed, path, sort, bloom, identity)
+
+
+def _append(spark: SparkSession, staged: DataFrame, path: str, sort: list[str], bloom: tuple[str, ...], identity: tuple[list[str], list[str]] | None) -> int:
     stored = stored_table(spark, path, staged.schema)
     marks = _marks(spark, path) if stored is not None else None
     compared, rows, beyond = _to_compare(staged, marks)
     if stored is not None and not rows:
-        unstage(staged)
         return 0
     if stored is None or (marks is not None and beyond):
         _mark(staged, path)
@@ -108,9 +118,7 @@ def append_new(
         fresh = staged.dropDuplicates()
     else:
         fresh = new_rows(staged, possible_copies(overlap, staged, rows))
-    added = write_table(fresh, path, sort, mode="append", bloom=bloom)
-    unstage(staged)
-    return added
+    return write_table(fresh, path, sort, mode="append", bloom=bloom)
 
 
 def _marked_by(df: DataFrame) -> list[str]:

@@ -28,14 +28,12 @@ from ..session import stage, unstage
 from ..sources.landing import (
     RANGE,
     incomplete_ranges,
-    logs_from_pages,
     merged_state,
-    page_state,
+    opened_pages,
+    opened_state,
     range_state,
     read_pages,
-    transactions_from_pages,
-    warehouse_logs,
-    warehouse_transactions,
+    typed_elements,
 )
 from ..sources.tables import block_bucket
 
@@ -122,18 +120,20 @@ def _literal(path: str) -> str:
 def load_pages(pages: DataFrame, table: str, ledger: str, kind: str = "logs", page_rows: int = PAGE_ROWS) -> Load:
     """Take in pages, those of a folder or of a stream's micro-batch.
 
-    Each page leaves one row of state beside the ledger. The ranges that the
+    The pages' JSON is read once, for rows and state. Each page leaves one row of state beside the ledger. The ranges that the
     pages belong to are judged by that state, old pages included, which is
     read from the partitions of these ranges alone. Ranges with a page that is
     refused, missing or malformed are ledgered as open, the others as whole,
     and open ranges that whole ones cover together are settled. All of it can
     be run again: state merges, and the newest entry of a range counts.
     """
+    opened = stage(typed_elements(opened_pages(pages, ELEMENT[kind]), kind), "opened")
+    rows = opened.where("_page.sound").drop("_page")
     if kind == "logs":
-        added = append_new(warehouse_logs(logs_from_pages(pages)), table, SORT[kind], BLOOM[kind])
+        added = append_new(rows, table, SORT[kind], BLOOM[kind], staged=True)
     else:
-        added = upsert(warehouse_transactions(transactions_from_pages(pages)), table, SORT[kind], IDENTITY[kind], BLOOM[kind])
-    state = with_chain_id(page_state(pages.withColumn("address", F.lower("address")), ELEMENT[kind]), how="left")
+        added = upsert(rows, table, SORT[kind], IDENTITY[kind], BLOOM[kind])
+    state = with_chain_id(merged_state(opened_state(opened).withColumn("address", F.lower("address"))), how="left")
     state = state.withColumns({"kind": F.lit(kind), "block_bucket": block_bucket(F.col("from_block"))}).select(STATE.fieldNames())
     state = stage(state, "page-state")
     state.write.mode("append").partitionBy("kind", *PARTITIONS).parquet(f"{ledger}_pages")
@@ -150,7 +150,7 @@ def load_pages(pages: DataFrame, table: str, ledger: str, kind: str = "logs", pa
     settled = stage(settled_failures(_of_contracts(entries, _ledger_rows(judged, kind))), "settled")
     if not settled.isEmpty():
         resolve_failures(settled, ledger)
-    for part in (state, asked, judged, settled):
+    for part in (opened, state, asked, judged, settled):
         unstage(part)
     return Load(added, failed)
 

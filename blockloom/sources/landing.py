@@ -59,13 +59,14 @@ def _failed() -> Column:
     return F.coalesce(F.col("status") == "0", F.lit(False)) & ~is_empty
 
 
-def _error_kind(pages: DataFrame) -> Column:
-    """Why a page cannot be used, NULL for good ones."""
+def _error_kind(pages: DataFrame, texts: Column | None = None) -> Column:
+    """Why a page cannot be used, NULL for good ones; ``texts`` are its elements, if read already."""
+    texts = _element_texts() if texts is None else texts
     message = F.lower(F.coalesce("message", F.lit("API error")))
     kind = (
         F.when(_failed() & message.contains("rate limit"), "rate_limit")
         .when(_failed(), "api_error")
-        .when(_element_texts().isNull(), "malformed_result")
+        .when(texts.isNull(), "malformed_result")
     )
     if "chain" in pages.columns:
         kind = kind.when(_chain_id(F.col("chain")).isNull(), "unknown_chain")
@@ -96,11 +97,53 @@ def _is_broken(row: Column) -> Column:
 
 def _elements(pages: DataFrame, element: T.StructType, keep: list[str]) -> DataFrame:
     """One row per sound result element; a page holds a bounded number of them."""
-    texts = good_pages(pages).select(*keep, F.explode(_element_texts()).alias("_text"))
+    read = pages.withColumn("_texts", once(_element_texts()))
+    texts = read.where(_error_kind(read, F.col("_texts")).isNull()).select(*keep, F.explode("_texts").alias("_text"))
     rows = texts.select(*keep, once(_parsed(F.col("_text"), element)).alias("_row"))
     return rows.where(~_is_broken(F.col("_row"))).select(*keep, *[F.col(f"_row.{f.name}") for f in element.fields])
 
 
+def opened_pages(pages: DataFrame, element: T.StructType) -> DataFrame:
+    """One row per element of each page, and one for a page without any: the
+    ``chainid`` and address asked for (``contract_address``), ``chain``, the
+    element's fields in ``_row``, and ``_page``: what the page answers, which
+    fetch it is, its ``n`` rows if it can be used, and whether the element is
+    ``sound`` (NULL without one).
+
+    Rows and state of a page both come from here, so that its JSON is read
+    once. ``fetch`` tells pages apart only in what is written down.
+    """
+    texts = pages.withColumns({"_fetch": F.monotonically_increasing_id(), "_texts": once(_element_texts())})
+    good = _error_kind(texts, F.col("_texts")).isNull()
+    n = F.when(good, F.size("_texts")).cast("bigint")
+    single = texts.select("_fetch", *RANGE, "page", n.alias("n"), F.posexplode_outer(F.when(good, F.col("_texts"))).alias("_place", "_text"))
+    rows = single.withColumn("_row", once(_parsed(F.col("_text"), element)))
+    sound = F.when(F.col("_place").isNotNull(), ~_is_broken(F.col("_row")))
+    return rows.select(
+        _chain_id(F.col("chain")).alias("chainid"),
+        "chain",
+        lower_address(F.col("address")).alias("contract_address"),
+        F.struct(F.col("_fetch").alias("fetch"), *RANGE, "page", "n", sound.alias("sound")).alias("_page"),
+        F.struct(*[F.col(f"_row.{f.name}") for f in element.fields]).alias("_row"),
+    )
+
+
+def typed_elements(opened: DataFrame, kind: str) -> DataFrame:
+    """Opened pages as typed rows in table names, with ``_page``."""
+    if kind == "logs":
+        named = opened.select("chainid", "chain", "contract_address", "_page", "_row.*")
+        return warehouse_logs(_typed(named), ("_page",))
+    named = opened.select("chainid", "chain", F.col("contract_address").alias("address"), "_page", "_row.*")
+    return warehouse_transactions(_typed(named))
+
+
+def opened_state(opened: DataFrame) -> DataFrame:
+    """As :func:`page_state`, from opened pages that were written down."""
+    fetches = opened.select("_page.*").groupBy("fetch", *RANGE, "page")
+    found = fetches.agg(F.max("n").alias("n"), F.bool_and("sound").alias("_sound"))
+    return merged_state(found.select(*RANGE, "page", F.when(F.coalesce("_sound", F.lit(True)), F.col("n")).alias("n")))
+
+
 def malformed_elements(pages: DataFrame, element: T.StructType) -> DataFrame:
     """Elements of good pages that do not fit the schema, with the request and their text."""
     asked = [c for c in ("address", "chain", "from_block", "to_block", "page") if c in pages.columns]
@@ -139,12 +182,12 @@ def to_table_names(landed: DataFrame) -> DataFrame:
     return landed.withColumnsRenamed({k: v for k, v in SNAKE_CASE.items() if k in landed.columns})
 
 
-def warehouse_logs(landed: DataFrame) -> DataFrame:
-    """Logs as loaded: table names, ``topics`` as JSON text, address lowercased."""
+def warehouse_logs(landed: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """Logs as loaded: table names, ``topics`` as JSON text, address lowercased; ``also`` columns stay."""
     named = to_table_names(landed)
     return named.withColumns(
         {"topics": F.to_json("topics"), "address": lower_address(F.col("address"))}
-    ).select(*LOG_COLUMNS)
+    ).select(*LOG_COLUMNS, *also)
 
 
 def warehouse_transactions(landed: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from blockloom.constants import TRANSFER_TOPIC
 from blockloom.functions.hashing import keccak256
 from blockloom.operators import planning, writing
 from blockloom.plans import backfill, catalog, metrics, models
-from blockloom.session import fresh_path
+from blockloom.session import fresh_path, stage
 from blockloom.sources import landing, reference_data
 from conftest import plan_text
 from pyspark.sql import functions as F
@@ -398,3 +398,44 @@ def test_plain_values_equal_those_of_columns():
     words = [word(n) for n in (0, 1, 255, 1 << 200, (1 << 256) - 5)] + ["ab" * 32]
     for kind in ("address", "bool", "uint8", "uint256", "int256", "bytes4", "bytes32", "function"):
         assert [catalog._plain_value(bytes.fromhex(w), kind) for w in words] == catalog._values_of_kind(pa.array(words), kind).to_pylist()
+
+
+_PAGE = "status string, message string, result string, address string, chain string, from_block long, to_block long, page long"
+_LOG = '{"blockNumber":"0x5","transactionHash":"0x1","logIndex":"0x%d","topics":["0xt"]}'
+_ODD_RESULTS = [f"[{_LOG % 0},{_LOG % 1}]", "[]", "[null]", "[5]", f"[{_LOG % 2},5]", None, "Error!", f"[{_LOG % 3}", f"[{_LOG % 0},{_LOG % 1}]"]
+
+
+def _odd_results(spark):
+    rows = [("1", "OK", text, "0xA", chain, 0, 9, page % 8) for page, text in enumerate(_ODD_RESULTS) for chain in ("ethereum", "nowhere", None)]
+    return spark.createDataFrame(rows, _PAGE)
+
+
+@pytest.mark.parametrize("kind", ["logs", "transactions"])
+def test_opened_pages_give_the_rows_and_states_of_the_pages(spark, kind):
+    pages = _odd_results(spark)
+    opened = stage(landing.typed_elements(landing.opened_pages(pages, backfill.ELEMENT[kind]), kind), "opened")
+    state, expected = landing.opened_state(opened), landing.page_state(pages, backfill.ELEMENT[kind])
+    assert sorted(map(str, state.collect())) == sorted(map(str, expected.collect()))
+    rows = opened.where("_page.sound").drop("_page")
+    if kind == "logs":
+        plain = landing.warehouse_logs(landing.logs_from_pages(pages))
+    else:
+        plain = landing.warehouse_transactions(landing.transactions_from_pages(pages))
+    assert rows.columns == plain.columns and plain.count() == rows.count() > 0
+    assert rows.exceptAll(plain).isEmpty()
+
+
+@pytest.mark.parametrize("kind", ["logs", "transactions"])
+def test_a_load_reads_its_pages_once(spark, kind):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    # The copy is on disk, the count is of rows that were asked of it.
+    pages = stage(_odd_results(spark), "pages")
+    table, ledger = fresh_path(spark, "table"), fresh_path(spark, "ledger")
+    counted = pages.withColumn("result", F.udf(seen, "string").asNondeterministic()("result"))
+    backfill.load_pages(counted, table, ledger, kind)
+    assert read.value == pages.count()
