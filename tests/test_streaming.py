@@ -90,3 +90,29 @@ def test_state_lets_no_row_through_twice_and_loses_none(spark):
     ingest.append_available(rows, out, checkpoint, ["address"], each=lambda df: seen.append(df.count()) or df)
     assert sorted(r.block_number for r in spark.read.parquet(out).collect()) == [1, 2, 3, 5, 6, 7, 1_000_000]
     assert sorted(n for n in seen if n) == [1, 2, 2, 2]
+
+
+def test_appends_of_a_stream_plan_by_size_and_leave_the_session_as_it_was(spark, monkeypatch):
+    folder, out, checkpoint = (fresh_path(spark, n) for n in ("landing", "out", "checkpoint"))
+    schema = "chainid long, address string, block_number long"
+    spark.createDataFrame([(1, "0xa", 5), (1, "0xa", 5), (1, "0xa", 6)], schema).write.parquet(folder)
+    adaptive, plain = [], ingest.append_new
+    look = lambda df, *args, **named: adaptive.append(df.sparkSession.conf.get("spark.sql.adaptive.enabled")) or plain(df, *args, **named)
+    monkeypatch.setattr(ingest, "append_new", look)
+    stores = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    mine = {"spark.sql.shuffle.partitions": "100", stores: "false"}
+    before = {name: spark.conf.get(name) for name in mine}
+    try:
+        for name, value in mine.items():
+            spark.conf.set(name, value)
+        ingest.append_available(spark.readStream.schema(schema).parquet(folder), out, checkpoint, ["address"])
+        assert {name: spark.conf.get(name) for name in mine} == mine
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert set(adaptive) == {"true"}
+    assert sorted(r.block_number for r in spark.read.parquet(out).collect()) == [5, 6]
+    # No more state stores than two a core, or 32.
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/state/0")
+    kept = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    assert len([s for s in kept if s.getPath().getName().isdigit()]) == 32
