@@ -5,14 +5,18 @@ or not, belongs to the pivot nearest to it. Up to ``PIVOTS`` queries have a
 cell each; more share cells. Summaries say what can matter where: the k + 1
 members nearest to each pivot give every query a score that its k-th answer
 reaches for certain, and the mean and radius of a cell's queries limit what a
-data vector can score there, mean.v + radius |v|. A vector is sent to those
-cells only whose least certain score that limit reaches, none at all mostly.
-Cells are solved on their own in bounded parts, and each query's partial
-answers are merged.
-
-How many vectors are sent depends on the data: with a cell for each query, or
-queries that lie in clusters, little more than the answers; queries that share
-cells without being alike make wide cells, in which the limit excludes little.
+data vector can score there, mean.v + radius |v|. Cells whose least certain
+score that limit does not reach are passed over, nearly all mostly; to the others
+a vector is sent if it reaches the certain score of one of their queries, and is
+among the k best for it of the vectors that are looked at together. Cells are
+solved on their own in bounded parts, and each query's partial answers are merged.
+
+More queries than there are pivots are dealt in rounds, so that each has a cell
+whatever their number, and no task holds more than a round's queries. A round
+reads the vectors twice; queries are a share of the vectors here, so the work
+grows with the square of the table, as pairs do. How many vectors are sent
+depends on the data, little more than the answers mostly, and at most k for each
+query from every ``TOGETHER`` vectors.
 
 Nulls and ties: vectors that are null or hold null, NaN or infinite
 components, and rows without an id, take no part. Equal scores go to the
@@ -24,8 +28,10 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +44,13 @@ from .common import table
 K = 5
 #: Cells at most; the summaries have a vector for each.
 PIVOTS = 2048
+#: Queries of a round on average, as a share of the most: so few that the hash
+#: that deals them out gives no round more.
+FILLED = 5 / 6
+#: Vectors that are looked at together when they are sent.
+TOGETHER = 1000
+#: The certain score of a query with fewer than k vectors near pivots.
+NONE = np.iinfo(np.int64).min
 #: Queries of a part of a cell, parts and data vectors that are solved together.
 QUERIES, PARTS, VECTORS = 512, 64, 8192
 
@@ -77,6 +90,16 @@ def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.array([np.lexsort((ids, -row))[:k] for row in score]).reshape(len(score), -1)
 
 
+def _mattering(score: np.ndarray, ids: np.ndarray, asked: np.ndarray, sure: np.ndarray, k: int) -> np.ndarray:
+    """Which rows (of vectors ``ids``) reach the certain score of a column (of
+    queries ``asked``) and are among its k best."""
+    keep = (score >= sure) & (ids[:, None] != asked)
+    for column in np.flatnonzero(keep.sum(0) > k):
+        rows = np.flatnonzero(keep[:, column])
+        keep[np.delete(rows, _best(score[rows, column][None, :], ids[rows], k)[0]), column] = False
+    return keep.any(1)
+
+
 @dataclass(frozen=True)
 class Dealt:
     """Queries (vec_id, v, cell), the vectors sent to cells (the same columns),
@@ -90,12 +113,27 @@ class Dealt:
 
 
 def dealt(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIVOTS) -> Dealt | None:
-    """Groups both sides by pivots and sends each vector where it can matter."""
+    """Groups both sides by pivots and sends each vector where it can matter;
+    all queries are one round's."""
     data = stage(vectors.select("vec_id", "v"), "vectors")
-    asked = data.join(queries.select("vec_id").distinct(), "vec_id", "left_semi")
+    made = _dealt(data, _asked(data, queries), _shape(data), k, pivots)
+    unstage(data)
+    return made
+
+
+def _asked(data: DataFrame, queries: DataFrame) -> DataFrame:
+    return data.join(queries.select("vec_id").distinct(), "vec_id", "left_semi")
+
+
+def _shape(data: DataFrame) -> tuple[int, bool]:
+    """Components of the longest vector, and whether floats hold every score exactly."""
     shape = data.agg(F.max(F.size("v")), F.max(F.array_max(F.transform("v", lambda x: F.abs(x))))).first()
     width, most = shape[0] or 0, shape[1] or 0
-    exact_float = most * most * max(width, 1) < 1 << 53
+    return width, most * most * max(width, 1) < 1 << 53
+
+
+def _dealt(data: DataFrame, asked: DataFrame, shape: tuple[int, bool], k: int, pivots: int) -> Dealt | None:
+    width, exact_float = shape
     # PIVOTS vectors, whatever the size of the table.
     chosen = asked.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(pivots).select("v").toArrow()
     p = chosen.num_rows
@@ -114,9 +152,9 @@ def dealt(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIVO
                 away = np.sqrt(np.maximum(d[np.arange(len(m)), cell], 0))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(away)], names=["vec_id", "v", "cell", "away"])
 
-    data = stage(data.mapInArrow(placed, "vec_id long, v array<long>, cell int, away double"), "cells")
-    asked = stage(data.join(queries.select("vec_id").distinct(), "vec_id", "left_semi").select("vec_id", "v", "cell"), "queries")
-    near = data.withColumn("_r", F.row_number().over(Window.partitionBy("cell").orderBy("away", "vec_id"))).where(F.col("_r") <= k + 1)
+    cells = "vec_id long, v array<long>, cell int, away double"
+    asked = stage(asked.mapInArrow(placed, cells).select("vec_id", "v", "cell"), "queries")
+    near = data.mapInArrow(placed, cells).withColumn("_r", F.row_number().over(Window.partitionBy("cell").orderBy("away", "vec_id"))).where(F.col("_r") <= k + 1)
     near = near.select("vec_id", "v").toArrow()  # k + 1 for each pivot
     near_ids, near_v = near["vec_id"].to_numpy(), _matrix(near["v"], width)
 
@@ -137,45 +175,91 @@ def dealt(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIVO
     mean /= np.maximum(count, 1)[:, None]
 
     def limits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per cell the least certain score and the query farthest from the mean."""
+        """Per query its certain score and how far it is from the mean."""
         for whole in batches:
-            for start in range(0, whole.num_rows, 500):
-                batch = whole.slice(start, 500)
+            for start in range(0, whole.num_rows, 125):
+                batch = whole.slice(start, 125)
                 ids, m, cell = batch.column(0).to_numpy(), _matrix(batch.column(1), width), batch.column(2).to_numpy()
-                score = _scores(m, near_v, exact_float).astype(np.float64)
-                score[ids[:, None] == near_ids] = -np.inf
-                sure = np.partition(score, score.shape[1] - k, axis=1)[:, -k] if score.shape[1] >= k else np.full(len(m), -np.inf)
+                score = _scores(m, near_v, exact_float)
+                score[ids[:, None] == near_ids] = NONE
+                sure = np.partition(score, score.shape[1] - k, axis=1)[:, -k] if score.shape[1] >= k else np.full(len(m), NONE)
                 away = np.sqrt(((m - mean[cell]) ** 2).sum(1))
-                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(sure), pa.array(away)], names=["cell", "sure", "away"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sure), pa.array(away)], names=["vec_id", "v", "cell", "sure", "away"])
 
-    found = asked.mapInArrow(limits, "cell int, sure double, away double").groupBy("cell").agg(F.min("sure"), F.max("away"))
-    sure, radius = np.full(p, np.inf), np.zeros(p)
-    for cell, least, far in found.collect():
-        sure[cell], radius[cell] = least, far
+    # The different queries of a round.
+    each = asked.dropDuplicates(["vec_id", "v"]).mapInArrow(limits, "vec_id long, v array<long>, cell int, sure long, away double").toArrow().sort_by("cell")
+    asked_ids, asked_v, asked_cell = each["vec_id"].to_numpy(), _matrix(each["v"], width), each["cell"].to_numpy()
+    asked_sure, least, radius = each["sure"].to_numpy(), np.full(p, np.inf), np.zeros(p)
+    np.minimum.at(least, asked_cell, np.where(asked_sure == NONE, -np.inf, asked_sure.astype(np.float64)))
+    np.maximum.at(radius, asked_cell, each["away"].to_numpy())
+    first = np.searchsorted(asked_cell, np.arange(p + 1))
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A data vector once for each cell of queries that it can matter to."""
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
-                m = _matrix(batch.column(1), width).astype(np.float64)
+            for start in range(0, whole.num_rows, TOGETHER):
+                batch = whole.slice(start, TOGETHER)
+                ids, v = batch.column(0).to_numpy(), _matrix(batch.column(1), width)
+                m = v.astype(np.float64)
                 reach = m @ mean.T + np.sqrt((m * m).sum(1))[:, None] * radius
                 # A margin far above the rounding of the bounds.
-                at, cell = np.nonzero((reach + 1e-6 * np.abs(reach) + 1e-3 >= sure) & (count > 0))
-                took = pa.RecordBatch.from_arrays(batch.columns[:2], names=["vec_id", "v"]).take(pa.array(at))
-                yield pa.RecordBatch.from_arrays([*took.columns, pa.array(cell.astype(np.int32))], names=["vec_id", "v", "cell"])
-
-    sent = stage(data.select("vec_id", "v").mapInArrow(needed, "vec_id long, v array<long>, cell int"), "sent")
-    unstage(data)
+                cell, at = np.nonzero(((reach + 1e-6 * np.abs(reach) + 1e-3 >= least) & (count > 0)).T)
+                cells, begin = np.unique(cell, return_index=True)
+                rows = []
+                for c, some in zip(cells, np.split(at, begin[1:])):
+                    mine = slice(first[c], first[c + 1])
+                    score = _scores(v[some], asked_v[mine], exact_float)
+                    rows.append(some[_mattering(score, ids[some], asked_ids[mine], asked_sure[mine], k)])
+                if not rows:
+                    continue
+                took = pa.RecordBatch.from_arrays(batch.columns[:2], names=["vec_id", "v"]).take(pa.array(np.concatenate(rows)))
+                yield pa.RecordBatch.from_arrays([*took.columns, pa.array(np.repeat(cells, [len(r) for r in rows]).astype(np.int32))], names=["vec_id", "v", "cell"])
+
+    sent = stage(data.mapInArrow(needed, "vec_id long, v array<long>, cell int"), "sent")
     return Dealt(asked, sent, count, width, exact_float)
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIVOTS, part_queries: int = QUERIES, part_vectors: int = VECTORS) -> DataFrame:
+def top_k(
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int = K,
+    pivots: int = PIVOTS,
+    part_queries: int = QUERIES,
+    part_vectors: int = VECTORS,
+    round_queries: int = PIVOTS,
+) -> DataFrame:
     """(query_id, rank, vec_id, score); both sides are (vec_id, v)."""
-    out = "query_id long, rank int, vec_id long, score long"
-    made = dealt(vectors, queries, k, pivots)
-    if made is None:
-        return vectors.sparkSession.createDataFrame([], out)
+    data = stage(vectors.select("vec_id", "v"), "vectors")
+    asked, shape = stage(_asked(data, queries), "asked"), _shape(data)
+    n = asked.distinct().count()
+    rounds = 1 if n <= round_queries else math.ceil(n / (FILLED * round_queries))
+    found = []
+    for number in range(rounds):
+        mine = asked.where(F.pmod(F.xxhash64(F.lit(7), "vec_id", "v"), F.lit(rounds)) == number)
+        made = _dealt(data, mine, shape, k, pivots)
+        if made is None:
+            continue
+        answers = _ranked(_solved(made, k, part_queries, part_vectors), k)
+        if rounds > 1:  # A round's answers are few; what it sent goes before the next one.
+            answers = stage(answers, "answers")
+            unstage(made.sent)
+            unstage(made.asked)
+        found.append(answers)
+    unstage(data)
+    unstage(asked)
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    # Queries of one id may be in different rounds.
+    return found[0] if len(found) == 1 else _ranked(reduce(DataFrame.unionByName, found), k)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _solved(made: Dealt, k: int, part_queries: int, part_vectors: int) -> DataFrame:
+    """(query_id, vec_id, score): the best of every part, bounded numbers of queries and vectors at a time."""
     width, exact_float = made.width, made.exact_float
     # A cell has parts of a bounded number of queries; some parts, numbered on, are solved together.
     parts = np.maximum(-(-made.count // part_queries), 1)
@@ -185,7 +269,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIVO
         for number in range(int(first[cell]) // PARTS, (int(first[cell + 1]) - 1) // PARTS + 1):
             arrivals[number] += n
     chunks = np.maximum(-(-arrivals // part_vectors), 1).tolist()
-    spark = vectors.sparkSession
+    spark = made.sent.sparkSession
     numbers = [(c, int(first[c]) + t, (int(first[c]) + t) // PARTS, chunks[(int(first[c]) + t) // PARTS]) for c in range(len(parts)) for t in range(int(parts[c]))]
     # A row per part: as many as cells and as parts of QUERIES queries.
     places = spark.createDataFrame(numbers, "cell int, unit int, bunch int, chunks int")
@@ -217,9 +301,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIVO
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
 
     key = ["bunch", "chunk"]
-    found = asked.groupBy(*key).cogroup(sent.groupBy(*key)).applyInArrow(solved, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return asked.groupBy(*key).cogroup(sent.groupBy(*key)).applyInArrow(solved, "query_id long, vec_id long, score long")
 
 
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,5 +76,32 @@ def test_few_vectors_are_sent(spark, sf_dir):
     assert K.dealt(given, asked).sent.count() <= 0.05 * n * asked.count()
 
 
+def test_rounds_give_the_same(spark):
+    """More queries than a round has; those of one id may be in different rounds."""
+    rng = np.random.default_rng(7)
+    rows = [(i % 260, rng.normal(size=6).astype("float32").tolist()) for i in range(300)]
+    rows += [(i, [0.5] * 6) for i in range(300, 340)]
+    want = brute(rows, lambda i: i % 4 == 0, 5)
+    for asked, pivots in ((40, 40), (30, 7)):
+        assert found(spark, rows, "vec_id % 4 = 0", round_queries=asked, pivots=pivots) == want
+
+
+def test_a_vector_is_sent_for_a_query_not_for_all_of_its_cell(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=16).astype("float32").tolist()) for i in range(4000)]
+    whole = K.whole_numbers(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    # Five queries a cell, unlike each other, so that no cell's limit excludes much.
+    assert K.dealt(whole, whole.where("vec_id % 40 = 0"), pivots=20).sent.count() <= 20 * 4000 / 8
+
+
+def test_vectors_of_one_score_are_not_all_sent(spark):
+    """What a task makes of a number of vectors is bounded by k for each query, not by all pairs."""
+    rows = [(i, [float(i % 100 == 0 and i // 100 == c) for c in range(40)] + [1.0]) for i in range(4000)]
+    whole = K.whole_numbers(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    made = K.dealt(whole.coalesce(1), whole.where("vec_id % 100 = 0"))
+    assert (made.count > 0).sum() == 40
+    assert made.sent.count() <= 40 * 5 * (4000 // K.TOGETHER + 8)
+
+
 def test_oracle(spark, sf_dir):
     assert difference(spark, duck(sf_dir), QUERIES["op3_top_k"], ORACLES["op3_top_k"], sf_dir) is None
