@@ -96,6 +96,16 @@ def test_the_sketch_keeps_rows_that_cannot_match_out(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def test_a_sketch_goes_about_in_pages(spark):
+    hashes = spark.range(3000).select(F.xxhash64("id").alias("hash")).unionByName(spark.createDataFrame([(-1,), (0,)], "hash long"))
+    words = dedup.sketch(hashes, 1 << 20)
+    pages = dedup.sketch_pages(words)
+    assert pages.count() <= (1 << 20) / 64 / dedup.PAGE_WORDS
+    back = pages.select("page", F.posexplode("words").alias("at", "bits")).where("bits <> 0")
+    assert back.select((F.col("page") * dedup.PAGE_WORDS + F.col("at")).alias("word"), "bits").exceptAll(words).isEmpty()
+    assert back.count() == words.count() > 2000
+
+
 def test_appends_with_a_full_sketch_agree(spark, monkeypatch):
     path = fresh_path(spark, "table")
     monkeypatch.setattr(dedup, "MOST_BITS", 64)

@@ -116,3 +116,19 @@ def test_appends_of_a_stream_plan_by_size_and_leave_the_session_as_it_was(spark,
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/state/0")
     kept = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
     assert len([s for s in kept if s.getPath().getName().isdigit()]) == 32
+
+
+def test_the_state_of_a_stream_has_a_bounded_share_of_memory_in_any_session(spark):
+    folder, out, checkpoint = (fresh_path(spark, n) for n in ("landing", "out", "checkpoint"))
+    schema = "chainid long, address string, block_number long"
+    spark.createDataFrame([(1, "0xa", 5), (1, "0xa", 5)], schema).write.parquet(folder)
+    rocks, seen = "spark.sql.streaming.stateStore.rocksdb.", []
+    before = spark.conf.get(f"{rocks}boundedMemoryUsage")
+    look = lambda df: seen.append([df.sparkSession.conf.get(rocks + n) for n in ("boundedMemoryUsage", "maxMemoryUsageMB")]) or df
+    try:
+        spark.conf.set(f"{rocks}boundedMemoryUsage", "false")
+        ingest.append_available(spark.readStream.schema(schema).parquet(folder), out, checkpoint, ["address"], each=look)
+    finally:
+        spark.conf.set(f"{rocks}boundedMemoryUsage", before)
+    assert seen == [["true", "256"]]
+    assert spark.read.parquet(out).count() == 1
